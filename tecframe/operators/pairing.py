@@ -1,4 +1,17 @@
-"""One-to-one nearest-time pairing."""
+"""One-to-one nearest-time pairing.
+
+The rule: of all pairs within the tolerance take the closest, each row once,
+ties by left time, right time and ids. Only neighbours on the timeline can be
+the next closest pair, so the work is linear in the rows and no list of
+candidates is built.
+
+How it spreads: each ``by`` group is cut into pieces wherever its timeline is
+empty for longer than the tolerance, and no pair crosses such a cut. A piece
+that is very long, as from one dense source, is worked in chunks of time. A
+chunk decides what nothing outside of it can change, and hands the rows near
+its borders on to a second round with shifted chunks; what is still open then,
+usually nothing, is settled in a last round.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +20,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tecframe.functions._col import micros
 from tecframe.operators.batches import whole_groups
+from tecframe.session import ensure_checkpoint_dir
+
+_FAR = 2**62
+# a piece is cut into chunks of this many tolerances when it is longer than that
+CHUNK_SLOTS = 256
 
 
 def pair_nearest(
@@ -23,97 +41,141 @@ def pair_nearest(
     right_id: str,
     left_time: str = "time",
     right_time: str = "time",
+    chunk_slots: int = CHUNK_SLOTS,
 ) -> DataFrame:
-    """Closest pairs first, each row used once, ties by left time, right time, ids.
+    """by, left_id, right_id, left_time, right_time, delta_sec.
 
-    The timeline of each ``by`` group is cut wherever it is empty for longer
-    than the tolerance: no pair crosses such a gap, so the pieces are paired
-    apart and one busy group spreads over the cluster. Inside a piece only
-    neighbours on the timeline can be the next best pair, so the work is
-    linear in the rows and no candidate list is built.
+    Ids are integers or strings without NULLs.
     """
     by = list(by)
     tol = int(max_delta_sec * 1e6)
-    l_type, r_type = left.schema[left_id].dataType, right.schema[right_id].dataType
-    l_rows = left.select(
-        *by, micros(left_time).alias("_us"), F.lit(0).alias("_side"),
-        F.col(left_id).alias("_l"), F.lit(None).cast(r_type).alias("_r"),
-    )
-    r_rows = right.select(
-        *by, micros(right_time).alias("_us"), F.lit(1).alias("_side"),
-        F.lit(None).cast(l_type).alias("_l"), F.col(right_id).alias("_r"),
+    slot = max(tol, 1)
+    sides = (left.select(*by, F.col(left_id).alias("_l"), micros(left_time).alias("_us"), F.lit(1).alias("_side")),
+             right.select(*by, F.col(right_id).alias("_r"), micros(right_time).alias("_us"), F.lit(2).alias("_side")))
+    l_type, r_type = sides[0].schema["_l"].dataType, sides[1].schema["_r"].dataType
+    rows = (
+        sides[0].withColumn("_r", _blank(r_type))
+        .unionByName(sides[1].withColumn("_l", _blank(l_type)))
+        .filter(F.col("_us").isNotNull())
     )
-    rows = l_rows.unionByName(r_rows).filter(F.col("_us").isNotNull())
-    rows = _with_piece(rows, by, max(tol, 1))
-    group = [*by, "_piece"]
-    ordered = rows.repartition(*group).sortWithinPartitions(*group, "_us", "_side", "_l", "_r")
-    by_fields = [left.schema[b] for b in by]
     schema = T.StructType(
         [
-            *by_fields,
-            T.StructField("left_id", l_type),
-            T.StructField("right_id", r_type),
-            T.StructField("left_us", T.LongType()),
-            T.StructField("right_us", T.LongType()),
+            *[left.schema[b] for b in by],
+            T.StructField("_l", l_type), T.StructField("_r", r_type),
+            T.StructField("_lu", T.LongType()), T.StructField("_ru", T.LongType()),
+            T.StructField("_side", T.IntegerType()),
         ]
     )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf, starts in whole_groups(batches, group):
-            li, ri = greedy_rows(
-                pdf["_us"].to_numpy(np.int64), pdf["_side"].to_numpy(np.int64), starts, tol
-            )
-            out = {b: pdf[b].to_numpy()[li] for b in by}
-            us = pdf["_us"].to_numpy(np.int64)
-            out |= {
-                "left_id": pdf["_l"].to_numpy()[li],
-                "right_id": pdf["_r"].to_numpy()[ri],
-                "left_us": us[li],
-                "right_us": us[ri],
-            }
-            yield pd.DataFrame(out)
-
-    pairs = ordered.mapInPandas(run, schema)
-    return pairs.select(
-        *by, "left_id", "right_id",
-        F.timestamp_micros("left_us").alias("left_time"),
-        F.timestamp_micros("right_us").alias("right_time"),
-        (F.abs(F.col("left_us") - F.col("right_us")) / 1e6).alias("delta_sec"),
+    slots = rows.select(*by, F.floor(F.col("_us") / slot).alias("_slot")).distinct()
+    pieces = _pieces(slots, by)
+    chunk = chunk_slots * slot
+    long_piece = pieces.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_slots)
+    if long_piece.isEmpty():
+        done = _round(_with_piece(rows, pieces, by, slot), by, schema, tol, None, 0)
+    else:
+        ensure_checkpoint_dir(rows.sparkSession)
+        first = _round(_with_piece(rows, pieces, by, slot), by, schema, tol, chunk, 0).checkpoint()
+        second = _round(_again(first, by, slot), by, schema, tol, chunk, chunk // 2).checkpoint()
+        last = _round(_again(second, by, slot), by, schema, tol, None, 0)
+        done = first.filter("_side = 0").unionByName(second.filter("_side = 0")).unionByName(last)
+    return done.filter("_side = 0").select(
+        *by, F.col("_l").alias("left_id"), F.col("_r").alias("right_id"),
+        F.timestamp_micros("_lu").alias("left_time"), F.timestamp_micros("_ru").alias("right_time"),
+        (F.abs(F.col("_lu") - F.col("_ru")) / 1e6).alias("delta_sec"),
     )
 
 
-def _with_piece(rows: DataFrame, by: list[str], width_us: int) -> DataFrame:
-    """Numbers runs of neighbouring occupied time slots.
+def _blank(kind: T.DataType) -> Column:
+    """Filler of the id column that a side does not have; integers keep their type in Arrow."""
+    return F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+
 
-    Slots are as wide as the tolerance: two rows with an empty slot between
-    them lie further apart than it. Only the distinct occupied slots are
-    numbered, not the rows.
+def _pieces(slots: DataFrame, by: list[str]) -> DataFrame:
+    """Numbers runs of neighbouring occupied slots.
+
+    Slots are as wide as the tolerance, so rows with an empty slot between
+    them cannot pair. Only the distinct slots are numbered, not the rows.
     """
-    slotted = rows.withColumn("_slot", F.floor(F.col("_us") / width_us))
     w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_slot")
-    slots = slotted.select(*by, "_slot").distinct()
-    numbered = slots.withColumn("_piece", F.col("_slot") - F.row_number().over(w))
-    right = numbered.select(
+    return slots.withColumn("_piece", F.col("_slot") - F.row_number().over(w))
+
+
+def _with_piece(rows: DataFrame, pieces: DataFrame, by: list[str], slot: int) -> DataFrame:
+    lookup = pieces.select(
         *[F.col(b).alias("_p_" + b) for b in by], F.col("_slot").alias("_p_slot"), "_piece"
     )
-    on = [F.col(b).eqNullSafe(F.col("_p_" + b)) for b in by] + [F.col("_slot") == F.col("_p_slot")]
-    return slotted.join(right, on).drop("_slot", "_p_slot", *["_p_" + b for b in by])
+    on = [F.col(b).eqNullSafe(F.col("_p_" + b)) for b in by]
+    on.append(F.floor(F.col("_us") / slot) == F.col("_p_slot"))
+    return rows.join(lookup, on).drop("_p_slot", *["_p_" + b for b in by])
+
+
+def _again(out: DataFrame, by: list[str], slot: int) -> DataFrame:
+    """Open rows of a round, as input of the next one."""
+    rows = out.filter("_side > 0").select(
+        *by, "_l", "_r", F.col("_lu").alias("_us"), F.col("_side")
+    )
+    slots = rows.select(*by, F.floor(F.col("_us") / slot).alias("_slot")).distinct()
+    return _with_piece(rows, _pieces(slots, by), by, slot)
+
+
+def _round(
+    rows: DataFrame, by: list[str], schema: T.StructType, tol: int, chunk: int | None, shift: int
+) -> DataFrame:
+    """Pairs (side 0) and rows that are still open (side 1 or 2)."""
+    part = F.floor((F.col("_us") + shift) / chunk) if chunk else F.lit(0).cast("long")
+    group = [*by, "_piece", "_chunk"]
+    ordered = (
+        rows.withColumn("_chunk", part).repartition(*group)
+        .sortWithinPartitions(*group, "_us", "_side", "_l", "_r")
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, starts in whole_groups(batches, group):
+            us = pdf["_us"].to_numpy(np.int64)
+            side = pdf["_side"].to_numpy(np.int64)
+            bounds = pdf["_chunk"].to_numpy(np.int64)[starts] if chunk else None
+            li, ri, rest = greedy_rows(us, side, starts, tol, bounds, chunk, shift)
+            a = np.concatenate([li, rest])
+            b = np.concatenate([ri, rest])
+            kind = np.concatenate([np.zeros(len(li), dtype=np.int32), side[rest].astype(np.int32)])
+            yield pd.DataFrame(
+                {
+                    **{c: pdf[c].to_numpy()[a] for c in by},
+                    "_l": pdf["_l"].to_numpy()[a], "_r": pdf["_r"].to_numpy()[b],
+                    "_lu": us[a], "_ru": us[b], "_side": kind,
+                }
+            )
+
+    return ordered.mapInPandas(run, schema)
 
 
 def greedy_rows(
-    us: np.ndarray, side: np.ndarray, starts: np.ndarray, tol: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers (left, right) of the pairs of every group."""
+    us: np.ndarray, side: np.ndarray, starts: np.ndarray, tol: int,
+    chunk_no: np.ndarray | None = None, chunk: int | None = None, shift: int = 0,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(left rows, right rows, open rows) of all groups."""
     lefts: list[int] = []
     rights: list[int] = []
+    rest: list[int] = []
     ends = np.append(starts[1:], len(us))
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        if b - a > 1 and side[a] != side[b - 1] or (side[a:b] != side[a]).any():
-            _greedy(us, side, a, b, tol, lefts, rights)
-    return np.array(lefts, dtype=np.int64), np.array(rights, dtype=np.int64)
+    for g, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        lo, hi = -_FAR, _FAR
+        if chunk_no is not None:
+            lo = int(chunk_no[g]) * chunk - shift
+            hi = lo + chunk
+        elif not (side[a:b] != side[a]).any():
+            continue
+        _greedy(us, side, a, b, tol, lo, hi, lefts, rights, rest)
+    as_rows = lambda v: np.array(v, dtype=np.int64)
+    return as_rows(lefts), as_rows(rights), as_rows(rest)
+
 
+def _greedy(us, side, a, b, tol, lo, hi, lefts, rights, rest) -> None:
+    """Decides one chunk; rows before ``lo`` and from ``hi`` on are not known here.
 
-def _greedy(us, side, a, b, tol, lefts, rights) -> None:
+    A pair is certain when it lies further from the unknown than its own
+    distance. A pair that is not certain makes its rows unknown, too.
+    """
     # rows of one side at one time form a node; its rows are used in id order
     nodes: list[list[int]] = []
     for i in range(a, b):
@@ -134,16 +196,22 @@ def _greedy(us, side, a, b, tol, lefts, rights) -> None:
             return
         delta = abs(at[x] - at[y])
         if delta <= tol:
-            l, r = (x, y) if kind[x] == 0 else (y, x)
+            l, r = (x, y) if kind[x] == 1 else (y, x)
             heapq.heappush(heap, (delta, at[l], at[r], l, r))
 
     for x in range(count - 1):
         offer(x, x + 1)
     while heap:
-        _, _, _, l, r = heapq.heappop(heap)
+        delta, tl, tr, l, r = heapq.heappop(heap)
         take = min(len(nodes[l]) - used[l], len(nodes[r]) - used[r])
         if take <= 0:
             continue
+        if min(tl, tr) - lo <= delta:
+            lo = max(lo, tl, tr)
+            continue
+        if hi - max(tl, tr) <= delta:
+            hi = min(hi, tl, tr)
+            continue
         lefts.extend(nodes[l][used[l]:used[l] + take])
         rights.extend(nodes[r][used[r]:used[r] + take])
         used[l] += take
@@ -156,9 +224,14 @@ def _greedy(us, side, a, b, tol, lefts, rights) -> None:
                 if q < count:
                     prev[q] = p
                 offer(p, q)
+    for x in range(count):
+        if used[x] < len(nodes[x]) and (at[x] - lo <= tol or hi - at[x] <= tol):
+            rest.extend(nodes[x][used[x]:])
 
 
-def unmatched(entries: DataFrame, pairs: DataFrame, *, entry_id: str, sides: Sequence[str] = ("left_id", "right_id")) -> DataFrame:
+def unmatched(
+    entries: DataFrame, pairs: DataFrame, *, entry_id: str, sides: Sequence[str] = ("left_id", "right_id")
+) -> DataFrame:
     """Entries that no pair uses."""
     used = pairs.select(F.explode(F.array(*sides)).alias("_used"))
     return entries.join(used, F.col(entry_id) == F.col("_used"), "left_anti")

@@ -14,7 +14,7 @@ def swath_lines(pixels: DataFrame, columns: Sequence[str], *, keys: Sequence[str
     """Pixel rows to lines; a line is as long as the swath is wide."""
     items = F.array_sort(F.collect_list(F.struct(x, *columns)))
     out = pixels.groupBy(*keys).agg(items.alias("_px"))
-    return out.select(*keys, *[F.transform("_px", lambda p, c=c: p[c]).alias(c) for c in columns])
+    return out.select(*keys, *[F.col(f"_px.{c}").alias(c) for c in columns])
 
 
 def to_points(lines: DataFrame, columns: Sequence[str], *, keep: Sequence[str] = ("entry_id", "y"), x: str = "x") -> DataFrame:

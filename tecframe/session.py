@@ -45,3 +45,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="tecframe-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Lets ``checkpoint()`` write to the shared folder; a folder already set stays."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(spark, "checkpoint"))
