@@ -168,8 +168,8 @@ def build_links(
 
 
 def finish_tracks(flagged: DataFrame, keys: Sequence[str], params: LinkParams = LinkParams()) -> DataFrame:
-    """stec, vtec and roti of the kept rows."""
-    kept = flagged.filter("keep").withColumn("stec", F.col("phase_stec"))
+    """stec, vtec and roti of the kept rows; one exchange on the keys serves every window."""
+    kept = flagged.filter("keep").withColumn("stec", F.col("phase_stec")).repartition(*keys)
     kept = sequences.normalise_arc(kept, keys)
     kept = sequences.fallback_source(kept, keys)
     kept = kept.withColumn(

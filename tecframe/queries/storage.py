@@ -100,7 +100,7 @@ def s08(t: Tables) -> DataFrame:
     ev = region_events(t)
     rows = rows.join(ev, "event_id").filter(F.col("time").between(F.col("start_utc"), F.col("end_utc"))).drop("start_utc", "end_utc")
     chunks = tables.with_chunks(rows, ev, 15)
-    tables.write_hourly(chunks.repartition("event_id", "chunk_start"), path)
+    tables.write_hourly(chunks, path)
     back = t.spark.read.schema("row_id LONG, chunk_end TIMESTAMP, event_id STRING, chunk STRING").parquet(path)
     return back.select("row_id", "event_id", "chunk", "chunk_end")
 

@@ -79,6 +79,15 @@ def with_chunks(grid: DataFrame, events: DataFrame, cadence_min: int = fixed.GRI
 
 
 def write_hourly(grid: DataFrame, path: str) -> None:
-    """One folder per event and hour; an empty grid writes no data."""
+    """One file per event and hour, written side by side; an empty grid writes no data.
+
+    The number of tasks is fixed: merging small partitions would leave one
+    task with all the files.
+    """
+    tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.date_format("chunk_start", "yyyyMMdd_HH'00'")
-    grid.withColumn("chunk", key).write.mode("overwrite").partitionBy("event_id", "chunk").parquet(path)
+    (
+        grid.withColumn("chunk", key)
+        .repartition(tasks, "event_id", "chunk")
+        .write.mode("overwrite").partitionBy("event_id", "chunk").parquet(path)
+    )
