@@ -24,3 +24,12 @@ def finite(value: ColumnLike) -> Column:
     x = col(value)
     bad = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     return F.when(~bad, x)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once per row.
+
+    Array expressions are not shared between branches of an expression; bound
+    to a lambda variable they are.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

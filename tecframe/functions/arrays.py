@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tecframe import fixed
-from tecframe.functions._col import ColumnLike, col
+from tecframe.functions._col import ColumnLike, col, let
 
 
 def pick_nearest(axis: ColumnLike, values: ColumnLike, target: float) -> Column:
     """Value at the first axis element closest to ``target``."""
     gaps = F.transform(col(axis), lambda w: F.abs(w - target))
-    at = F.array_position(gaps, F.array_min(gaps)).cast("int")
-    return F.when(at > 0, F.get(col(values), at - 1))
+    at = let(gaps, lambda g: F.array_position(g, F.array_min(g)).cast("int"))
+    return F.get(col(values), F.nullif(at, F.lit(0)) - 1)
 
 
 def axis(lo: float, hi: float, step: float) -> Column:
@@ -23,11 +23,14 @@ def axis(lo: float, hi: float, step: float) -> Column:
 
 def array_median(values: ColumnLike) -> Column:
     """Median of the non-null elements; NULL when there are none."""
-    v = F.array_sort(F.filter(col(values), lambda x: x.isNotNull()))
-    n = F.size(v)
-    lower = F.get(v, F.floor((n - 1) / 2).cast("int"))
-    upper = F.get(v, F.floor(n / 2).cast("int"))
-    return F.when(n > 0, (lower + upper) / 2.0)
+
+    def middle(v: Column) -> Column:
+        n = F.size(v)
+        lower = F.get(v, F.floor((n - 1) / 2).cast("int"))
+        upper = F.get(v, F.floor(n / 2).cast("int"))
+        return F.when(n > 0, (lower + upper) / 2.0)
+
+    return let(F.sort_array(F.array_compact(col(values))), middle)
 
 
 def steps(values: ColumnLike) -> Column:

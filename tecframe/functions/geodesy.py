@@ -108,9 +108,8 @@ def with_satellite_xyz(df: DataFrame, *, eph: str = "eph", time: str = "time") -
     e = {name: F.col(f"{eph}.{name}").cast("double") for name in fixed.EPHEMERIS_ELEMENTS}
     epoch_us = F.unix_micros(F.lit(fixed.GPS_EPOCH).cast("timestamp"))
     toe_us = ((e["GPSWeek"] * 604800.0 + e["Toe"]) * 1e6).cast("long") + epoch_us
-    out = df.withColumn("_tk", (micros(time) - toe_us) / 1e6)
-    out = out.withColumn("_tk", F.pmod(F.col("_tk") + 302400.0, F.lit(604800.0)) - 302400.0)
-    out = out.withColumn("_a", e["sqrtA"] * e["sqrtA"])
+    tk = F.pmod((micros(time) - toe_us) / 1e6 + 302400.0, F.lit(604800.0)) - 302400.0
+    out = df.withColumns({"_tk": tk, "_a": e["sqrtA"] * e["sqrtA"]})
     motion = F.sqrt(fixed.EARTH_MU / F.pow(F.col("_a"), 3.0)) + e["DeltaN"]
     out = out.withColumn("_m", e["M0"] + motion * F.col("_tk"))
     anomaly = F.col("_m")
@@ -121,27 +120,21 @@ def with_satellite_xyz(df: DataFrame, *, eph: str = "eph", time: str = "time") -
     true_anomaly = F.atan2(F.sqrt(1.0 - ecc * ecc) * F.sin("_e"), F.cos("_e") - ecc)
     out = out.withColumn("_phi", true_anomaly + e["omega"])
     c2, s2 = F.cos(F.col("_phi") * 2.0), F.sin(F.col("_phi") * 2.0)
-    out = out.withColumn("_u", F.col("_phi") + e["Cuc"] * c2 + e["Cus"] * s2)
-    out = out.withColumn(
-        "_r", F.col("_a") * (1.0 - ecc * F.cos("_e")) + e["Crc"] * c2 + e["Crs"] * s2
-    )
-    out = out.withColumn("_i", e["Io"] + e["Cic"] * c2 + e["Cis"] * s2 + e["IDOT"] * F.col("_tk"))
-    out = out.withColumn(
-        "_node",
-        e["Omega0"]
-        + (e["OmegaDot"] - fixed.EARTH_ROTATION) * F.col("_tk")
-        - e["Toe"] * fixed.EARTH_ROTATION,
-    )
-    out = out.withColumn("_px", F.col("_r") * F.cos("_u")).withColumn(
-        "_py", F.col("_r") * F.sin("_u")
-    )
-    return (
-        out.withColumn(
-            "sat_x", F.col("_px") * F.cos("_node") - F.col("_py") * F.cos("_i") * F.sin("_node")
-        )
-        .withColumn(
-            "sat_y", F.col("_px") * F.sin("_node") + F.col("_py") * F.cos("_i") * F.cos("_node")
-        )
-        .withColumn("sat_z", F.col("_py") * F.sin("_i"))
-        .drop("_tk", "_a", "_m", "_e", "_phi", "_u", "_r", "_i", "_node", "_px", "_py")
+    out = out.withColumns(
+        {
+            "_u": F.col("_phi") + e["Cuc"] * c2 + e["Cus"] * s2,
+            "_r": F.col("_a") * (1.0 - ecc * F.cos("_e")) + e["Crc"] * c2 + e["Crs"] * s2,
+            "_i": e["Io"] + e["Cic"] * c2 + e["Cis"] * s2 + e["IDOT"] * F.col("_tk"),
+            "_node": e["Omega0"] + (e["OmegaDot"] - fixed.EARTH_ROTATION) * F.col("_tk")
+            - e["Toe"] * fixed.EARTH_ROTATION,
+        }
     )
+    px, py = F.col("_r") * F.cos("_u"), F.col("_r") * F.sin("_u")
+    node, tilt = F.col("_node"), F.col("_i")
+    return out.withColumns(
+        {
+            "sat_x": px * F.cos(node) - py * F.cos(tilt) * F.sin(node),
+            "sat_y": px * F.sin(node) + py * F.cos(tilt) * F.cos(node),
+            "sat_z": py * F.sin(tilt),
+        }
+    ).drop("_tk", "_a", "_m", "_e", "_phi", "_u", "_r", "_i", "_node")

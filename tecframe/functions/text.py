@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tecframe import fixed
-from tecframe.functions._col import ColumnLike, col
+from tecframe.functions._col import ColumnLike, col, let
 from tecframe.functions.timefn import day_of_year, gps_day_of_week, gps_week, year2
 
 
@@ -50,15 +50,16 @@ def parse_observation_name(
 
 def parse_swath_name(member: ColumnLike) -> Column:
     """Struct (hemisphere, obs_time); NULL for other names."""
-    m = col(member)
-    part = lambda i: F.regexp_extract(m, fixed.SWATH_NAME, i)
-    stamp = F.try_to_timestamp(
-        F.concat_ws(" ", part(2), part(3), part(4), part(5)), F.lit("yyyy DDD HH mm")
-    )
-    return F.when(
-        (part(1) != "") & stamp.isNotNull(),
-        F.struct(part(1).alias("hemisphere"), stamp.alias("obs_time")),
-    )
+    # the fields of a match have fixed widths
+    hit = F.regexp_extract(col(member), fixed.SWATH_NAME, 0)
+
+    def fields(h: Column) -> Column:
+        stamp = F.try_to_timestamp(F.substring(h, 18, 14), F.lit("yyyy_DDD_HH_mm"))
+        return let(stamp, lambda t: F.when(
+            t.isNotNull(), F.struct(F.substring(h, 10, 3).alias("hemisphere"), t.alias("obs_time"))
+        ))
+
+    return let(hit, lambda h: F.when(h != "", fields(h)))
 
 
 def parse_omni_name(path: ColumnLike) -> Column:

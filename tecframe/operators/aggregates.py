@@ -157,7 +157,7 @@ def summarise_failures(reasons: DataFrame, keys: Sequence[str], *, reason: str =
     return counts.groupBy(*keys).agg(
         F.min_by(reason, F.struct(-F.col("_n"), step, F.col(reason))).alias("reason"),
         F.array_join(
-            F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"]), ", "
+            F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["t"]), ", "
         ).alias("detail"),
         F.sum("_n").alias("failures"),
     )

@@ -59,7 +59,7 @@ def asof_latest(
         *keys, F.explode(F.array(slot, slot + 1)).alias("_slot"),
         F.struct(F.col("_us").alias("us"), F.col("rec")).alias("r"),
     )
-    per_slot = served.groupBy(*keys, "_slot").agg(F.array_sort(F.collect_list("r")).alias("_recs"))
+    per_slot = served.groupBy(*keys, "_slot").agg(F.sort_array(F.collect_list("r")).alias("_recs"))
     rows = obs.withColumn("_slot", F.floor(micros(obs_time) / width))
     joined = rows.join(per_slot, [*keys, "_slot"], "left")
     before = F.filter("_recs", lambda r: r["us"] <= micros(obs_time))

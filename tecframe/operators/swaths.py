@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tecframe.functions._col import ColumnLike, col
+from tecframe.functions._col import ColumnLike, col, let
 from tecframe.operators.quantiles import grouped_median
 
 
 def swath_lines(pixels: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = ("entry_id", "y"), x: str = "x") -> DataFrame:
     """Pixel rows to lines; a line is as long as the swath is wide."""
-    items = F.array_sort(F.collect_list(F.struct(x, *columns)))
+    items = F.sort_array(F.collect_list(F.struct(x, *columns)))
     out = pixels.groupBy(*keys).agg(items.alias("_px"))
     return out.select(*keys, *[F.col(f"_px.{c}").alias(c) for c in columns])
 
@@ -73,12 +73,10 @@ def _between(upper: ColumnLike, lower: ColumnLike) -> Column:
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
         lambda k: (F.get(a, k - 1) + F.get(b, k - 1) + F.get(a, k) + F.get(b, k)) * 0.25,
     )
-    full = F.concat(
-        F.array(F.get(a, F.lit(0)) * 2.0 - F.get(inner, F.lit(0))),
-        inner,
-        F.array(F.get(a, n - 1) * 2.0 - F.get(inner, n - 2)),
+    full = lambda e: F.concat(
+        F.array(F.get(a, F.lit(0)) * 2.0 - F.get(e, F.lit(0))), e, F.array(F.get(a, n - 1) * 2.0 - F.get(e, n - 2))
     )
-    return F.when(n > 1, full)
+    return F.when(n > 1, let(inner, full))
 
 
 def _border(centre: ColumnLike, edge: ColumnLike) -> Column:

@@ -38,7 +38,7 @@ def slice_points(slices: DataFrame, spec: OverlaySpec, bbox: dict[str, float] =
     inside = lambda v, lo, hi: F.filter(v, lambda x: x.between(lo, hi))
     step = native_step(
         inside(F.col("lat"), bbox["lat_min"], bbox["lat_max"]),
-        inside(F.array_sort("lon"), bbox["lon_min"], bbox["lon_max"]),
+        inside(F.sort_array("lon"), bbox["lon_min"], bbox["lon_max"]),
     )
     rows = wrapped.select(
         "slice_id", (F.lit(spec.bin_deg) <= step + 1e-9).alias("native"), "lat",

@@ -23,7 +23,7 @@ SCHEMAS = {
 
 def sorted_json(value: Column) -> Column:
     """A map as JSON text with its keys in order."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(value))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(value))))
 
 
 def decode(df: DataFrame) -> DataFrame:
