@@ -148,18 +148,23 @@ def coverage(series: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def summarise_failures(reasons: DataFrame, keys: Sequence[str], *, reason: str = "reason",
                        order: Sequence[str] = fixed.SATELLITE_REASONS) -> DataFrame:
-    """Dominant reason (ties by step order, then name) and the sorted count list."""
+    """Dominant reason (ties by step order, then name), the sorted count list, and ``succeeded``.
+
+    A NULL reason is a success and not counted as a failure.
+    """
     counts = reasons.groupBy(*keys, reason).agg(F.count(F.lit(1)).alias("_n"))
+    failed = F.col(reason).isNotNull()
     names = F.array(*[F.lit(o) for o in order])
     step = F.array_position(names, F.col(reason))
     step = F.when(step == 0, F.lit(len(order) + 1)).otherwise(step)
     entry = F.struct(F.col(reason), F.concat(F.col(reason), F.lit("="), F.col("_n")).alias("t"))
     return counts.groupBy(*keys).agg(
-        F.min_by(reason, F.struct(-F.col("_n"), step, F.col(reason))).alias("reason"),
+        F.min_by(reason, F.when(failed, F.struct(-F.col("_n"), step, F.col(reason)))).alias("reason"),
         F.array_join(
-            F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["t"]), ", "
+            F.transform(F.sort_array(F.collect_list(F.when(failed, entry))), lambda e: e["t"]), ", "
         ).alias("detail"),
-        F.sum("_n").alias("failures"),
+        F.coalesce(F.sum(F.when(failed, F.col("_n"))), F.lit(0)).alias("failures"),
+        F.bool_or(~failed).alias("succeeded"),
     )
 
 

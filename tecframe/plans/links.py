@@ -47,7 +47,7 @@ def observation_pairs(obs: DataFrame) -> DataFrame:
     )
     listed = F.array_compact(F.array(*[F.when(F.col(c), F.lit(c)) for c in codes]))
     return have.select(
-        "station_id", "observation_date",
+        "station_id", "observation_date", F.lit(True).alias("seen"),
         pick_pair(listed, fixed.PHASE_FIRST, fixed.PHASE_SECOND).alias("phase"),
         pick_pair(listed, fixed.CODE_FIRST, fixed.CODE_SECOND).alias("code"),
     )
@@ -73,15 +73,16 @@ def build_links(
     observation_date, lat, lon, height_m, header_x, header_y, header_z.
     events: event_id, start_utc, end_utc.
     """
-    placed = predicates.resolve_position(predicates.clip_to_day(records, events))
+    placed = predicates.resolve_position(predicates.clip_to_day(records, events)).drop(
+        "header_x", "header_y", "header_z"
+    )
+    # everything known about a station-day in one table, so that the observations meet one join
+    days = placed.join(observation_pairs(obs), ["station_id", "observation_date"], "left")
+    usable_days = days.filter(F.col("position_reason").isNull() & F.col("phase").isNotNull())
     rows = predicates.only_system(obs, params.system).withColumn("sv", F.upper("sv"))
-    rows = rows.join(
-        placed.filter(F.col("position_reason").isNull()).drop("header_x", "header_y", "header_z", "position_reason"),
-        ["station_id", "observation_date"],
-    ).filter(F.col("time").between(F.col("slice_start"), F.col("slice_end")))
-
-    pairs = observation_pairs(obs)
-    rows = rows.join(pairs.filter(F.col("phase").isNotNull()), ["station_id", "observation_date"])
+    rows = rows.join(usable_days.drop("position_reason", "seen"), ["station_id", "observation_date"]).filter(
+        F.col("time").between(F.col("slice_start"), F.col("slice_end"))
+    )
     cols = obs.columns
     rows = rows.select(
         *K, "time", "ingest_pos", "station_code4", "lat", "lon", "height_m",
@@ -134,31 +135,27 @@ def build_links(
     flagged = slips.detect_slips(measured, K, params.slips)
     diagnostics = slips.slip_diagnostics(flagged, [*K, "phase_pair", "code_pair"], code_pair="code_pair")
 
-    finished = finish_tracks(flagged, K, params)
-    usable = predicates.any_metric(finished)
+    tracks = finish_tracks(flagged, K, params)
+    delivered = F.col("keep") & (F.col("vtec").isNotNull() | F.col("roti").isNotNull())
     ipp_lat, ipp_lon = geodesy.pierce_point("lat", "lon", "az_deg", "elev_deg", params.shell_km)
-    links = usable.withColumns(
+    links = tracks.filter(delivered).withColumns(
         {"ipp_lat": ipp_lat, "ipp_lon": ipp_lon, "station_code4": F.upper("station_code4")}
     ).select(*fixed.LINK_COLUMNS, "observation_date")
 
-    outcome = flagged.groupBy(*K).agg(F.count_if("keep").alias("kept"))
-    alive = usable.select(*K).distinct()
-    late = outcome.join(alive, K, "left_anti").select(
+    # outcome of every track: NULL when it delivered links
+    late = tracks.groupBy(*K).agg(F.count_if("keep").alias("_kept"), F.count_if(delivered).alias("_out")).select(
         *K,
-        F.when(F.col("kept") == 0, F.lit("finalize_empty")).otherwise(F.lit("no_finite_vtec_or_roti")).alias("reason"),
+        F.when(F.col("_out") > 0, F.lit(None)).when(F.col("_kept") == 0, F.lit("finalize_empty"))
+        .otherwise(F.lit("no_finite_vtec_or_roti")).alias("reason"),
     )
     summary = aggregates.summarise_failures(early.unionByName(late), STATION_DAY)
-    days = placed.select(*STATION_DAY, "position_reason").join(
-        alive.select(*STATION_DAY).distinct(), STATION_DAY, "left_anti"
-    )
-    seen = pairs.select("station_id", "observation_date", F.col("phase").isNull().alias("_nopair"))
     failures = (
-        days.join(seen, ["station_id", "observation_date"], "left")
-        .join(summary, STATION_DAY, "left")
+        days.join(summary, STATION_DAY, "left")
+        .filter(~F.coalesce("succeeded", F.lit(False)))
         .select(
             *STATION_DAY, F.lit("process").alias("stage"),
-            F.when(F.col("_nopair").isNull(), F.lit("empty_observations"))
-            .when(F.col("_nopair"), F.lit("missing_phase_pair"))
+            F.when(F.col("seen").isNull(), F.lit("empty_observations"))
+            .when(F.col("phase").isNull(), F.lit("missing_phase_pair"))
             .otherwise(F.coalesce("position_reason", "reason", F.lit("no_valid_links")))
             .alias("reason"),
             F.coalesce("detail", F.lit("")).alias("detail"),
@@ -168,16 +165,18 @@ def build_links(
 
 
 def finish_tracks(flagged: DataFrame, keys: Sequence[str], params: LinkParams = LinkParams()) -> DataFrame:
-    """stec, vtec and roti of the kept rows; one exchange on the keys serves every window."""
-    kept = flagged.filter("keep").withColumn("stec", F.col("phase_stec")).repartition(*keys)
-    kept = sequences.normalise_arc(kept, keys)
-    kept = sequences.fallback_source(kept, keys)
-    kept = kept.withColumn(
-        "vtec",
-        signal.vtec_source("code_stec", "vtec_fallback") / geodesy.mapping("elev_deg", params.shell_km),
-    )
-    rows = sequences.roti_rows(params.roti_minutes, params.interval_sec)
-    return sequences.roti(sequences.rot(kept, keys), keys, rows)
+    """stec, vtec and roti of the kept rows; one exchange on the keys serves every window.
+
+    Dropped rows stay for the outcome of their track. They form arc -1, so
+    they touch neither the arcs nor, being blanked, the percentile.
+    """
+    rows = flagged.withColumn("stec", F.when(F.col("keep"), F.col("phase_stec"))).repartition(*keys)
+    rows = sequences.normalise_arc(rows, keys)
+    rows = sequences.fallback_source(rows, keys)
+    vtec = signal.vtec_source("code_stec", "vtec_fallback") / geodesy.mapping("elev_deg", params.shell_km)
+    rows = rows.withColumn("vtec", F.when(F.col("keep"), vtec))
+    width = sequences.roti_rows(params.roti_minutes, params.interval_sec)
+    return sequences.roti(sequences.rot(rows, keys), keys, width)
 
 
 class GridTables(NamedTuple):

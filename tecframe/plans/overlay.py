@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -65,16 +66,17 @@ def slice_points(slices: DataFrame, spec: OverlaySpec, bbox: dict[str, float] =
 
 def build_overlay(
     slices: DataFrame, scenes: DataFrame, spec: OverlaySpec = OverlaySpec(),
-    explicit: DataFrame | None = None, bbox: dict[str, float] = fixed.BBOX,
+    explicit: DataFrame | None = None, bbox: dict[str, float] = fixed.BBOX, by: Sequence[str] = (),
 ) -> OverlayTables:
     """Pairs with their status, and the points of every paired slice.
 
     scenes: scene_id, midpoint, cha_time, chb_time. Explicit pairs replace the
-    nearest-time pairing.
+    nearest-time pairing. ``by`` names the event column where the tables hold
+    more than one event.
     """
     if explicit is None:
         found = pair_nearest(
-            slices, scenes, spec.tolerance_min * 60.0, left_id="slice_id", right_id="scene_id",
+            slices, scenes, spec.tolerance_min * 60.0, by, left_id="slice_id", right_id="scene_id",
             right_time="midpoint",
         ).select(
             F.col("left_id").alias("slice_id"), F.col("right_id").alias("scene_id"),

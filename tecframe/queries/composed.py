@@ -30,7 +30,7 @@ def p03(t: Tables) -> DataFrame:
     )
     flagged = slips.detect_slips(rows, TRACK, SLIP_PARAMS)
     out = finish_tracks(flagged, TRACK, LinkParams(interval_sec=60, roti_minutes=3.0))
-    return out.select("station_id", "sv", "time", "arc_id", *[r6(c).alias(c) for c in ("stec", "vtec", "roti")])
+    return out.filter("keep").select("station_id", "sv", "time", "arc_id", *[r6(c).alias(c) for c in ("stec", "vtec", "roti")])
 
 
 def raw_observations(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -53,12 +53,12 @@ def raw_observations(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFr
         }
     )
     place = F.regexp_extract("station_id", r"(\d+)", 1).cast("double")
-    records = base.select("station_id", "observation_date").distinct().select(
-        F.lit("storm").alias("event_id"), "station_id", "station_id", "observation_date",
-    ).toDF("event_id", "station_id", "station_code4", "observation_date").withColumns(
-        {"lat": place % 60 - 30, "lon": place * 17 % 160 - 150, "height_m": F.lit(100.0), **{f"header_{a}": F.lit(None).cast("double") for a in "xyz"}}
+    records = base.select("station_id", "observation_date").distinct().withColumns(
+        {"event_id": F.date_format("observation_date", "yyyy-MM"), "station_code4": F.col("station_id"), "lat": place % 60 - 30, "lon": place * 17 % 160 - 150, "height_m": F.lit(100.0), **{f"header_{a}": F.lit(None).cast("double") for a in "xyz"}}
+    )
+    event = t.events.groupBy(F.date_format("ts", "yyyy-MM").alias("event_id")).agg(
+        F.min("ts").alias("start_utc"), F.max("ts").alias("end_utc")
     )
-    event = t.events.agg(F.min("ts").alias("start_utc"), F.max("ts").alias("end_utc")).withColumn("event_id", F.lit("storm"))
     return obs, eph, records, event
 
 

@@ -53,7 +53,7 @@ def click_view_pairs(t: Tables) -> tuple[DataFrame, DataFrame]:
     me = minute_events(t)
     clicks, views = me.filter("event_type = 'click'"), me.filter("event_type = 'view'")
     pairs = pair_nearest(clicks, views, 4 * 3600.0, ["user_id", "day"], left_id="id", right_id="id")
-    return clicks.unionByName(views), pairs
+    return me.filter("event_type in ('click', 'view')"), pairs
 
 
 @query("j01_pair_nearest", f"""
@@ -335,7 +335,7 @@ def p02(t: Tables) -> DataFrame:
 OVERLAY = """
 s AS (SELECT vec_id AS id, TIMESTAMP '2024-01-01' + to_minutes(vec_id * 47) AS time, embedding FROM embeddings),
 g AS (SELECT max(event_id) AS id, date_trunc('hour', ts) + to_minutes(CAST(max(event_id) % 60 AS INTEGER)) AS time FROM events WHERE event_type = 'purchase' GROUP BY date_trunc('hour', ts)),
-s1 AS (SELECT *, 1 AS one FROM s), g1 AS (SELECT *, 1 AS one FROM g),
+s1 AS (SELECT *, strftime(time, '%Y-%m') AS event FROM s), g1 AS (SELECT *, strftime(time, '%Y-%m') AS event FROM g),
 cells AS (SELECT id, CAST((i - 1) // 8 * 0.2::DOUBLE - 0.8::DOUBLE AS DOUBLE) AS lat, CAST((i - 1) % 8 * 0.2::DOUBLE - 60.0::DOUBLE AS DOUBLE) AS lon, CAST(embedding[i] AS DOUBLE) AS v FROM s, range(1, 65) r(i)),
 bins AS (SELECT DISTINCT id, floor((lon + 150.0::DOUBLE) / 0.5::DOUBLE) AS xi, floor((lat + 80.0::DOUBLE) / 0.5::DOUBLE) AS yi FROM cells WHERE v > 0.15::DOUBLE)"""
 
@@ -353,26 +353,27 @@ def overlay_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
     scenes = t.events.filter("event_type = 'purchase'").groupBy(hour.alias("h")).agg(F.max("event_id").alias("scene_id")).select(
         "scene_id", F.timestamp_micros(F.unix_micros("h") + F.col("scene_id") % 60 * 60_000_000).alias("midpoint")
     )
-    return slices, scenes
+    month = lambda c: F.date_format(c, "yyyy-MM")
+    return slices.withColumn("event", month("time")), scenes.withColumn("event", month("midpoint"))
 
 
 @query("p09_overlay_pairs", f"""
-WITH RECURSIVE {OVERLAY}, {greedy_sql('g', 's1', 'g1', 'one', 15 * 60_000_000)},
+WITH RECURSIVE {OVERLAY}, {greedy_sql('g', 's1', 'g1', 'event', 15 * 60_000_000)},
 n AS (SELECT id, count(*) AS n FROM bins GROUP BY 1)
 SELECT l AS slice_id, r AS scene_id, lt AS gnss_time, rt AS gold_time, d / 1e6 AS delta_seconds, CASE WHEN n.n IS NULL THEN 'skipped' ELSE 'ready' END AS status,
        CASE WHEN n.n IS NULL THEN 'threshold_removed_all_pixels' ELSE '' END AS detail, coalesce(n.n, 0) AS points FROM g_walk LEFT JOIN n ON n.id = l WHERE taken
 """)
 def p09(t: Tables) -> DataFrame:
     slices, scenes = overlay_tables(t)
-    out = build_overlay(slices, scenes, OverlaySpec(threshold=0.15))
+    out = build_overlay(slices, scenes, OverlaySpec(threshold=0.15), by=["event"])
     return out.pairs.drop("overlay_name", "metric", "label")
 
 
 @query("p09_overlay_points", f"""
-WITH RECURSIVE {OVERLAY}, {greedy_sql('g', 's1', 'g1', 'one', 15 * 60_000_000)}
+WITH RECURSIVE {OVERLAY}, {greedy_sql('g', 's1', 'g1', 'event', 15 * 60_000_000)}
 SELECT id AS slice_id, round(-150.0::DOUBLE + (xi + 0.5::DOUBLE) * 0.5::DOUBLE, 6) AS lon, round(-80.0::DOUBLE + (yi + 0.5::DOUBLE) * 0.5::DOUBLE, 6) AS lat FROM bins WHERE id IN (SELECT l FROM g_walk WHERE taken)
 """)
 def p09_points(t: Tables) -> DataFrame:
     slices, scenes = overlay_tables(t)
-    out = build_overlay(slices, scenes, OverlaySpec(threshold=0.15))
+    out = build_overlay(slices, scenes, OverlaySpec(threshold=0.15), by=["event"])
     return out.points.select("slice_id", r6("lon").alias("lon"), r6("lat").alias("lat"))
