@@ -10,7 +10,7 @@ from tecframe.functions.timefn import floor_time, gps_seconds_of_week, gps_week
 from tecframe.operators import slips
 from tecframe.plans.links import LinkParams, build_grid, build_links, build_series, finish_tracks
 from tecframe.queries.aggregation import VALUE_LINKS, event_bounds, value_links
-from tecframe.queries.base import RATES, TRACK, Tables, full_links, links, query, r6
+from tecframe.queries.base import LINKS, RATES, TRACK, Tables, full_links, links, query, r6
 from tecframe.queries.tracks import SLIP_PARAMS, SLIPS, as_phases
 
 
@@ -68,14 +68,87 @@ FULL_PARAMS = LinkParams(
 )
 
 
-@query("p03_links_from_observations")
+_F1, _F2, _C = "1575.42e6::DOUBLE", "1227.60e6::DOUBLE", "299792458.0::DOUBLE"
+
+
+def full_sql(mask: float) -> str:
+    """The whole way from observations to links; the orbit of a row is that of its own two hours."""
+    kepler = "".join(
+        f", k{i} AS (SELECT * REPLACE (m + 0.01::DOUBLE * sin(e) AS e) FROM k{i - 1})" for i in range(1, 9)
+    )
+    return f"""{LINKS},
+ev AS (SELECT strftime(ts, '%Y-%m') AS event_id, min(ts) AS s, max(ts) AS z FROM events GROUP BY 1),
+o AS (SELECT event_id, station_id, CAST(time AS DATE) AS d, time, sv, stec * 1000.0::DOUBLE AS l1, stec * 779.0::DOUBLE AS l2, stec * 190.0::DOUBLE + 3.0::DOUBLE AS c1,
+             CASE WHEN ingest_pos % 5 <> 0 THEN stec * 190.0::DOUBLE + 4.0::DOUBLE END AS c2, CAST(substr(sv, 2) AS DOUBLE) AS num, CAST(substr(station_id, 2) AS DOUBLE) AS place,
+             time_bucket(INTERVAL 2 HOURS, time, TIMESTAMP '1970-01-01') AS slot
+      FROM links JOIN ev ON event_id = strftime(time, '%Y-%m') AND time >= s AND time <= z),
+t0 AS (SELECT *, epoch_us(time - slot + TIMESTAMP '1970-01-01') / 1e6 AS tk, CAST((epoch_us(slot) - epoch_us(TIMESTAMP '1980-01-06')) // 1000000 % 604800 AS DOUBLE) AS toe,
+              5153.6::DOUBLE * 5153.6::DOUBLE AS a, radians(place % 60 - 30) AS p, radians(place * 17 % 160 - 150) AS l FROM o),
+t1 AS (SELECT *, num * 0.196::DOUBLE + sqrt(3.986005e14 / pow(a, 3)) * tk AS m FROM t0),
+k0 AS (SELECT *, m AS e FROM t1){kepler},
+q AS (SELECT *, atan2(sqrt(1 - 0.01::DOUBLE * 0.01::DOUBLE) * sin(e), cos(e) - 0.01::DOUBLE) AS u, a * (1 - 0.01::DOUBLE * cos(e)) AS r,
+             num % 6 * 1.047::DOUBLE + (-8e-9 - 7.2921151467e-5) * tk - 7.2921151467e-5 * toe AS node, 1.0::DOUBLE / 298.257223563::DOUBLE AS f FROM k8),
+g AS (SELECT *, 6378137.0::DOUBLE / sqrt(1 - f * (2 - f) * sin(p) * sin(p)) AS n FROM q),
+dv AS (SELECT *, r * cos(u) * cos(node) - r * sin(u) * cos(0.96::DOUBLE) * sin(node) - (n + 100) * cos(p) * cos(l) AS dx,
+              r * cos(u) * sin(node) + r * sin(u) * cos(0.96::DOUBLE) * cos(node) - (n + 100) * cos(p) * sin(l) AS dy,
+              r * sin(u) * sin(0.96::DOUBLE) - (n * (1 - f * (2 - f)) + 100) * sin(p) AS dz FROM g),
+en AS (SELECT *, -sin(l) * dx + cos(l) * dy AS ee, -sin(p) * cos(l) * dx - sin(p) * sin(l) * dy + cos(p) * dz AS nn, cos(p) * cos(l) * dx + cos(p) * sin(l) * dy + sin(p) * dz AS uu FROM dv),
+ang AS (SELECT *, (degrees(atan2(ee, nn)) + 360) % 360 AS az, degrees(atan2(uu, sqrt(ee * ee + nn * nn))) AS el FROM en),
+judged AS (SELECT *, count(*) OVER k AS n1, count_if(el >= {mask}) OVER k AS n3 FROM ang WINDOW k AS (PARTITION BY event_id, station_id, d, sv))"""
+
+
+FULL_LINKS = full_sql(-20.0) + f""",
+numbered AS MATERIALIZED (
+  SELECT event_id, station_id, d, sv, time, el, az, p, l, epoch_us(time) / 1e6 AS s,
+         (l1 * ({_C} / {_F1}) - l2 * ({_C} / {_F2})) * (({_F1} * {_F1} * {_F2} * {_F2}) / (40.3::DOUBLE * ({_F1} * {_F1} - {_F2} * {_F2})) / 1e16) AS phase,
+         (c2 - c1) * (({_F1} * {_F1} * {_F2} * {_F2}) / (40.3::DOUBLE * ({_F1} * {_F1} - {_F2} * {_F2})) / 1e16) AS code,
+         (l1 - l2) - ({_F1} * c1 + {_F2} * c2) / ({_F1} + {_F2}) / ({_C} / ({_F1} - {_F2})) AS mw,
+         row_number() OVER (PARTITION BY event_id, station_id, d, sv ORDER BY time) AS n
+  FROM judged WHERE n1 >= 2 AND n3 >= 2 AND el >= -20),
+walk AS (
+  SELECT event_id, station_id, d, sv, time, n, s, CAST(0 AS BIGINT) AS arc, CASE WHEN mw IS NULL THEN CAST([] AS DOUBLE[]) ELSE CAST([mw] AS DOUBLE[]) END AS hm, true AS keep FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT event_id, station_id, d, sv, time, n, s, arc + CASE WHEN hit THEN 1 ELSE 0 END, CASE WHEN hit THEN [] WHEN mw IS NULL THEN hm ELSE list_append(hm, mw) END, NOT hit
+  FROM (SELECT *, CASE WHEN mw IS NOT NULL AND len(hm) >= 3 THEN abs(mw - list_median(hm[-3:])) > 4.0 ELSE false END AS hit
+        FROM (SELECT x.event_id, x.station_id, x.d, x.sv, x.time, x.n, x.s, x.mw, w.arc + CASE WHEN x.s - w.s > 28800 THEN 1 ELSE 0 END AS arc, CASE WHEN x.s - w.s > 28800 THEN [] ELSE w.hm END AS hm
+              FROM walk w JOIN numbered x ON x.event_id = w.event_id AND x.station_id = w.station_id AND x.d = w.d AND x.sv = w.sv AND x.n = w.n + 1))),
+kept AS (SELECT b.*, w.arc FROM walk w JOIN numbered b USING (event_id, station_id, d, sv, time) WHERE keep),
+based AS (SELECT *, phase - first_value(phase) OVER (PARTITION BY event_id, station_id, d, sv, arc ORDER BY time) AS st FROM kept),
+lev AS (SELECT *, coalesce(code, st - quantile_cont(st, 0.05) OVER (PARTITION BY event_id, station_id, d, sv)) * sqrt(1 - pow(least(0.999999::DOUBLE, 6371.0::DOUBLE * cos(radians(el)) / 6721.0::DOUBLE), 2)) AS vtec FROM based),
+rt AS (SELECT *, (st - lag(st) OVER w) / ((epoch_us(time) - epoch_us(lag(time) OVER w)) / 6e7) AS rot FROM lev WINDOW w AS (PARTITION BY event_id, station_id, d, sv, arc ORDER BY time)),
+done AS (SELECT *, CASE WHEN count(rot) OVER f = 2 THEN stddev_pop(rot) OVER f END AS roti,
+                pi() / 2 - radians(el) - asin(6371.0::DOUBLE / 6721.0::DOUBLE * sin(pi() / 2 - radians(el))) AS psi
+         FROM rt WINDOW f AS (PARTITION BY event_id, station_id, d, sv, arc ORDER BY time ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)),
+pp AS (SELECT *, asin(sin(p) * cos(psi) + cos(p) * sin(psi) * cos(radians(az))) AS ip FROM done)"""
+
+
+@query("p03_links_from_observations", f"""
+WITH RECURSIVE {FULL_LINKS}
+SELECT event_id, station_id, sv, time, arc AS arc_id, round(az, 5) AS az_deg, round(el, 5) AS elev_deg, round(degrees(ip), 5) AS ipp_lat,
+       round(((degrees(l + asin(sin(psi) * sin(radians(az)) / greatest(cos(ip), 1e-6::DOUBLE))) + 180) % 360 + 360) % 360 - 180, 5) AS ipp_lon,
+       round(st, 4) AS stec, round(vtec, 4) AS vtec, round(roti, 4) AS roti FROM pp
+""")
 def p03_full(t: Tables) -> DataFrame:
-    return build_links(*raw_observations(t), FULL_PARAMS).links
+    out = build_links(*raw_observations(t), FULL_PARAMS).links
+    return out.select(
+        "event_id", "station_id", "sv", "time", "arc_id", *[r6(c, 5).alias(c) for c in ("az_deg", "elev_deg", "ipp_lat", "ipp_lon")],
+        *[r6(c, 4).alias(c) for c in ("stec", "vtec", "roti")],
+    )
 
 
-@query("p03_link_failures")
+@query("p03_link_failures", f"""
+WITH {full_sql(70.0)},
+k AS (SELECT event_id, station_id, d, sv, CASE WHEN any_value(n1) < 2 THEN 'insufficient_phase_samples' WHEN any_value(n3) < 2 THEN 'below_elevation_mask' END AS reason
+      FROM judged GROUP BY ALL),
+c AS (SELECT event_id, station_id, d, reason, count(*) AS n FROM k GROUP BY ALL),
+days AS (SELECT DISTINCT strftime(time, '%Y-%m') AS event_id, station_id, CAST(time AS DATE) AS d FROM links),
+s AS (SELECT event_id, station_id, d, first(reason ORDER BY n DESC, reason = 'below_elevation_mask') AS reason, string_agg(reason || '=' || CAST(n AS VARCHAR), ', ' ORDER BY reason) AS detail
+      FROM c GROUP BY ALL HAVING count_if(reason IS NULL) = 0)
+SELECT event_id, station_id, d AS observation_date, coalesce(reason, 'no_valid_links') AS reason, coalesce(detail, '') AS detail
+FROM days LEFT JOIN s USING (event_id, station_id, d) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.event_id = days.event_id AND c.station_id = days.station_id AND c.d = days.d AND c.reason IS NULL)
+""")
 def p03_failures(t: Tables) -> DataFrame:
-    return build_links(*raw_observations(t), replace(FULL_PARAMS, elevation_mask=70.0)).failures
+    return build_links(*raw_observations(t), replace(FULL_PARAMS, elevation_mask=70.0)).failures.drop("stage")
 
 
 @query("p04_grid_products", f"""
