@@ -6,11 +6,11 @@ the next closest pair, so the work is linear in the rows and no list of
 candidates is built.
 
 How it spreads: each ``by`` group is cut into pieces wherever its timeline is
-empty for longer than the tolerance, and no pair crosses such a cut. A piece
-that is very long, as from one dense source, is worked in chunks of time. A
-chunk decides what nothing outside of it can change, and hands the rows near
-its borders on to a second round with shifted chunks; what is still open then,
-usually nothing, is settled in a last round.
+empty for longer than the tolerance, and no pair crosses such a cut. Pieces with
+very many rows, as from one dense source, are worked in chunks of time, which
+may be shorter than the tolerance. A chunk decides what nothing outside of it
+can change, and hands the rows near its borders on to a second round with
+shifted chunks; what is still open then is settled in a last round.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ from tecframe.operators.batches import whole_groups
 from tecframe.session import ensure_checkpoint_dir
 
 _FAR = 2**62
-# a piece is cut into chunks of this many tolerances when it is longer than that
+# pieces with more rows than this are worked in chunks of about this many rows
+CHUNK_ROWS = 1_000_000
+# and a chunk is at most this many tolerances long
 CHUNK_SLOTS = 256
 
 
@@ -41,7 +43,7 @@ def pair_nearest(
     right_id: str,
     left_time: str = "time",
     right_time: str = "time",
-    chunk_slots: int = CHUNK_SLOTS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """by, left_id, right_id, left_time, right_time, delta_sec.
 
@@ -66,13 +68,16 @@ def pair_nearest(
             T.StructField("_side", T.IntegerType()),
         ]
     )
-    slots = rows.select(*by, F.floor(F.col("_us") / slot).alias("_slot")).distinct()
-    pieces = _pieces(slots, by)
-    chunk = chunk_slots * slot
-    long_piece = pieces.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_slots)
-    if long_piece.isEmpty():
+    pieces = _pieces(_occupied(rows, by, slot), by)
+    # rows of the fullest slot among the pieces that are too large for one task
+    fullest = (
+        pieces.groupBy(*by, "_piece").agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_max"))
+        .filter(F.col("_rows") > chunk_rows).agg(F.max("_max")).first()[0]
+    )
+    if fullest is None:
         done = _round(_with_piece(rows, pieces, by, slot), by, schema, tol, None, 0)
     else:
+        chunk = max(1, min(CHUNK_SLOTS * slot, slot * chunk_rows // fullest))
         ensure_checkpoint_dir(rows.sparkSession)
         first = _round(_with_piece(rows, pieces, by, slot), by, schema, tol, chunk, 0).checkpoint()
         second = _round(_again(first, by, slot), by, schema, tol, chunk, chunk // 2).checkpoint()
@@ -90,6 +95,11 @@ def _blank(kind: T.DataType) -> Column:
     return F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
 
 
+def _occupied(rows: DataFrame, by: list[str], slot: int) -> DataFrame:
+    """Slots that hold rows, with their number."""
+    return rows.groupBy(*by, F.floor(F.col("_us") / slot).alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def _pieces(slots: DataFrame, by: list[str]) -> DataFrame:
     """Numbers runs of neighbouring occupied slots.
 
@@ -114,8 +124,7 @@ def _again(out: DataFrame, by: list[str], slot: int) -> DataFrame:
     rows = out.filter("_side > 0").select(
         *by, "_l", "_r", F.col("_lu").alias("_us"), F.col("_side")
     )
-    slots = rows.select(*by, F.floor(F.col("_us") / slot).alias("_slot")).distinct()
-    return _with_piece(rows, _pieces(slots, by), by, slot)
+    return _with_piece(rows, _pieces(_occupied(rows, by, slot), by), by, slot)
 
 
 def _round(

@@ -38,7 +38,7 @@ WITH {VALUE_LINKS}
 SELECT time_bucket(INTERVAL 6 HOURS, time, TIMESTAMP '1970-01-01') AS time,
        round_even(10.0 + round_even((ipp_lat - 10.0) / 10.0, 0) * 10.0, 6) AS lat,
        round_even(0.0 + round_even((ipp_lon - 0.0) / 10.0, 0) * 10.0, 6) AS lon,
-       round(median(vtec), 6) AS vtec, round(median(roti), 6) AS roti, count(sv) AS sample_count
+       round(median(vtec), 6) + 0.0::DOUBLE AS vtec, round(median(roti), 6) + 0.0::DOUBLE AS roti, count(sv) AS sample_count
 FROM vl WHERE ipp_lat BETWEEN 10 AND 90 AND ipp_lon BETWEEN 0 AND 90 GROUP BY ALL
 """)
 def a01(t: Tables) -> DataFrame:
@@ -50,8 +50,8 @@ def a01(t: Tables) -> DataFrame:
 WITH {VALUE_LINKS},
 cells AS (SELECT event_id, date_trunc('hour', time) AS time, floor(ipp_lat / 10.0) * 10.0 AS lat_bin,
                  floor(ipp_lon / 25.0) * 25.0 AS lon_bin, vtec, roti, sv FROM vl),
-grid AS (SELECT time, event_id, lat_bin, lon_bin, round(median(vtec), 6) AS vtec_median,
-                round(median(roti), 6) AS roti_median, count(sv) AS sample_count FROM cells GROUP BY ALL),
+grid AS (SELECT time, event_id, lat_bin, lon_bin, round(median(vtec), 6) + 0.0::DOUBLE AS vtec_median,
+                round(median(roti), 6) + 0.0::DOUBLE AS roti_median, count(sv) AS sample_count FROM cells GROUP BY ALL),
 bounds AS (SELECT event_id, date_trunc('day', min(time)) AS a, date_trunc('day', max(time)) + INTERVAL 2 DAY AS b FROM vl GROUP BY 1),
 wanted AS (SELECT event_id, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS time FROM bounds)
 SELECT * FROM grid
@@ -111,7 +111,7 @@ decoded AS (SELECT *, CASE WHEN CAST(Kp_code AS BIGINT) % 10 = 0 THEN CAST(Kp_co
 
 @query("a03_kp_3hour", f"""
 WITH {RAW_INDICES}
-SELECT time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') AS "KpStart", round(arg_min(Kp, PlotTime), 6) AS "Kp",
+SELECT time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') AS "KpStart", round(arg_min(Kp, PlotTime), 6) + 0.0::DOUBLE AS "Kp",
        time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') + INTERVAL 3 HOURS AS "KpEnd"
 FROM decoded WHERE kind = 'view' AND Kp IS NOT NULL GROUP BY ALL
 """)
@@ -125,9 +125,9 @@ WITH {RAW_INDICES},
 bz AS (SELECT 'bz' AS series, ts AS time, nullif(CASE WHEN value < 5 THEN 9999.99 ELSE value - 50 END, 9999.99) AS v FROM events WHERE event_type = 'click'),
 kp AS (SELECT time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') AS time, arg_min(Kp, PlotTime) AS v
        FROM decoded WHERE kind = 'error' AND Kp IS NOT NULL GROUP BY 1)
-SELECT series, time, round(v, 6) AS value, CAST(NULL AS VARCHAR) AS level FROM bz
-UNION ALL SELECT 'hourly', PlotTime, round(Kp, 6), NULL FROM decoded WHERE kind = 'error'
-UNION ALL SELECT 'kp', time, round(v, 6), CASE WHEN v IS NULL THEN 'missing' WHEN v < 4 THEN 'quiet' WHEN v < 5 THEN 'active' ELSE 'storm' END FROM kp
+SELECT series, time, round(v, 6) + 0.0::DOUBLE AS value, CAST(NULL AS VARCHAR) AS level FROM bz
+UNION ALL SELECT 'hourly', PlotTime, round(Kp, 6) + 0.0::DOUBLE, NULL FROM decoded WHERE kind = 'error'
+UNION ALL SELECT 'kp', time, round(v, 6) + 0.0::DOUBLE, CASE WHEN v IS NULL THEN 'missing' WHEN v < 4 THEN 'quiet' WHEN v < 5 THEN 'active' ELSE 'storm' END FROM kp
 """)
 def p08(t: Tables) -> DataFrame:
     bz = t.events.filter(F.col("event_type") == "click").select(
@@ -162,7 +162,7 @@ def m14(t: Tables) -> DataFrame:
 
 @query("a04_mean_grid", """
 SELECT CAST(floor((l_quantity - 5.0) / 2.5) AS BIGINT) AS ix, CAST(floor((l_discount * 100 - 0.0) / 2.5) AS BIGINT) AS iy,
-       round(avg(l_extendedprice), 6) AS radiance, count(*) AS pixel_count
+       round(avg(l_extendedprice), 6) + 0.0::DOUBLE AS radiance, count(*) AS pixel_count
 FROM lineitem WHERE l_quantity >= 5 AND l_quantity < 45 AND l_discount * 100 >= 0 AND l_discount * 100 < 10 GROUP BY ALL
 """)
 def a04(t: Tables) -> DataFrame:
@@ -239,7 +239,7 @@ def a10(t: Tables) -> DataFrame:
 
 @query("a12_percentile_offset", f"""
 WITH {LINKS}
-SELECT station_id, sv, time, round(stec - quantile_cont(stec, 0.05) OVER (PARTITION BY period, station_id, sv), 6) AS vtec_fallback FROM links
+SELECT station_id, sv, time, round(stec - quantile_cont(stec, 0.05) OVER (PARTITION BY period, station_id, sv), 6) + 0.0::DOUBLE AS vtec_fallback FROM links
 """)
 def a12(t: Tables) -> DataFrame:
     return fallback_source(links(t), TRACK).select("station_id", "sv", "time", r6("vtec_fallback").alias("vtec_fallback"))
@@ -247,7 +247,7 @@ def a12(t: Tables) -> DataFrame:
 
 @query("a13_median_abs_deviation", """
 WITH m AS (SELECT event_type, median(value) AS m FROM events GROUP BY 1)
-SELECT event_type, round(median(abs(value - m)), 6) AS mad FROM events JOIN m USING (event_type) GROUP BY 1
+SELECT event_type, round(median(abs(value - m)), 6) + 0.0::DOUBLE AS mad FROM events JOIN m USING (event_type) GROUP BY 1
 """)
 def a13(t: Tables) -> DataFrame:
     return aggregates.mad(t.events, "value", ["event_type"]).withColumn("mad", r6("mad"))
@@ -255,7 +255,7 @@ def a13(t: Tables) -> DataFrame:
 
 @query("a14_arc_baseline", f"""
 WITH {ARCS}
-SELECT station_id, sv, time, round(stec - first_value(stec) OVER (PARTITION BY period, station_id, sv, arc_id ORDER BY time), 6) AS stec FROM arcs
+SELECT station_id, sv, time, round(stec - first_value(stec) OVER (PARTITION BY period, station_id, sv, arc_id ORDER BY time), 6) + 0.0::DOUBLE AS stec FROM arcs
 """)
 def a14(t: Tables) -> DataFrame:
     return normalise_arc(arcs(t), TRACK).select("station_id", "sv", "time", r6("stec").alias("stec"))
@@ -287,8 +287,8 @@ def a16(t: Tables) -> DataFrame:
 @query("a17_axis_bounds", """
 WITH b AS (SELECT user_id, min(value) AS lo, max(value) AS hi FROM events GROUP BY 1),
 k AS (SELECT user_id, CASE WHEN abs(lo - hi) <= 1e-8 + 1e-5 * abs(hi) THEN greatest(abs(hi) * 0.1, 1.0) ELSE (hi - lo) * 0.12 END AS pad, lo, hi FROM b)
-SELECT user_id, round(lo - pad, 6) AS lower, round(hi + pad, 6) AS upper, round(CASE WHEN hi > 0 THEN hi * 1.08 ELSE 1.0 END, 6) AS roti_upper,
-       round(greatest(9.2, hi / 10 + 0.5), 6) AS kp_top FROM k
+SELECT user_id, round(lo - pad, 6) + 0.0::DOUBLE AS lower, round(hi + pad, 6) + 0.0::DOUBLE AS upper, round(CASE WHEN hi > 0 THEN hi * 1.08 ELSE 1.0 END, 6) + 0.0::DOUBLE AS roti_upper,
+       round(greatest(9.2, hi / 10 + 0.5), 6) + 0.0::DOUBLE AS kp_top FROM k
 """)
 def a17(t: Tables) -> DataFrame:
     ev = t.events.withColumn("Kp", F.col("value") / 10)
@@ -303,9 +303,9 @@ def a17(t: Tables) -> DataFrame:
 @query("a18_arc_and_cell_summary", f"""
 WITH {ARCS}
 SELECT 'arc' AS kind, station_id AS a, sv AS b, arc_id AS n, min(time) AS time_start, max(time) AS time_end, count(*) AS samples,
-       round(avg(elev_deg), 6) AS mean, CAST(NULL AS DOUBLE) AS median, CAST(NULL AS DOUBLE) AS std FROM arcs GROUP BY period, station_id, sv, arc_id
+       round(avg(elev_deg), 6) + 0.0::DOUBLE AS mean, CAST(NULL AS DOUBLE) AS median, CAST(NULL AS DOUBLE) AS std FROM arcs GROUP BY period, station_id, sv, arc_id
 UNION ALL
-SELECT 'cell', event_type, CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR), 0, NULL, NULL, count(value), round(avg(value), 6), round(median(value), 6), round(stddev_pop(value), 6)
+SELECT 'cell', event_type, CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR), 0, NULL, NULL, count(value), round(avg(value), 6) + 0.0::DOUBLE, round(median(value), 6) + 0.0::DOUBLE, round(stddev_pop(value), 6) + 0.0::DOUBLE
 FROM events GROUP BY 2, 3
 """)
 def a18(t: Tables) -> DataFrame:

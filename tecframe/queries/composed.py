@@ -20,8 +20,8 @@ kept AS (SELECT w.*, l.stec AS phase, l.elev_deg, CASE WHEN l.ingest_pos % 3 = 0
 based AS (SELECT *, phase - first_value(phase) OVER (PARTITION BY period, station_id, sv, arc ORDER BY time) AS st FROM kept),
 lev AS (SELECT *, coalesce(code, st - quantile_cont(st, 0.05) OVER (PARTITION BY period, station_id, sv)) * sqrt(1 - pow(least(0.999999::DOUBLE, 6371.0::DOUBLE * cos(radians(elev_deg)) / 6721.0::DOUBLE), 2)) AS vtec FROM based),
 rt AS (SELECT *, (st - lag(st) OVER w) / ((epoch_us(time) - epoch_us(lag(time) OVER w)) / 6e7) AS rot FROM lev WINDOW w AS (PARTITION BY period, station_id, sv, arc ORDER BY time))
-SELECT station_id, sv, time, arc AS arc_id, round(st, 6) AS stec, round(vtec, 6) AS vtec,
-       round(CASE WHEN count(rot) OVER f = 3 THEN stddev_pop(rot) OVER f END, 6) AS roti
+SELECT station_id, sv, time, arc AS arc_id, round(st, 6) + 0.0::DOUBLE AS stec, round(vtec, 6) + 0.0::DOUBLE AS vtec,
+       round(CASE WHEN count(rot) OVER f = 3 THEN stddev_pop(rot) OVER f END, 6) + 0.0::DOUBLE AS roti
 FROM rt WINDOW f AS (PARTITION BY period, station_id, sv, arc ORDER BY time ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
 """)
 def p03(t: Tables) -> DataFrame:
@@ -124,9 +124,9 @@ pp AS (SELECT *, asin(sin(p) * cos(psi) + cos(p) * sin(psi) * cos(radians(az)))
 
 @query("p03_links_from_observations", f"""
 WITH RECURSIVE {FULL_LINKS}
-SELECT event_id, station_id, sv, time, arc AS arc_id, round(az, 5) AS az_deg, round(el, 5) AS elev_deg, round(degrees(ip), 5) AS ipp_lat,
-       round(((degrees(l + asin(sin(psi) * sin(radians(az)) / greatest(cos(ip), 1e-6::DOUBLE))) + 180) % 360 + 360) % 360 - 180, 5) AS ipp_lon,
-       round(st, 4) AS stec, round(vtec, 4) AS vtec, round(roti, 4) AS roti FROM pp
+SELECT event_id, station_id, sv, time, arc AS arc_id, round(az, 5) + 0.0::DOUBLE AS az_deg, round(el, 5) + 0.0::DOUBLE AS elev_deg, round(degrees(ip), 5) + 0.0::DOUBLE AS ipp_lat,
+       round(((degrees(l + asin(sin(psi) * sin(radians(az)) / greatest(cos(ip), 1e-6::DOUBLE))) + 180) % 360 + 360) % 360 - 180, 5) + 0.0::DOUBLE AS ipp_lon,
+       round(st, 4) + 0.0::DOUBLE AS stec, round(vtec, 4) + 0.0::DOUBLE AS vtec, round(roti, 4) + 0.0::DOUBLE AS roti FROM pp
 """)
 def p03_full(t: Tables) -> DataFrame:
     out = build_links(*raw_observations(t), FULL_PARAMS).links
@@ -175,7 +175,7 @@ WITH {RATES},
 m AS (SELECT *, CASE WHEN stec >= 20 THEN stec END AS vtec FROM full_links WHERE station_id = 'S1' AND time BETWEEN TIMESTAMP '2024-01-03 12:00:00' AND TIMESTAMP '2024-01-25 12:00:00'),
 a AS (SELECT sv, arc_id, count(vtec) AS v, count(roti) AS r, count(*) AS n FROM m GROUP BY ALL),
 c AS (SELECT sv, row_number() OVER (ORDER BY sum(v) + sum(r) DESC, max(n) DESC, sv) AS rk FROM a GROUP BY sv HAVING sum(v) > 0 AND sum(r) > 0)
-SELECT time, round((epoch_us(time) - epoch_us(TIMESTAMP '2024-01-03')) / 3.6e9, 6) AS utc_hour, station_id, sv, vtec, round(roti, 6) AS roti, arc_id FROM m WHERE sv IN (SELECT sv FROM c WHERE rk <= 2)
+SELECT time, round((epoch_us(time) - epoch_us(TIMESTAMP '2024-01-03')) / 3.6e9, 6) + 0.0::DOUBLE AS utc_hour, station_id, sv, vtec, round(roti, 6) + 0.0::DOUBLE AS roti, arc_id FROM m WHERE sv IN (SELECT sv FROM c WHERE rk <= 2)
 """)
 def p05(t: Tables) -> DataFrame:
     rows = full_links(t).withColumns(

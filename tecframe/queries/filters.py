@@ -82,7 +82,7 @@ def f07(t: Tables) -> DataFrame:
 
 @query("f08_any_metric", f"""
 WITH {RATES}, m AS (SELECT *, CASE WHEN stec >= 60 THEN stec END AS vtec FROM full_links)
-SELECT station_id, sv, time, vtec, round(roti, 6) AS roti FROM m WHERE vtec IS NOT NULL OR roti IS NOT NULL
+SELECT station_id, sv, time, vtec, round(roti, 6) + 0.0::DOUBLE AS roti FROM m WHERE vtec IS NOT NULL OR roti IS NOT NULL
 """)
 def f08(t: Tables) -> DataFrame:
     rows = full_links(t).withColumn("vtec", F.when(F.col("stec") >= 60, F.col("stec")))
@@ -131,16 +131,16 @@ def f13(t: Tables) -> DataFrame:
 
 
 @query("f14_observable_pair", """
-WITH c AS (SELECT user_id, list_distinct(list(['L1C','L1W','L2W','L2C','L2X','C1C','P2'][CAST(event_id % 7 + 1 AS INTEGER)])) AS codes FROM events WHERE value < 5 GROUP BY 1),
+WITH c AS (SELECT user_id, list_distinct(list(['L1C','L1W','L2W','L2C','L2X','C1C','P2'][CAST((user_id + event_id % 3) % 7 + 1 AS INTEGER)])) AS codes FROM events GROUP BY 1),
 f AS (SELECT user_id, list_filter(['L1C','L1W','L1P','L1X','L1S','L1L','L1M','L1','L1N'], lambda x: list_contains(codes, x))[1] AS a,
              list_filter(['L2W','L2P','L2C','L2X','L2S','L2L','L2M','L2','L2N'], lambda x: list_contains(codes, x))[1] AS b FROM c)
 SELECT user_id, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a || '/' || b END AS phase_pair FROM f
 """)
 def f14(t: Tables) -> DataFrame:
     names = F.array(*[F.lit(x) for x in ("L1C", "L1W", "L2W", "L2C", "L2X", "C1C", "P2")])
-    code = F.get(names, (F.col("event_id") % 7).cast("int"))
+    code = F.get(names, ((F.col("user_id") + F.col("event_id") % 3) % 7).cast("int"))
     # a handful of codes per station, distinct before they are gathered
-    have = t.events.filter(F.col("value") < 5).select("user_id", code.alias("code")).distinct()
+    have = t.events.select("user_id", code.alias("code")).distinct()
     sets_ = have.groupBy("user_id").agg(F.collect_list("code").alias("codes"))
     pair = pick_pair("codes", fixed.PHASE_FIRST, fixed.PHASE_SECOND)
     return sets_.select("user_id", F.when(pair.isNotNull(), F.concat_ws("/", pair["first"], pair["second"])).alias("phase_pair"))
@@ -188,7 +188,7 @@ WITH s AS (SELECT s_suppkey AS key, s_suppkey % 4 = 0 AS zero, s_suppkey % 8 = 0
                   CAST(s_suppkey * 7 % 360 - 180 AS DOUBLE) AS lon, s_acctbal AS h, radians(s_suppkey % 80) AS phi FROM supplier),
 g AS (SELECT *, 6378137.0::DOUBLE AS a, 1.0::DOUBLE / 298.257223563::DOUBLE AS f FROM s),
 n AS (SELECT *, a / sqrt(1 - f * (2 - f) * sin(phi) * sin(phi)) AS nn FROM g)
-SELECT key, CASE WHEN blank THEN NULL WHEN zero THEN round(degrees(phi), 6) ELSE lat END AS lat,
+SELECT key, CASE WHEN blank THEN NULL WHEN zero THEN round(degrees(phi), 6) + 0.0::DOUBLE ELSE lat END AS lat,
        CASE WHEN blank THEN NULL WHEN zero THEN 30.0::DOUBLE ELSE lon END AS lon,
        CASE WHEN blank THEN NULL WHEN zero THEN 120.0::DOUBLE ELSE h END AS height_m,
        CASE WHEN blank THEN 'missing_station_position' END AS position_reason FROM n

@@ -17,8 +17,8 @@ xyz AS (SELECT *, (n + height_m) * cos(p) * cos(l) AS x, (n + height_m) * cos(p)
 
 @query("m05_mapping_function", f"""
 WITH {LINKS}
-SELECT station_id, sv, time, round(1 / sqrt(1 - pow(least(0.999999::DOUBLE, 6371.0::DOUBLE * cos(radians(elev_deg)) / 6721.0::DOUBLE), 2)), 6) AS factor,
-       round(stec * sqrt(1 - pow(least(0.999999::DOUBLE, 6371.0::DOUBLE * cos(radians(elev_deg)) / 6721.0::DOUBLE), 2)), 6) AS vtec FROM links
+SELECT station_id, sv, time, round(1 / sqrt(1 - pow(least(0.999999::DOUBLE, 6371.0::DOUBLE * cos(radians(elev_deg)) / 6721.0::DOUBLE), 2)), 6) + 0.0::DOUBLE AS factor,
+       round(stec * sqrt(1 - pow(least(0.999999::DOUBLE, 6371.0::DOUBLE * cos(radians(elev_deg)) / 6721.0::DOUBLE), 2)), 6) + 0.0::DOUBLE AS vtec FROM links
 """)
 def m05(t: Tables) -> DataFrame:
     m = geodesy.mapping("elev_deg")
@@ -30,8 +30,8 @@ WITH {STATIONS},
 z AS (SELECT key, radians(lat) AS p, radians(lon) AS l, radians(CAST(key * 13 % 360 AS DOUBLE)) AS az, pi() / 2 - radians(CAST(key % 75 + 15 AS DOUBLE)) AS z FROM stations),
 y AS (SELECT *, z - asin(6371.0::DOUBLE / 6721.0::DOUBLE * sin(z)) AS psi FROM z),
 q AS (SELECT *, asin(sin(p) * cos(psi) + cos(p) * sin(psi) * cos(az)) AS ip FROM y)
-SELECT key, round(degrees(ip), 6) AS ipp_lat,
-       round(((degrees(l + asin(sin(psi) * sin(az) / greatest(cos(ip), 1e-6::DOUBLE))) + 180) % 360 + 360) % 360 - 180, 6) AS ipp_lon FROM q
+SELECT key, round(degrees(ip), 6) + 0.0::DOUBLE AS ipp_lat,
+       round(((degrees(l + asin(sin(psi) * sin(az) / greatest(cos(ip), 1e-6::DOUBLE))) + 180) % 360 + 360) % 360 - 180, 6) + 0.0::DOUBLE AS ipp_lon FROM q
 """)
 def m06(t: Tables) -> DataFrame:
     lat, lon = geodesy.pierce_point("lat", "lon", (F.col("key") * 13 % 360).cast("double"), (F.col("key") % 75 + 15).cast("double"))
@@ -43,7 +43,7 @@ WITH {STATIONS},
 d AS (SELECT key, radians(lat) AS p, radians(lon) AS l, 1000.0::DOUBLE * (key % 17 + 1) AS dx, 1000.0::DOUBLE * (key % 11 - 5) AS dy, 2000.0::DOUBLE * (key % 7 + 1) AS dz FROM stations),
 e AS (SELECT key, -sin(l) * dx + cos(l) * dy AS e, -sin(p) * cos(l) * dx - sin(p) * sin(l) * dy + cos(p) * dz AS n,
              cos(p) * cos(l) * dx + cos(p) * sin(l) * dy + sin(p) * dz AS u FROM d)
-SELECT key, round((degrees(atan2(e, n)) + 360) % 360, 6) AS az_deg, round(degrees(atan2(u, sqrt(e * e + n * n))), 6) AS elev_deg FROM e
+SELECT key, round((degrees(atan2(e, n)) + 360) % 360, 6) + 0.0::DOUBLE AS az_deg, round(degrees(atan2(u, sqrt(e * e + n * n))), 6) + 0.0::DOUBLE AS elev_deg FROM e
 """)
 def m07(t: Tables) -> DataFrame:
     k = F.col("key")
@@ -51,20 +51,20 @@ def m07(t: Tables) -> DataFrame:
     return stations(t).select("key", r6(az).alias("az_deg"), r6(el).alias("elev_deg"))
 
 
-@query("m08_to_ecef", f"WITH {XYZ} SELECT key, round(x, 3) AS x, round(y, 3) AS y, round(z, 3) AS z FROM xyz")
+@query("m08_to_ecef", f"WITH {XYZ} SELECT key, round(x, 3) + 0.0::DOUBLE AS x, round(y, 3) + 0.0::DOUBLE AS y, round(z, 3) + 0.0::DOUBLE AS z FROM xyz")
 def m08(t: Tables) -> DataFrame:
     x, y, z = geodesy.to_ecef("lat", "lon", "height_m")
     return stations(t).select("key", r6(x, 3).alias("x"), r6(y, 3).alias("y"), r6(z, 3).alias("z"))
 
 
 @query("m09_to_geodetic", f"""
-WITH {XYZ} SELECT key, round(lat, 6) AS lat, round(lon, 6) AS lon, round(height_m, 3) AS height_m FROM xyz WHERE abs(lat) < 80 AND lon > -180
+WITH {XYZ} SELECT key, round(lat, 6) + 0.0::DOUBLE AS lat, (round(lon, 6) + 360) % 360 AS lon_360, round(height_m, 3) + 0.0::DOUBLE AS height_m FROM xyz
 """)
 def m09(t: Tables) -> DataFrame:
     x, y, z = geodesy.to_ecef("lat", "lon", "height_m")
-    rows = stations(t).filter((F.abs("lat") < 80) & (F.col("lon") > -180)).withColumns({"x": x, "y": y, "z": z})
+    rows = stations(t).withColumns({"x": x, "y": y, "z": z})
     lat, lon, h = geodesy.to_geodetic("x", "y", "z")
-    return rows.select("key", r6(lat).alias("lat"), r6(lon).alias("lon"), r6(h, 3).alias("height_m"))
+    return rows.select("key", r6(lat).alias("lat"), F.pmod(r6(lon) + 360.0, F.lit(360.0)).alias("lon_360"), r6(h, 3).alias("height_m"))
 
 
 def orbits(t: Tables) -> DataFrame:
@@ -94,8 +94,8 @@ p AS (SELECT *, atan2(sqrt(1 - ecc * ecc) * sin(e), cos(e) - ecc) + (k % 31 * 0.
 r AS (SELECT *, phi + 1e-6 * q * cos(2 * phi) + 2e-6 * q * sin(2 * phi) AS u, a * (1 - ecc * cos(e)) + 10.0::DOUBLE * q * cos(2 * phi) + 7.0::DOUBLE * q * sin(2 * phi) AS r,
              (0.96::DOUBLE + (k % 5) * 0.002::DOUBLE) + 3e-8 * q * cos(2 * phi) + 4e-8 * q * sin(2 * phi) + 1e-11 * q * tk AS i,
              (k % 61 * 0.1::DOUBLE - 3.0::DOUBLE) + (1e-10 * q - 7.2921151467e-5) * tk - 7.2921151467e-5 * toe AS node FROM p)
-SELECT p_partkey, round(r * cos(u) * cos(node) - r * sin(u) * cos(i) * sin(node), 2) AS sat_x,
-       round(r * cos(u) * sin(node) + r * sin(u) * cos(i) * cos(node), 2) AS sat_y, round(r * sin(u) * sin(i), 2) AS sat_z FROM r
+SELECT p_partkey, round(r * cos(u) * cos(node) - r * sin(u) * cos(i) * sin(node), 2) + 0.0::DOUBLE AS sat_x,
+       round(r * cos(u) * sin(node) + r * sin(u) * cos(i) * cos(node), 2) + 0.0::DOUBLE AS sat_y, round(r * sin(u) * sin(i), 2) + 0.0::DOUBLE AS sat_z FROM r
 """)
 def m10(t: Tables) -> DataFrame:
     out = geodesy.with_satellite_xyz(orbits(t))

@@ -77,7 +77,7 @@ def j02(t: Tables) -> DataFrame:
 @query("p06_swath_scenes", f"""
 WITH RECURSIVE {PAIRS}, {REGION_EVENTS},
 s AS (SELECT 'A' || CAST(user_id AS VARCHAR) AS tar_path, make_timestamp((epoch_us(lt) + epoch_us(rt)) // 2) AS midpoint, lt AS cha_time, rt AS chb_time, l AS cha, r AS chb,
-             round(d / 6e7, 6) AS delta_minutes FROM g_walk WHERE taken)
+             round(d / 6e7, 6) + 0.0::DOUBLE AS delta_minutes FROM g_walk WHERE taken)
 SELECT 'scene' AS kind, * FROM s WHERE EXISTS (SELECT 1 FROM ev WHERE event_id IN ('AFRICA', 'ASIA') AND CAST(midpoint AS DATE) BETWEEN CAST(start_utc AS DATE) AND CAST(end_utc AS DATE))
 UNION ALL
 SELECT 'unmatched', 'A' || CAST(user_id AS VARCHAR), time, NULL, NULL, id, NULL, NULL FROM (SELECT * FROM clicks UNION ALL SELECT * FROM views)
@@ -118,11 +118,11 @@ def j03(t: Tables) -> DataFrame:
 
 
 SPEC = """
-spec AS (SELECT o_orderkey AS k, o_orderdate AS gold_cha_time, o_orderdate + to_days(CAST(o_custkey % 3 AS INTEGER)) AS gold_chb_time,
+spec AS (SELECT o_orderkey AS k, o_orderdate AS gold_cha_time, o_orderdate + to_days(CAST(o_custkey % 4 AS INTEGER)) AS gold_chb_time,
                 o_orderdate + to_hours(o_custkey % 9) AS gnss_time FROM orders),
-sl AS (SELECT l_shipdate + to_hours(l_linenumber) AS time, max(l_orderkey * 10 + l_linenumber) AS slice_id FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 1),
+sl AS (SELECT l_shipdate + to_hours(l_linenumber) AS time, max(l_orderkey * 10 + l_linenumber) AS slice_id FROM lineitem GROUP BY 1),
 sc AS (SELECT l_shipdate AS cha_time, l_shipdate + to_days(CAST(l_linenumber % 3 AS INTEGER)) AS chb_time, max(l_orderkey * 10 + l_linenumber) AS last_id,
-              min(l_orderkey * 10 + l_linenumber) AS first_id FROM lineitem WHERE l_orderkey % 5 < 2 GROUP BY ALL)"""
+              min(l_orderkey * 10 + l_linenumber) AS first_id FROM lineitem GROUP BY ALL)"""
 
 
 def later(time: str, count, unit_us: int):
@@ -133,11 +133,11 @@ def spec_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     c, n = F.col("o_custkey"), F.col("l_linenumber")
     spec = t.orders.select(
         F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("gold_cha_time"),
-        later("o_orderdate", c % 3, 24 * HOURS).alias("gold_chb_time"), later("o_orderdate", c % 9, HOURS).alias("gnss_time"),
+        later("o_orderdate", c % 4, 24 * HOURS).alias("gold_chb_time"), later("o_orderdate", c % 9, HOURS).alias("gnss_time"),
     )
     ident = F.col("l_orderkey") * 10 + n
-    slices = t.lineitem.filter("l_orderkey % 3 = 0").select(later("l_shipdate", n, HOURS).alias("time"), ident.alias("slice_id"))
-    scenes = t.lineitem.filter("l_orderkey % 5 < 2").select(
+    slices = t.lineitem.select(later("l_shipdate", n, HOURS).alias("time"), ident.alias("slice_id"))
+    scenes = t.lineitem.select(
         F.col("l_shipdate").alias("cha_time"), later("l_shipdate", n % 3, 24 * HOURS).alias("chb_time"), ident.alias("scene_id")
     )
     return spec, slices, scenes
@@ -157,7 +157,7 @@ def j04(t: Tables) -> DataFrame:
     return out.select("k", "slice_id", "scene_id", "gold_time", "delta_seconds", "status", "detail")
 
 
-PANEL = SPEC.replace("AS slice_id FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 1", "AS slice_id, CASE WHEN l_linenumber % 2 = 0 THEN 'roti' ELSE 'vtec' END AS metric FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY ALL") + """,
+PANEL = SPEC.replace("AS slice_id FROM lineitem GROUP BY 1", "AS slice_id, CASE WHEN l_linenumber % 2 = 0 THEN 'roti' ELSE 'vtec' END AS metric FROM lineitem GROUP BY ALL") + """,
 slots AS (SELECT k, ['gnss_roti', 'gnss_vtec', 'gold', 'overlay'][CAST(k % 4 + 1 AS INTEGER)] AS kind, gold_cha_time, gold_chb_time, gnss_time FROM spec),
 found AS (SELECT k, kind, CASE WHEN kind = 'gold' THEN make_timestamp((epoch_us(gold_cha_time) + epoch_us(gold_chb_time)) // 2) ELSE gnss_time END AS requested_time, slice_id,
                  CASE WHEN kind IN ('gold', 'overlay') THEN first_id END AS scene_id
@@ -232,18 +232,19 @@ def j07(t: Tables) -> DataFrame:
 
 
 @query("j08_first_match_lookup", """
-WITH m AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, CAST(o_orderdate AS DATE), o_custkey % 5 ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderkey % 2 = 0)
+WITH m AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, CAST(o_orderdate AS DATE), o_custkey % 5 ORDER BY o_orderkey) AS rn FROM orders)
 SELECT o.o_orderkey AS k, coalesce(m.o_totalprice, 0) AS lat, coalesce(CAST(m.o_orderkey AS DOUBLE), 0) AS lon, coalesce(CASE WHEN m.o_orderkey % 4 = 0 THEN 1.5 END, 0)::DOUBLE AS height_m
-FROM orders o LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON m.o_orderpriority = o.o_orderpriority AND CAST(m.o_orderdate AS DATE) = CAST(o.o_orderdate AS DATE) AND m.o_custkey % 5 = o.o_custkey % 5
+FROM orders o LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON m.o_orderpriority = o.o_orderpriority AND CAST(m.o_orderdate AS DATE) = CAST(o.o_orderdate AS DATE) AND m.o_custkey % 5 = o.o_custkey % 7
 """)
 def j08(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
     rows = t.orders.select(
         k.alias("k"), k.alias("row_no"), F.col("o_orderpriority").alias("event_id"), F.to_date("o_orderdate").alias("observation_date"),
-        (F.col("o_custkey") % 5).alias("station_id"), F.col("o_totalprice").alias("lat"), k.cast("double").alias("lon"),
+        (F.col("o_custkey") % 5).alias("station_id"), (F.col("o_custkey") % 7).alias("asked"), F.col("o_totalprice").alias("lat"), k.cast("double").alias("lon"),
         F.when(k % 4 == 0, 1.5).otherwise(F.lit(float("nan"))).alias("height_m"),
     )
-    return joins.attach_position(rows.drop("row_no"), rows.filter("k % 2 = 0").drop("k")).select("k", "lat", "lon", "height_m")
+    records = rows.drop("row_no", "station_id").withColumnRenamed("asked", "station_id")
+    return joins.attach_position(records, rows.drop("k", "asked")).select("k", "lat", "lon", "height_m")
 
 
 @query("j09_station_metadata", """
@@ -269,7 +270,7 @@ def j10(t: Tables) -> DataFrame:
 
 
 @query("j11_navigation_of_day", """
-WITH n AS (SELECT CAST(l_shipdate AS DATE) AS d, 'nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS path, CASE WHEN l_returnflag = 'A' THEN 'ok' ELSE 'error' END AS st FROM lineitem WHERE l_orderkey % 20 = 0),
+WITH n AS (SELECT CAST(l_shipdate AS DATE) + CAST(day(l_shipdate) % 2 AS INTEGER) AS d, 'nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS path, CASE WHEN l_returnflag = 'A' THEN 'ok' ELSE 'error' END AS st FROM lineitem),
 b AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY st <> 'ok', path) AS rn FROM n)
 SELECT o_orderkey, coalesce(path, '') AS nav_path, coalesce(st, 'error') AS nav_status, CASE WHEN path IS NULL THEN 'navigation_file_missing' ELSE '' END AS nav_error
 FROM orders LEFT JOIN b ON d = CAST(o_orderdate AS DATE) AND rn = 1
@@ -281,8 +282,10 @@ def j11(t: Tables) -> DataFrame:
 
 
 def nav_files(t: Tables) -> DataFrame:
-    return t.lineitem.filter("l_orderkey % 20 = 0").select(
-        F.to_date("l_shipdate").alias("observation_date"), F.concat(F.lit("nav/"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("path"),
+    """Files of the even days of a month; odd days have none."""
+    day = F.date_add(F.to_date("l_shipdate"), F.dayofmonth("l_shipdate") % 2)
+    return t.lineitem.select(
+        day.alias("observation_date"), F.concat(F.lit("nav/"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("path"),
         F.when(F.col("l_returnflag") == "A", "ok").otherwise("error").alias("status"),
     )
 
@@ -293,7 +296,7 @@ f AS (SELECT o_orderkey, d, code AS station_code4, CASE o_orderkey % 4 WHEN 0 TH
              row_number() OVER (PARTITION BY d, code ORDER BY o_custkey % 3, o_orderpriority,
                CASE o_orderkey % 4 WHEN 0 THEN '/c/obs/' || lower(code) || '00bra_R_' || strftime(o_orderdate, '%Y%j') || '0000_01D_15S_MO.crx.gz' ELSE '/c/obs/' || lower(code) || strftime(o_orderdate, '%j') || '0.' || strftime(o_orderdate, '%y') || 'd.Z' END) AS rn,
              o_custkey % 3 AS source_priority, o_orderpriority AS source FROM c),
-n AS (SELECT CAST(l_shipdate AS DATE) AS d, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) FILTER (l_returnflag = 'A') AS okp, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) AS anyp FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY 1)
+n AS (SELECT CAST(l_shipdate AS DATE) + CAST(day(l_shipdate) % 2 AS INTEGER) AS d, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) FILTER (l_returnflag = 'A') AS okp, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) AS anyp FROM lineitem GROUP BY 1)
 SELECT f.d AS observation_date, station_code4, station_id, sampling_sec, source_priority, source, coalesce(okp, anyp, '') AS nav_path, CASE WHEN okp IS NOT NULL THEN 'ok' ELSE 'error' END AS nav_status
 FROM f LEFT JOIN n USING (d) WHERE rn = 1
 """)
@@ -308,7 +311,7 @@ def p01(t: Tables) -> DataFrame:
 
 @query("p02_normalised_manifest", """
 WITH m AS (SELECT o_orderkey AS k, o_orderstatus = 'F' AS ok, 'o/' || CAST(o_orderkey AS VARCHAR) AS obs_path, 'n/' || strftime(o_orderdate, '%Y-%m-%d') AS nav_path, o_orderstatus AS st, o_totalprice FROM orders),
-p AS (SELECT DISTINCT 'o/' || CAST(l_orderkey AS VARCHAR) AS path FROM lineitem UNION SELECT DISTINCT 'n/' || strftime(l_shipdate, '%Y-%m-%d') FROM lineitem WHERE l_orderkey % 4 = 0),
+p AS (SELECT DISTINCT 'o/' || CAST(l_orderkey AS VARCHAR) AS path FROM lineitem UNION SELECT DISTINCT 'n/' || strftime(CAST(l_shipdate AS DATE) + CAST(day(l_shipdate) % 2 AS INTEGER), '%Y-%m-%d') FROM lineitem),
 j AS (SELECT m.*, CASE WHEN NOT ok THEN 'obs_status=' || st || '; nav_status=ok' WHEN obs_path NOT IN (SELECT path FROM p) THEN 'observation_file_missing'
                         WHEN nav_path NOT IN (SELECT path FROM p) THEN 'navigation_file_missing' END AS error FROM m)
 SELECT obs_path, nav_path, error, CASE WHEN error IS NULL THEN o_totalprice END AS lat FROM j
@@ -324,7 +327,7 @@ def p02(t: Tables) -> DataFrame:
     )
     li = t.lineitem
     files = li.select(F.concat(F.lit("o/"), F.col("l_orderkey").cast("string")).alias("path")).union(
-        li.filter("l_orderkey % 4 = 0").select(F.concat(F.lit("n/"), F.date_format("l_shipdate", "yyyy-MM-dd")))
+        nav_files(t).select(F.concat(F.lit("n/"), F.date_format("observation_date", "yyyy-MM-dd")))
     )
     good, bad = normalise(manifest, files)
     return good.select("obs_path", "nav_path", F.lit(None).cast("string").alias("error"), "lat").union(
@@ -371,7 +374,7 @@ def p09(t: Tables) -> DataFrame:
 
 @query("p09_overlay_points", f"""
 WITH RECURSIVE {OVERLAY}, {greedy_sql('g', 's1', 'g1', 'event', 15 * 60_000_000)}
-SELECT id AS slice_id, round(-150.0::DOUBLE + (xi + 0.5::DOUBLE) * 0.5::DOUBLE, 6) AS lon, round(-80.0::DOUBLE + (yi + 0.5::DOUBLE) * 0.5::DOUBLE, 6) AS lat FROM bins WHERE id IN (SELECT l FROM g_walk WHERE taken)
+SELECT id AS slice_id, round(-150.0::DOUBLE + (xi + 0.5::DOUBLE) * 0.5::DOUBLE, 6) + 0.0::DOUBLE AS lon, round(-80.0::DOUBLE + (yi + 0.5::DOUBLE) * 0.5::DOUBLE, 6) + 0.0::DOUBLE AS lat FROM bins WHERE id IN (SELECT l FROM g_walk WHERE taken)
 """)
 def p09_points(t: Tables) -> DataFrame:
     slices, scenes = overlay_tables(t)

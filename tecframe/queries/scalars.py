@@ -29,12 +29,12 @@ F1, F2, C = "1575.42e6::DOUBLE", "1227.60e6::DOUBLE", "299792458.0::DOUBLE"
 FACTOR = f"(({F1} * {F1} * {F2} * {F2}) / (40.3::DOUBLE * ({F1} * {F1} - {F2} * {F2})) / 1e16)"
 
 
-@query("m01_phase_stec", f"WITH {OBS} SELECT l_orderkey, l_linenumber, l_partkey, round((l1 * ({C} / {F1}) - l2 * ({C} / {F2})) * {FACTOR}, 4) AS stec FROM obs")
+@query("m01_phase_stec", f"WITH {OBS} SELECT l_orderkey, l_linenumber, l_partkey, round((l1 * ({C} / {F1}) - l2 * ({C} / {F2})) * {FACTOR}, 4) + 0.0::DOUBLE AS stec FROM obs")
 def m01(t: Tables) -> DataFrame:
     return obs(t).select(*ID, r6(signal.phase_stec("l1", "l2"), 4).alias("stec"))
 
 
-@query("m02_gf_phase", f"WITH {OBS} SELECT l_orderkey, l_linenumber, l_partkey, round(l1 * ({C} / {F1}) - l2 * ({C} / {F2}), 6) AS gf FROM obs")
+@query("m02_gf_phase", f"WITH {OBS} SELECT l_orderkey, l_linenumber, l_partkey, round(l1 * ({C} / {F1}) - l2 * ({C} / {F2}), 6) + 0.0::DOUBLE AS gf FROM obs")
 def m02(t: Tables) -> DataFrame:
     return obs(t).select(*ID, r6(signal.gf_phase("l1", "l2")).alias("gf"))
 
@@ -42,13 +42,13 @@ def m02(t: Tables) -> DataFrame:
 @query("m03_melbourne_wubbena", f"""
 WITH {OBS}
 SELECT l_orderkey, l_linenumber, l_partkey,
-       round((l1 - l2) - ({F1} * c1 + {F2} * c2) / ({F1} + {F2}) / ({C} / ({F1} - {F2})), 6) AS mw FROM obs
+       round((l1 - l2) - ({F1} * c1 + {F2} * c2) / ({F1} + {F2}) / ({C} / ({F1} - {F2})), 6) + 0.0::DOUBLE AS mw FROM obs
 """)
 def m03(t: Tables) -> DataFrame:
     return obs(t).select(*ID, r6(signal.melbourne_wubbena("l1", "l2", "c1", "c2")).alias("mw"))
 
 
-@query("m04_code_stec", f"WITH {OBS} SELECT l_orderkey, l_linenumber, l_partkey, round((c2 - c1) * {FACTOR}, 4) AS stec FROM obs")
+@query("m04_code_stec", f"WITH {OBS} SELECT l_orderkey, l_linenumber, l_partkey, round((c2 - c1) * {FACTOR}, 4) + 0.0::DOUBLE AS stec FROM obs")
 def m04(t: Tables) -> DataFrame:
     return obs(t).select(*ID, r6(signal.code_stec("c1", "c2"), 4).alias("stec"))
 
@@ -66,7 +66,7 @@ def m11(t: Tables) -> DataFrame:
 
 @query("m12_kp_decode", """
 SELECT event_id, round(CASE CAST(floor(value) AS BIGINT) % 10 WHEN 0 THEN CAST(floor(value) AS BIGINT) // 10 WHEN 3 THEN CAST(floor(value) AS BIGINT) // 10 + 1.0 / 3
-       WHEN 7 THEN CAST(floor(value) AS BIGINT) // 10 + 2.0 / 3 ELSE floor(value) / 10 END, 6) AS kp FROM events
+       WHEN 7 THEN CAST(floor(value) AS BIGINT) // 10 + 2.0 / 3 ELSE floor(value) / 10 END, 6) + 0.0::DOUBLE AS kp FROM events
 """)
 def m12(t: Tables) -> DataFrame:
     return t.events.select("event_id", r6(kp_decimal(F.floor("value"))).alias("kp"))
@@ -90,7 +90,7 @@ def m16(t: Tables) -> DataFrame:
 
 
 @query("m17_utc_hour", """
-SELECT event_id, round(epoch_us(ts) / 3.6e9 - epoch_us(TIMESTAMP '2024-01-01') / 3.6e9, 6) AS utc_hour,
+SELECT event_id, round((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 3.6e9, 6) + 0.0::DOUBLE AS utc_hour,
        lpad(CAST(CAST(floor(epoch_us(ts) / 3.6e9) AS BIGINT) % 24 AS VARCHAR), 2, '0') AS label FROM events
 """)
 def m17(t: Tables) -> DataFrame:
@@ -111,8 +111,8 @@ def m18(t: Tables) -> DataFrame:
 
 
 @query("m19_other_conversions", f"""
-SELECT l_orderkey, l_linenumber, l_partkey, round((l_tax - l_discount) * 100 / 40.308e16 * ({F1} * {F1} * {F2} * {F2} / ({F1} * {F1} - {F2} * {F2})), 6) AS stec,
-       round(l_quantity * 1e-9 * {C}, 6) AS bias_m, round(l_quantity * 1e-9 * {C} * {FACTOR}, 6) AS bias_tecu FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, round((l_tax - l_discount) * 100 / 40.308e16 * ({F1} * {F1} * {F2} * {F2} / ({F1} * {F1} - {F2} * {F2})), 6) + 0.0::DOUBLE AS stec,
+       round(l_quantity * 1e-9 * {C}, 6) + 0.0::DOUBLE AS bias_m, round(l_quantity * 1e-9 * {C} * {FACTOR}, 6) + 0.0::DOUBLE AS bias_tecu FROM lineitem
 """)
 def m19(t: Tables) -> DataFrame:
     f1, f2 = F.lit(fixed.GPS_L1_HZ), F.lit(fixed.GPS_L2_HZ)
@@ -124,7 +124,7 @@ def m19(t: Tables) -> DataFrame:
 
 @query("m20_midpoint", """
 SELECT o_orderkey, make_timestamp(epoch_us(o_orderdate) + (o_custkey * 61000000) // 2) AS mid, CAST(o_custkey * 61 AS DOUBLE) AS delta_sec,
-       round(o_custkey * 61 / 60.0::DOUBLE, 6) AS delta_min FROM orders
+       round(o_custkey * 61 / 60.0::DOUBLE, 6) + 0.0::DOUBLE AS delta_min FROM orders
 """)
 def m20(t: Tables) -> DataFrame:
     b = F.timestamp_micros(F.unix_micros("o_orderdate") + F.col("o_custkey") * 61_000_000)
@@ -141,7 +141,7 @@ def m21(t: Tables) -> DataFrame:
 
 
 @query("y03_axis", """
-SELECT p_partkey, len(a) AS n, round(a[1], 6) AS first, round(a[len(a)], 6) AS last, round(list_sum(a), 6) AS total
+SELECT p_partkey, len(a) AS n, round(a[1], 6) + 0.0::DOUBLE AS first, round(a[len(a)], 6) + 0.0::DOUBLE AS last, round(list_sum(a), 6) + 0.0::DOUBLE AS total
 FROM (SELECT p_partkey, list_transform(range(0, 161), lambda i: -80.0::DOUBLE + i * 0.1::DOUBLE + p_size) AS a FROM part)
 """)
 def y03(t: Tables) -> DataFrame:

@@ -15,7 +15,7 @@ AS64 = "CAST(embedding[i] AS DOUBLE)"
 @query("f10_pixel_validity", f"""
 WITH {SWATH},
 v AS (SELECT *, abs(value) * 400 AS emission, x % 5 AS quality FROM pixels)
-SELECT entry_id, y, x, CASE WHEN ok THEN round(lat, 6) END AS lat, CASE WHEN ok THEN round(lon, 6) END AS lon, CASE WHEN ok THEN round(value, 6) END AS radiance
+SELECT entry_id, y, x, CASE WHEN ok THEN round(lat, 6) + 0.0::DOUBLE END AS lat, CASE WHEN ok THEN round(lon, 6) + 0.0::DOUBLE END AS lon, CASE WHEN ok THEN round(value, 6) + 0.0::DOUBLE END AS radiance
 FROM (SELECT *, lat IS NOT NULL AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 AND quality = 0 AND emission BETWEEN 0 AND 88 AS ok FROM v)
 """)
 def f10(t: Tables) -> DataFrame:
@@ -43,7 +43,7 @@ def y02(t: Tables) -> DataFrame:
 
 
 @query("y02_pixel_rows_to_lines", f"""
-WITH {SWATH} SELECT entry_id, y, count(*) AS n, round(max(CASE WHEN x = 10 THEN value END), 6) AS tenth, round(max(CASE WHEN x = 63 THEN value END), 6) AS last FROM pixels GROUP BY ALL
+WITH {SWATH} SELECT entry_id, y, count(*) AS n, round(max(CASE WHEN x = 10 THEN value END), 6) + 0.0::DOUBLE AS tenth, round(max(CASE WHEN x = 63 THEN value END), 6) + 0.0::DOUBLE AS last FROM pixels GROUP BY ALL
 """)
 def y02_lines(t: Tables) -> DataFrame:
     px = swaths.to_points(swath(t), ["lat", "lon", "value"])
@@ -65,7 +65,7 @@ def a05(t: Tables) -> DataFrame:
 @query("a06_native_step", f"""
 WITH d AS (SELECT vec_id, i % 2 AS axis, abs({AS64} - lag({AS64}) OVER (PARTITION BY vec_id, i % 2 ORDER BY i)) AS s FROM embeddings, range(1, 65) r(i)),
 m AS (SELECT vec_id, axis, median(s) AS m FROM d WHERE s <> 0 GROUP BY ALL)
-SELECT vec_id, round(min(m), 6) AS step FROM m GROUP BY 1
+SELECT vec_id, round(min(m), 6) + 0.0::DOUBLE AS step FROM m GROUP BY 1
 """)
 def a06(t: Tables) -> DataFrame:
     part = lambda r: F.filter(F.transform("embedding", lambda v: v.cast("double")), lambda v, i: (i + 1) % 2 == r)
@@ -76,7 +76,7 @@ def a06(t: Tables) -> DataFrame:
 WITH {SWATH},
 g AS (SELECT entry_id, sqrt(pow(lon - lag(lon) OVER w, 2) + pow(lat - lag(lat) OVER w, 2)) AS g FROM pixels WINDOW w AS (PARTITION BY entry_id, y ORDER BY x)
       UNION ALL SELECT entry_id, sqrt(pow(lon - lag(lon) OVER w, 2) + pow(lat - lag(lat) OVER w, 2)) FROM pixels WINDOW w AS (PARTITION BY entry_id, x ORDER BY y))
-SELECT entry_id, round(median(g), 6) AS spacing FROM g WHERE g > 0 GROUP BY 1
+SELECT entry_id, round(median(g), 6) + 0.0::DOUBLE AS spacing FROM g WHERE g > 0 GROUP BY 1
 """)
 def a07(t: Tables) -> DataFrame:
     return swaths.median_spacing(swath(t)).select("entry_id", r6("spacing").alias("spacing"))
@@ -117,7 +117,7 @@ def w12(t: Tables) -> DataFrame:
 
 
 @query("w12_axis_edges", """
-SELECT vec_id, len(e) AS n, round(e[1], 6) AS first, round(e[2], 6) AS second, round(e[len(e)], 6) AS last FROM (
+SELECT vec_id, len(e) AS n, round(e[1], 6) + 0.0::DOUBLE AS first, round(e[2], 6) + 0.0::DOUBLE AS second, round(e[len(e)], 6) + 0.0::DOUBLE AS last FROM (
   SELECT vec_id, list_concat(list_concat([v[1] - 0.5::DOUBLE * (v[2] - v[1])], list_transform(range(1, 64), lambda i: (v[i] + v[i + 1]) * 0.5::DOUBLE)),
                              [v[64] + 0.5::DOUBLE * (v[64] - v[63])]) AS e
   FROM (SELECT vec_id, list_transform(embedding, lambda q: CAST(q AS DOUBLE)) AS v FROM embeddings))
@@ -148,7 +148,7 @@ def s07(t: Tables) -> DataFrame:
 @query("p07_pixel_grid", f"""
 WITH {SWATH},
 v AS (SELECT * FROM pixels WHERE lat IS NOT NULL AND abs(value) * 400 <= 88)
-SELECT CAST(floor((lon - -32.0::DOUBLE) / 4.0::DOUBLE) AS BIGINT) AS ix, CAST(floor((lat - -32.0::DOUBLE) / 4.0::DOUBLE) AS BIGINT) AS iy, round(avg(value), 6) AS radiance, count(*) AS pixel_count
+SELECT CAST(floor((lon - -32.0::DOUBLE) / 4.0::DOUBLE) AS BIGINT) AS ix, CAST(floor((lat - -32.0::DOUBLE) / 4.0::DOUBLE) AS BIGINT) AS iy, round(avg(value), 6) + 0.0::DOUBLE AS radiance, count(*) AS pixel_count
 FROM v WHERE lon >= -32 AND lon < 32 AND lat >= -32 AND lat < 32 GROUP BY ALL
 """)
 def p07(t: Tables) -> DataFrame:

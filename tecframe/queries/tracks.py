@@ -92,14 +92,14 @@ def w03(t: Tables) -> DataFrame:
     return full_links(t).select("station_id", "sv", "time", "arc_id", "rot")
 
 
-@query("w04_roti", f"WITH {RATES} SELECT station_id, sv, time, arc_id, round(roti, 6) AS roti FROM full_links")
+@query("w04_roti", f"WITH {RATES} SELECT station_id, sv, time, arc_id, round(roti, 6) + 0.0::DOUBLE AS roti FROM full_links")
 def w04(t: Tables) -> DataFrame:
     return full_links(t).select("station_id", "sv", "time", "arc_id", r6("roti").alias("roti"))
 
 
 @query("j12_merge_back", f"""
 WITH {RATES}
-SELECT station_id, sv, time, arc_id, round(coalesce(roti, stec), 6) AS roti FROM full_links
+SELECT station_id, sv, time, arc_id, round(coalesce(roti, stec), 6) + 0.0::DOUBLE AS roti FROM full_links
 """)
 def j12(t: Tables) -> DataFrame:
     rows = full_links(t)
@@ -110,7 +110,7 @@ def j12(t: Tables) -> DataFrame:
 
 @query("w05_rolling_median", f"""
 WITH {LINKS}
-SELECT station_id, sv, time, round(CASE WHEN count(*) OVER w = 5 THEN stec - median(stec) OVER w END, 6) AS residual
+SELECT station_id, sv, time, round(CASE WHEN count(*) OVER w = 5 THEN stec - median(stec) OVER w END, 6) + 0.0::DOUBLE AS residual
 FROM links WINDOW w AS (PARTITION BY period, station_id, sv ORDER BY time ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
 """)
 def w05(t: Tables) -> DataFrame:
@@ -122,7 +122,7 @@ def w05(t: Tables) -> DataFrame:
 WITH {LINKS},
 x AS (SELECT *, epoch_us(time) / 1e6 - 1704067200 AS s FROM links)
 SELECT station_id, sv, time,
-       round(CASE WHEN count(*) OVER w = 6 THEN stec - (regr_intercept(stec, s) OVER w + regr_slope(stec, s) OVER w * s) END, 4) AS residual
+       round(CASE WHEN count(*) OVER w = 6 THEN stec - (regr_intercept(stec, s) OVER w + regr_slope(stec, s) OVER w * s) END, 4) + 0.0::DOUBLE AS residual
 FROM x WINDOW w AS (PARTITION BY period, station_id, sv ORDER BY time ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)
 """)
 def w06(t: Tables) -> DataFrame:
@@ -194,7 +194,7 @@ def w08(t: Tables) -> DataFrame:
 WITH f AS (SELECT vec_id AS lon, CAST(i - 33 AS DOUBLE) AS lat, CAST(embedding[i] AS DOUBLE) AS mlat FROM embeddings, range(1, 65) r(i)),
 p AS (SELECT lon, lat AS b, mlat AS mb, lag(lat) OVER w AS a, lag(mlat) OVER w AS ma FROM f WINDOW w AS (PARTITION BY lon ORDER BY lat)),
 h AS (SELECT lon, a, a - ma * (b - a) / (mb - ma) AS c, ma * mb <= 0 AS first_rule, (ma < 0) <> (mb < 0) AS sign_rule FROM p WHERE ma IS NOT NULL)
-SELECT x.lon, round(x.c, 6) AS first_lat, round(y.c, 6) AS nearest_lat
+SELECT x.lon, round(x.c, 6) + 0.0::DOUBLE AS first_lat, round(y.c, 6) + 0.0::DOUBLE AS nearest_lat
 FROM (SELECT lon, arg_min(c, a) AS c FROM h WHERE first_rule GROUP BY 1) x JOIN (SELECT lon, arg_min(c, (abs(a), a)) AS c FROM h WHERE sign_rule GROUP BY 1) y USING (lon)
 """)
 def w11(t: Tables) -> DataFrame:

@@ -37,15 +37,15 @@ def test_two_pairs_one_minute_apart(spark):
     assert sorted((r.left_id, r.right_id, r.delta_sec) for r in out) == [(0, 0, 60.0), (1, 1, 60.0)]
 
 
-@pytest.mark.parametrize("seed,slots", [(1, 256), (2, 256), (3, 2), (4, 3), (5, 1), (6, 4)])
-def test_against_the_written_rule(spark, seed, slots):
-    """Few slots per chunk force the chunked rounds."""
+@pytest.mark.parametrize("seed,rows", [(1, 10**6), (2, 10**6), (3, 40), (4, 12), (5, 3), (6, 1)])
+def test_against_the_written_rule(spark, seed, rows):
+    """Few rows per chunk force the chunked rounds, also with chunks below the tolerance."""
     rng = random.Random(seed)
     make = lambda n: [(rng.choice("ab"), i, rng.randint(0, 3000)) for i in range(n)]
     left, right = make(180), make(150)
     tol = 45
     out = pair_nearest(
-        *frames(spark, left, right), float(tol), ["by"], left_id="id", right_id="id", chunk_slots=slots
+        *frames(spark, left, right), float(tol), ["by"], left_id="id", right_id="id", chunk_rows=rows
     ).collect()
     assert sorted((r.by, r.left_id, r.right_id) for r in out) == brute(left, right, tol)
 
