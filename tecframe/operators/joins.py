@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tecframe import fixed
-from tecframe.functions._col import micros
+from tecframe.functions._col import let, micros
 from tecframe.functions.timefn import delta_seconds, midpoint
 
 
@@ -29,6 +29,12 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
+# records of one key within two age limits that may travel in one array
+ARRAY_LIMIT = 10_000
+# parts into which a slot is cut for keys with more records than that
+_FINE = 64
+
+
 def asof_latest(
     obs: DataFrame,
     eph: DataFrame,
@@ -39,33 +45,76 @@ def asof_latest(
     eph_time: str = "time",
     position: str = "ingest_pos",
     out: str = "eph",
+    array_limit: int = ARRAY_LIMIT,
 ) -> DataFrame:
     """Adds struct ``out``: the latest record at or before each row, not older than the limit.
 
-    Time is cut into slots as long as the age limit. A record serves its own
-    slot and the next, so an equi-join on (keys, slot) brings every row the few
-    records that can apply, sorted in one array. The rows are neither sorted
-    nor multiplied, and a slot with very many rows is split by the skew join.
-    Of records at the same time the last one counts. No record gives NULL.
+    Time is cut into slots as long as the age limit, so a record serves its own
+    slot and the next. Where records are sparse, as orbits are, an equi-join on
+    (keys, slot) brings every row the few records that can apply in one sorted
+    array: the rows are neither sorted nor multiplied, and a slot with very
+    many rows is split by the skew join. Where a slot holds too many records
+    for an array, rows and records are merged in order inside fine slots. Of
+    records at the same time the last one counts. No record gives NULL.
     """
     keys = list(keys)
     width = max(1, int(max_age_sec * 1e6))
     payload = [c for c in eph.columns if c not in keys and c != position]
-    records = eph.withColumn("_us", micros(eph_time))
-    newest = F.max_by(F.struct(*payload), F.col(position)) if position in eph.columns else F.first(F.struct(*payload))
-    records = records.groupBy(*keys, "_us").agg(newest.alias("rec"))
+    newest = (
+        F.max_by(F.struct(*payload), F.col(position)) if position in eph.columns else F.first(F.struct(*payload))
+    )
+    records = eph.withColumn("_us", micros(eph_time)).groupBy(*keys, "_us").agg(newest.alias("rec"))
     slot = F.floor(F.col("_us") / width)
     served = records.select(
         *keys, F.explode(F.array(slot, slot + 1)).alias("_slot"),
         F.struct(F.col("_us").alias("us"), F.col("rec")).alias("r"),
     )
-    per_slot = served.groupBy(*keys, "_slot").agg(F.sort_array(F.collect_list("r")).alias("_recs"))
-    rows = obs.withColumn("_slot", F.floor(micros(obs_time) / width))
-    joined = rows.join(per_slot, [*keys, "_slot"], "left")
-    before = F.filter("_recs", lambda r: r["us"] <= micros(obs_time))
-    joined = joined.withColumn("_hit", F.get(before, F.size(before) - 1))
+    fullest = served.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (fullest or 0) > array_limit:
+        joined = _latest_in_fine_slots(obs, records, keys, width, obs_time)
+    else:
+        per_slot = served.groupBy(*keys, "_slot").agg(F.sort_array(F.collect_list("r")).alias("_recs"))
+        rows = obs.withColumn("_slot", F.floor(micros(obs_time) / width))
+        joined = rows.join(per_slot, [*keys, "_slot"], "left")
+        before = F.filter("_recs", lambda r: r["us"] <= micros(obs_time))
+        joined = joined.withColumn("_hit", let(before, lambda v: F.get(v, F.size(v) - 1))).drop("_slot", "_recs")
     fresh = micros(obs_time) - F.col("_hit.us") <= width
-    return joined.withColumn(out, F.when(fresh, F.col("_hit.rec"))).drop("_slot", "_recs", "_hit")
+    return joined.withColumn(out, F.when(fresh, F.col("_hit.rec"))).drop("_hit")
+
+
+def _latest_in_fine_slots(
+    obs: DataFrame, records: DataFrame, keys: list[str], width: int, obs_time: str
+) -> DataFrame:
+    """Adds ``_hit`` by merging rows and records in time order.
+
+    The order is kept inside fine slots only. What a fine slot inherits from
+    the ones before it is the last record among at most 128 slot summaries.
+    """
+    fine = max(1, -(-width // _FINE))
+    with_slots = lambda df: df.withColumn("_fine", F.floor(F.col("_us") / fine))
+    r_rows = with_slots(records).select(
+        *keys, "_fine", "_us", F.struct(F.col("_us").alias("us"), F.col("rec")).alias("_r")
+    )
+    o_rows = with_slots(obs.withColumn("_us", micros(obs_time))).withColumn("_row", F.struct(*obs.columns)).select(
+        *keys, "_fine", "_us", "_row"
+    )
+    # a fine slot can inherit from the _FINE slots before it
+    coarse = F.floor(F.col("_fine") / _FINE)
+    tails = r_rows.groupBy(*keys, "_fine").agg(F.max_by("_r", "_us").alias("_tail"))
+    asked = o_rows.select(*keys, "_fine").distinct()
+    summary = tails.select(*keys, F.explode(F.array(coarse, coarse + 1)).alias("_coarse"), "_fine", "_tail").unionByName(
+        asked.select(*keys, coarse.alias("_coarse"), "_fine"), allowMissingColumns=True
+    )
+    earlier = Window.partitionBy(*keys, "_coarse").orderBy("_fine").rangeBetween(Window.unboundedPreceding, -1)
+    inherited = (
+        summary.withColumn("_before", F.last("_tail", ignorenulls=True).over(earlier))
+        .filter(F.col("_tail").isNull()).select(*keys, "_fine", "_before")
+    )
+    merged = o_rows.unionByName(r_rows, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, "_fine").orderBy("_us", F.col("_row").isNotNull())
+    merged = merged.withColumn("_own", F.last("_r", ignorenulls=True).over(order)).filter(F.col("_row").isNotNull())
+    same = merged.join(inherited, [*keys, "_fine"], "left")
+    return same.select("_row.*", F.coalesce("_own", "_before").alias("_hit"))
 
 
 def asof_ephemeris(

@@ -220,7 +220,9 @@ def test_asof_age_limit_and_day_border(spark):
     assert got == {0: None, 1: "first", 2: "new", 3: "new", 4: "new", 5: None, 9: None}
 
 
-def test_asof_against_pandas(spark):
+@pytest.mark.parametrize("array_limit", [10_000, 0])
+def test_asof_against_pandas(spark, array_limit):
+    """Sparse records travel in arrays; with a limit of 0 all go through fine slots."""
     rng = random.Random(4)
     eph = pd.DataFrame({"sv": [rng.choice("ab") for _ in range(80)], "us": [rng.randint(0, 10_000) for _ in range(80)]})
     eph = eph.drop_duplicates().reset_index(drop=True)
@@ -228,7 +230,7 @@ def test_asof_against_pandas(spark):
     obs["i"] = range(len(obs))
     left = spark.createDataFrame(obs).withColumn("time", F.timestamp_seconds("us"))
     right = spark.createDataFrame(eph).withColumn("time", F.timestamp_seconds("us"))
-    got = {r.i: r.eph.us if r.eph else None for r in joins.asof_latest(left, right, ["sv"], 150.0).collect()}
+    got = {r.i: r.eph.us if r.eph else None for r in joins.asof_latest(left, right, ["sv"], 150.0, array_limit=array_limit).collect()}
     want = pd.merge_asof(obs.sort_values("us"), eph.rename(columns={"us": "hit"}).assign(us=lambda d: d.hit).sort_values("us"), on="us", by="sv", tolerance=150)
     assert got == {int(r.i): (None if pd.isna(r.hit) else int(r.hit)) for r in want.itertuples()}
 
