@@ -168,18 +168,6 @@ def summarise_failures(reasons: DataFrame, keys: Sequence[str], *, reason: str =
     )
 
 
-def default_reason(station_days: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Station-days without a recorded reason get the general one."""
-    return station_days.join(summary, list(keys), "left").withColumns(
-        {
-            "reason": F.coalesce("reason", F.lit("no_valid_links")),
-            "detail": F.coalesce(
-                "detail", F.lit("no satellite produced accepted VTEC or ROTI samples")
-            ),
-        }
-    )
-
-
 def mad(df: DataFrame, column: str, by: Sequence[str], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Median absolute deviation per group."""
     by = list(by)
