@@ -76,10 +76,10 @@ def any_metric(df: DataFrame) -> DataFrame:
     return df.filter(F.col("vtec").isNotNull() | F.col("roti").isNotNull())
 
 
-def station_metric(links: DataFrame, metric: str) -> DataFrame:
+def station_metric(links: DataFrame, metric: str, *, keep: Sequence[str] = ()) -> DataFrame:
     """The per-station series of one metric; order belongs to the sink."""
     return links.filter(F.col(metric).isNotNull()).select(
-        "time", "station_id", "station_code4", "sv", metric
+        *keep, "time", "station_id", "station_code4", "sv", metric
     )
 
 

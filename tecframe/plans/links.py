@@ -227,3 +227,10 @@ def build_series(
         ),
         cov,
     )
+
+
+def write_station_series(links: DataFrame, root: str) -> None:
+    """Series tables that the station figures read: one folder per metric and event."""
+    for metric in ("vtec", "roti"):
+        rows = predicates.station_metric(links, metric, keep=("event_id",))
+        rows.write.mode("overwrite").partitionBy("event_id").parquet(f"{root}/{metric}")

@@ -153,3 +153,24 @@ def check_slots(slots: DataFrame) -> DataFrame:
         .otherwise(kind)
     )
     return slots.withColumn("kind", checked)
+
+
+# fixed values: colour bars that a panel may share
+COLORBARS = ("gold", "gnss_roti", "gnss_vtec")
+
+
+def check_panels(panels: DataFrame, slots: DataFrame) -> DataFrame:
+    """Panels with their slot count; a panel that breaks a layout rule fails when it is read.
+
+    panels: panel_name, rows, cols, shared_colorbar.
+    """
+    counts = slots.groupBy("panel_name").agg(F.count(F.lit(1)).alias("slots"))
+    out = panels.join(counts, "panel_name", "left").withColumn("slots", F.coalesce("slots", F.lit(0)))
+    fail = lambda text: F.raise_error(F.lit(text)).cast("string")
+    checked = (
+        F.when((F.col("rows") <= 0) | (F.col("cols") <= 0), fail("panel rows and cols must be positive"))
+        .when(~F.coalesce(F.lower("shared_colorbar").isin(*COLORBARS), F.lit(False)), fail("unknown shared colour bar"))
+        .when(F.col("slots") != F.col("rows") * F.col("cols"), fail("a panel needs rows * cols slots"))
+        .otherwise(F.col("panel_name"))
+    )
+    return out.withColumn("panel_name", checked)

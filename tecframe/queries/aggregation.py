@@ -264,7 +264,7 @@ def a14(t: Tables) -> DataFrame:
 @query("a15_first_dates", """
 SELECT 'C' || CAST(o_custkey AS VARCHAR) AS station_code4, min(CAST(o_orderdate AS DATE)) AS first_date,
        arg_min(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), (CAST(o_orderdate AS DATE), o_orderkey)) AS station_id FROM orders GROUP BY 1
-""")
+""", dates=("first_date",))
 def a15(t: Tables) -> DataFrame:
     rec = t.orders.select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("station_code4"),

@@ -34,16 +34,21 @@ class Tables:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Instants back to zone-less timestamps, as the parquet tables have them."""
-    times = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields if f.dataType.typeName() == "timestamp"}
-    return df.withColumns(times) if times else df
+    """Instants back to zone-less timestamps, as the parquet tables have them; dates as ISO text."""
+    kinds = {"timestamp": "timestamp_ntz", "date": "string"}
+    casts = {
+        f.name: F.col(f.name).cast(kinds[f.dataType.typeName()])
+        for f in df.schema.fields if f.dataType.typeName() in kinds
+    }
+    return df.withColumns(casts) if casts else df
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str, *, dates: tuple[str, ...] = ()):
+    """Registers a query with its SQL; ``dates`` are the columns that SQL has to turn into text."""
     def register(fn: Callable[[Tables], DataFrame]):
         QUERIES[name] = lambda spark, folder: plain(fn(Tables(spark, folder)))
-        if sql is not None:
-            ORACLES[name] = sql.strip()
+        as_text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
+        ORACLES[name] = f"SELECT * REPLACE ({as_text}) FROM ({sql.strip()})" if dates else sql.strip()
         return fn
 
     return register

@@ -41,7 +41,7 @@ j AS (SELECT d.*, event_id, greatest(start_utc, CAST(observation_date AS TIMESTA
              least(end_utc, CAST(observation_date AS TIMESTAMP) + INTERVAL 1 DAY) AS slice_end
       FROM d JOIN region ON r_regionkey = user_id % 5 JOIN ev ON event_id = r_name)
 SELECT user_id, observation_date, event_id, slice_start, slice_end FROM j WHERE slice_start < slice_end
-""")
+""", dates=("observation_date",))
 def f03(t: Tables) -> DataFrame:
     ev = region_events(t)
     days = t.events.select("user_id", F.to_date("ts").alias("observation_date")).distinct()
@@ -89,6 +89,21 @@ def f08(t: Tables) -> DataFrame:
     return predicates.any_metric(rows).select("station_id", "sv", "time", "vtec", r6("roti").alias("roti"))
 
 
+@query("f08_station_series", f"""
+WITH {RATES}
+SELECT 'vtec' AS metric, station_id, sv, time, stec AS value FROM full_links WHERE stec >= 60
+UNION ALL SELECT 'roti', station_id, sv, time, round(roti, 6) + 0.0::DOUBLE FROM full_links WHERE roti IS NOT NULL
+""")
+def f08_series(t: Tables) -> DataFrame:
+    rows = full_links(t).withColumns(
+        {"vtec": F.when(F.col("stec") >= 60, F.col("stec")), "station_code4": F.substring("station_id", 1, 4)}
+    )
+    one = lambda m: predicates.station_metric(rows, m).select(
+        F.lit(m).alias("metric"), "station_id", "sv", "time", F.col(m).alias("value")
+    )
+    return one("vtec").union(one("roti").withColumn("value", r6("value")))
+
+
 @query("f09_strict_threshold", "SELECT event_id, value FROM events WHERE value > 50.0")
 def f09(t: Tables) -> DataFrame:
     return predicates.above(t.events.select("event_id", "value"), "value", 50.0)
@@ -235,7 +250,7 @@ def u01(t: Tables) -> DataFrame:
 @query("u03_key_union", """
 SELECT CAST(o_orderdate AS DATE) AS observation_date, upper(o_orderstatus) AS station_code4 FROM orders
 UNION SELECT CAST(l_shipdate AS DATE), upper(l_linestatus) FROM lineitem
-""")
+""", dates=("observation_date",))
 def u03(t: Tables) -> DataFrame:
     a = t.orders.select(F.to_date("o_orderdate").alias("observation_date"), F.lower("o_orderstatus").alias("station_code4"))
     b = t.lineitem.select(F.to_date("l_shipdate").alias("observation_date"), F.col("l_linestatus").alias("station_code4"))

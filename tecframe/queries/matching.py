@@ -59,7 +59,7 @@ def click_view_pairs(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query("j01_pair_nearest", f"""
 WITH RECURSIVE {PAIRS}
 SELECT user_id, day, l AS left_id, r AS right_id, lt AS left_time, rt AS right_time, d / 1e6 AS delta_sec FROM g_walk WHERE taken
-""")
+""", dates=("day",))
 def j01(t: Tables) -> DataFrame:
     return click_view_pairs(t)[1]
 
@@ -263,7 +263,7 @@ def j09(t: Tables) -> DataFrame:
 WITH {REGION_EVENTS}
 SELECT s_suppkey, event_id, CAST(unnest(generate_series(CAST(start_utc AS DATE), CAST(end_utc AS DATE), INTERVAL 1 DAY)) AS DATE) AS observation_date
 FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey JOIN ev ON event_id = r_name
-""")
+""", dates=("observation_date",))
 def j10(t: Tables) -> DataFrame:
     st = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return joins.station_calendar(st.select("s_suppkey", F.col("r_name").alias("event_id")), region_events(t))
@@ -299,7 +299,7 @@ f AS (SELECT o_orderkey, d, code AS station_code4, CASE o_orderkey % 4 WHEN 0 TH
 n AS (SELECT CAST(l_shipdate AS DATE) + CAST(day(l_shipdate) % 2 AS INTEGER) AS d, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) FILTER (l_returnflag = 'A') AS okp, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) AS anyp FROM lineitem GROUP BY 1)
 SELECT f.d AS observation_date, station_code4, station_id, sampling_sec, source_priority, source, coalesce(okp, anyp, '') AS nav_path, CASE WHEN okp IS NOT NULL THEN 'ok' ELSE 'error' END AS nav_status
 FROM f LEFT JOIN n USING (d) WHERE rn = 1
-""")
+""", dates=("observation_date",))
 def p01(t: Tables) -> DataFrame:
     names = file_names(t).join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     listing = names.select(

@@ -166,7 +166,7 @@ def d01(t: Tables) -> DataFrame:
 
 @query("d02_day_sequence", """
 SELECT o_orderkey, CAST(unnest(generate_series(o_orderdate, o_orderdate + to_days(CAST(o_custkey % 4 AS INTEGER)), INTERVAL 1 DAY)) AS DATE) AS day FROM orders
-""")
+""", dates=("day",))
 def d02(t: Tables) -> DataFrame:
     end = F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 4).cast("int"))
     return t.orders.select("o_orderkey", F.explode(timefn.day_sequence("o_orderdate", end)).alias("day"))

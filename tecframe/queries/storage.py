@@ -73,7 +73,7 @@ def s05(t: Tables) -> DataFrame:
     return upsert(old, new, "F")
 
 
-@query("s06_asset_listing", "SELECT DISTINCT CAST(ts AS DATE) AS observation_date, event_type FROM events")
+@query("s06_asset_listing", "SELECT DISTINCT CAST(ts AS DATE) AS observation_date, event_type FROM events", dates=("observation_date",))
 def s06(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "assets")
     rows = t.events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))

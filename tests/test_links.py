@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tecframe import fixed
 from tecframe.operators.slips import SlipParams
-from tecframe.plans.links import LinkParams, build_grid, build_links, build_series
+from tecframe.plans.links import build_grid, build_links, build_series, write_station_series
 from tests.test_slips import walk
 
 DAY = datetime(2024, 10, 10, tzinfo=timezone.utc)
@@ -131,8 +131,6 @@ def test_links_match_the_written_steps(world):
 
 
 def test_reasons_name_the_first_failing_step(spark, world):
-    from tests import test_links  # noqa: F401
-
     (links, _, _), raw, sats, events = world
     obs = [("AAAA00XXX", date(2024, 10, 10), DAY + timedelta(seconds=30 * k), "G30", k, 1.0, 2.0) for k in range(5)]
     obs += [("AAAA00XXX", date(2024, 10, 10), DAY, "G31", 0, 1.0, 2.0)]
@@ -146,9 +144,12 @@ def test_reasons_name_the_first_failing_step(spark, world):
     assert [(r.reason, r.detail) for r in f] == [("insufficient_phase_samples", "insufficient_phase_samples=1, missing_navigation_solution=1")]
 
 
-def test_grid_and_series_of_the_links(world):
+def test_grid_and_series_of_the_links(spark, world, tmp_path):
     (links, _, _), _, _, events = world
     links = links.persist()
+    write_station_series(links, str(tmp_path))
+    back = spark.read.parquet(f"{tmp_path}/roti")
+    assert back.count() == links.filter("roti is not null").count() and "event_id" in back.columns
     grid, cube, products = build_grid(links, events)
     total = sum(r.sample_count for r in grid.collect())
     assert total == links.count()

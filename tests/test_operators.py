@@ -12,7 +12,7 @@ from tecframe import fixed
 from tecframe.functions import arrays, geodesy, indices, text, timefn
 from tecframe.operators import aggregates, joins, predicates, sequences, sets, swaths
 from tecframe.plans.omni import highlight
-from tecframe.plans.overlay import OverlaySpec, build_overlay, check_slots, overlay_status, slice_points
+from tecframe.plans.overlay import OverlaySpec, build_overlay, check_panels, check_slots, overlay_status, slice_points
 
 UTC = timezone.utc
 T0 = datetime(2024, 10, 10, tzinfo=UTC)
@@ -334,6 +334,15 @@ def test_bad_panel_slots_fail(spark):
     assert check_slots(spark.createDataFrame([("GOLD", None, None, T0, T0, None)], schema)).first().kind == "gold"
 
 
+def test_panel_layout_rules(spark):
+    slots = spark.createDataFrame([("p", 0), ("p", 1)], "panel_name string, slot_index int")
+    panel = lambda rows, cols, bar: spark.createDataFrame([("p", rows, cols, bar)], "panel_name string, rows int, cols int, shared_colorbar string")
+    assert check_panels(panel(1, 2, "GOLD"), slots).first().slots == 2
+    for bad in ((0, 2, "gold"), (2, 2, "gold"), (1, 2, "other")):
+        with pytest.raises(Exception):
+            check_panels(panel(*bad), slots).collect()
+
+
 def test_cell_mask_against_numpy(spark):
     rng = np.random.default_rng(6)
     m, n = 5, 6
