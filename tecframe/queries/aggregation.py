@@ -210,7 +210,7 @@ cov AS (SELECT station_id, sv, CAST(sum(v) AS BIGINT) AS valid_vtec, CAST(sum(r)
 WITH {COVER}
 SELECT station_id, sv, score, longest_arc,
        CASE WHEN score > 0 THEN row_number() OVER (PARTITION BY station_id, score = 0 ORDER BY score DESC, longest_arc DESC, sv) END AS rank FROM cov
-""")
+""", texts=("rank",))
 def w09(t: Tables) -> DataFrame:
     cov = aggregates.coverage(series(t), ["station_id", "sv"])
     return sets.rank_satellites(cov, ["station_id"]).select("station_id", "sv", "score", "longest_arc", "rank")
@@ -264,7 +264,7 @@ def a14(t: Tables) -> DataFrame:
 @query("a15_first_dates", """
 SELECT 'C' || CAST(o_custkey AS VARCHAR) AS station_code4, min(CAST(o_orderdate AS DATE)) AS first_date,
        arg_min(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), (CAST(o_orderdate AS DATE), o_orderkey)) AS station_id FROM orders GROUP BY 1
-""", dates=("first_date",))
+""", texts=("first_date",))
 def a15(t: Tables) -> DataFrame:
     rec = t.orders.select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("station_code4"),

@@ -43,12 +43,20 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def query(name: str, sql: str, *, dates: tuple[str, ...] = ()):
-    """Registers a query with its SQL; ``dates`` are the columns that SQL has to turn into text."""
+def query(name: str, sql: str, *, texts: tuple[str, ...] = ()):
+    """Registers a query with its SQL.
+
+    ``texts`` are columns that both sides give as text: dates, and integers
+    that may be missing.
+    """
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: plain(fn(Tables(spark, folder)))
-        as_text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
-        ORACLES[name] = f"SELECT * REPLACE ({as_text}) FROM ({sql.strip()})" if dates else sql.strip()
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            out = plain(fn(Tables(spark, folder)))
+            return out.withColumns({c: text(c) for c in texts}) if texts else out
+
+        QUERIES[name] = run
+        as_text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in texts)
+        ORACLES[name] = f"SELECT * REPLACE ({as_text}) FROM ({sql.strip()})" if texts else sql.strip()
         return fn
 
     return register

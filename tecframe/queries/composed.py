@@ -146,7 +146,7 @@ s AS (SELECT event_id, station_id, d, first(reason ORDER BY n DESC, reason = 'be
       FROM c GROUP BY ALL HAVING count_if(reason IS NULL) = 0)
 SELECT event_id, station_id, d AS observation_date, coalesce(reason, 'no_valid_links') AS reason, coalesce(detail, '') AS detail
 FROM days LEFT JOIN s USING (event_id, station_id, d) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.event_id = days.event_id AND c.station_id = days.station_id AND c.d = days.d AND c.reason IS NULL)
-""", dates=("observation_date",))
+""", texts=("observation_date",))
 def p03_failures(t: Tables) -> DataFrame:
     return build_links(*raw_observations(t), replace(FULL_PARAMS, elevation_mask=70.0)).failures.drop("stage")
 

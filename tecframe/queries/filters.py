@@ -41,7 +41,7 @@ j AS (SELECT d.*, event_id, greatest(start_utc, CAST(observation_date AS TIMESTA
              least(end_utc, CAST(observation_date AS TIMESTAMP) + INTERVAL 1 DAY) AS slice_end
       FROM d JOIN region ON r_regionkey = user_id % 5 JOIN ev ON event_id = r_name)
 SELECT user_id, observation_date, event_id, slice_start, slice_end FROM j WHERE slice_start < slice_end
-""", dates=("observation_date",))
+""", texts=("observation_date",))
 def f03(t: Tables) -> DataFrame:
     ev = region_events(t)
     days = t.events.select("user_id", F.to_date("ts").alias("observation_date")).distinct()
@@ -250,7 +250,7 @@ def u01(t: Tables) -> DataFrame:
 @query("u03_key_union", """
 SELECT CAST(o_orderdate AS DATE) AS observation_date, upper(o_orderstatus) AS station_code4 FROM orders
 UNION SELECT CAST(l_shipdate AS DATE), upper(l_linestatus) FROM lineitem
-""", dates=("observation_date",))
+""", texts=("observation_date",))
 def u03(t: Tables) -> DataFrame:
     a = t.orders.select(F.to_date("o_orderdate").alias("observation_date"), F.lower("o_orderstatus").alias("station_code4"))
     b = t.lineitem.select(F.to_date("l_shipdate").alias("observation_date"), F.col("l_linestatus").alias("station_code4"))

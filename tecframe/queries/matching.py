@@ -59,7 +59,7 @@ def click_view_pairs(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query("j01_pair_nearest", f"""
 WITH RECURSIVE {PAIRS}
 SELECT user_id, day, l AS left_id, r AS right_id, lt AS left_time, rt AS right_time, d / 1e6 AS delta_sec FROM g_walk WHERE taken
-""", dates=("day",))
+""", texts=("day",))
 def j01(t: Tables) -> DataFrame:
     return click_view_pairs(t)[1]
 
@@ -82,7 +82,7 @@ SELECT 'scene' AS kind, * FROM s WHERE EXISTS (SELECT 1 FROM ev WHERE event_id I
 UNION ALL
 SELECT 'unmatched', 'A' || CAST(user_id AS VARCHAR), time, NULL, NULL, id, NULL, NULL FROM (SELECT * FROM clicks UNION ALL SELECT * FROM views)
 WHERE id NOT IN (SELECT l FROM g_walk WHERE taken UNION ALL SELECT r FROM g_walk WHERE taken)
-""")
+""", texts=("cha", "chb",))
 def p06(t: Tables) -> DataFrame:
     me = minute_events(t).filter(F.col("event_type").isin("click", "view"))
     member = F.concat(
@@ -109,7 +109,7 @@ def p06(t: Tables) -> DataFrame:
 WITH {MINUTE_EVENTS}, c AS (SELECT user_id, time, max(id) AS id FROM me WHERE event_type = 'click' GROUP BY ALL),
 j AS (SELECT e.event_id, e.ts, c.time, c.id FROM (SELECT * FROM events WHERE event_type = 'view') e ASOF LEFT JOIN c ON e.user_id = c.user_id AND e.ts >= c.time)
 SELECT event_id, CASE WHEN epoch_us(ts) - epoch_us(time) <= 14400000000 THEN id END AS eph_id, CASE WHEN epoch_us(ts) - epoch_us(time) <= 14400000000 THEN time END AS eph_time FROM j
-""")
+""", texts=("eph_id",))
 def j03(t: Tables) -> DataFrame:
     clicks = minute_events(t).filter("event_type = 'click'").select("user_id", "time", "id", F.col("id").alias("ingest_pos"))
     views = t.events.filter("event_type = 'view'").select("event_id", "user_id", F.col("ts").alias("time"))
@@ -151,7 +151,7 @@ SELECT k, slice_id, scene_id, gold_time, CASE WHEN slice_id IS NOT NULL AND scen
        CASE WHEN slice_id IS NOT NULL AND scene_id IS NOT NULL THEN 'ready' ELSE 'skipped' END AS status,
        CASE WHEN slice_id IS NULL AND scene_id IS NULL THEN 'explicit_pair_missing_gnss_and_gold' WHEN slice_id IS NULL THEN 'explicit_pair_missing_gnss'
             WHEN scene_id IS NULL THEN 'explicit_pair_missing_gold' ELSE '' END AS detail FROM j
-""")
+""", texts=("slice_id", "scene_id",))
 def j04(t: Tables) -> DataFrame:
     out = joins.explicit_pairs(*spec_tables(t))
     return out.select("k", "slice_id", "scene_id", "gold_time", "delta_seconds", "status", "detail")
@@ -184,7 +184,7 @@ def panel_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 @query("j05_panel_slots", f"""
 WITH {PANEL}
 SELECT k AS slot_index, kind, requested_time, CASE WHEN detail = '' THEN requested_time END AS resolved_time, CASE WHEN detail = '' THEN 'ready' ELSE 'placeholder' END AS status, detail, slice_id, scene_id FROM judged
-""")
+""", texts=("slice_id", "scene_id",))
 def j05(t: Tables) -> DataFrame:
     return joins.resolve_slots(*panel_tables(t)).drop("panel_name")
 
@@ -263,7 +263,7 @@ def j09(t: Tables) -> DataFrame:
 WITH {REGION_EVENTS}
 SELECT s_suppkey, event_id, CAST(unnest(generate_series(CAST(start_utc AS DATE), CAST(end_utc AS DATE), INTERVAL 1 DAY)) AS DATE) AS observation_date
 FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey JOIN ev ON event_id = r_name
-""", dates=("observation_date",))
+""", texts=("observation_date",))
 def j10(t: Tables) -> DataFrame:
     st = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return joins.station_calendar(st.select("s_suppkey", F.col("r_name").alias("event_id")), region_events(t))
@@ -299,7 +299,7 @@ f AS (SELECT o_orderkey, d, code AS station_code4, CASE o_orderkey % 4 WHEN 0 TH
 n AS (SELECT CAST(l_shipdate AS DATE) + CAST(day(l_shipdate) % 2 AS INTEGER) AS d, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) FILTER (l_returnflag = 'A') AS okp, min(('nav/' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0'))) AS anyp FROM lineitem GROUP BY 1)
 SELECT f.d AS observation_date, station_code4, station_id, sampling_sec, source_priority, source, coalesce(okp, anyp, '') AS nav_path, CASE WHEN okp IS NOT NULL THEN 'ok' ELSE 'error' END AS nav_status
 FROM f LEFT JOIN n USING (d) WHERE rn = 1
-""", dates=("observation_date",))
+""", texts=("observation_date",))
 def p01(t: Tables) -> DataFrame:
     names = file_names(t).join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     listing = names.select(

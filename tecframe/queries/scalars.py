@@ -166,7 +166,7 @@ def d01(t: Tables) -> DataFrame:
 
 @query("d02_day_sequence", """
 SELECT o_orderkey, CAST(unnest(generate_series(o_orderdate, o_orderdate + to_days(CAST(o_custkey % 4 AS INTEGER)), INTERVAL 1 DAY)) AS DATE) AS day FROM orders
-""", dates=("day",))
+""", texts=("day",))
 def d02(t: Tables) -> DataFrame:
     end = F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 4).cast("int"))
     return t.orders.select("o_orderkey", F.explode(timefn.day_sequence("o_orderdate", end)).alias("day"))
@@ -218,7 +218,7 @@ SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CASE WHEN code = 'S007' THEN
        CASE o_orderkey % 8 WHEN 2 THEN 'CHA' WHEN 6 THEN 'CHB' END AS hemisphere,
        CASE WHEN o_orderkey % 4 = 2 THEN o_orderdate + INTERVAL 13 HOURS + INTERVAL 5 MINUTES END AS obs_time,
        CASE WHEN o_orderkey % 4 = 3 THEN 'bz' END AS kind, CASE WHEN o_orderkey % 4 = 3 THEN o_orderdate + INTERVAL 3 DAY - INTERVAL 1 SECOND END AS cover_end FROM c
-""")
+""", texts=("sampling_sec",))
 def t01(t: Tables) -> DataFrame:
     obs_f = names.parse_observation_name("path", default_sampling=30, overrides={"S007": "OVERRIDE7"})
     rows = file_names(t).withColumns({"o": obs_f, "s": names.parse_swath_name("path"), "m": names.parse_omni_name("path")})

@@ -73,7 +73,7 @@ def s05(t: Tables) -> DataFrame:
     return upsert(old, new, "F")
 
 
-@query("s06_asset_listing", "SELECT DISTINCT CAST(ts AS DATE) AS observation_date, event_type FROM events", dates=("observation_date",))
+@query("s06_asset_listing", "SELECT DISTINCT CAST(ts AS DATE) AS observation_date, event_type FROM events", texts=("observation_date",))
 def s06(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "assets")
     rows = t.events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
@@ -154,7 +154,7 @@ def s10(t: Tables) -> DataFrame:
 SELECT 'kml' AS source, upper(s_name) AS station_id, lower(substr(s_name, 1, 4)) AS station_code4, CAST(s_suppkey % 160 - 80 AS DOUBLE) AS lat, CAST(NULL AS INTEGER) AS sampling_sec FROM supplier WHERE s_suppkey % 5 <> 0
 UNION ALL SELECT 'json', 'S' || CAST(s_suppkey AS VARCHAR) || 'X', lower(substr('s' || CAST(s_suppkey AS VARCHAR) || 'x', 1, 4)), NULL, CAST(s_nationkey AS INTEGER) FROM supplier
 UNION ALL SELECT DISTINCT 'list', '', 'c' || lpad(CAST(c_custkey % 300 AS VARCHAR), 3, '0'), CAST(NULL AS DOUBLE), CAST(NULL AS INTEGER) FROM customer WHERE c_custkey % 2 = 0
-""")
+""", texts=("sampling_sec",))
 def s11(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     kml = t.supplier.select(
