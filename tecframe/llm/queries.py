@@ -73,3 +73,17 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
     from tecframe.llm.toxicity import toxicity
 
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_language_filters")
+def language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    from tecframe.llm.language_id import identify
+
+    return identify(table(spark, folder, "documents"))
+
+
+@query("op1_importance_resampling")
+def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    from tecframe.llm.resampling import resample
+
+    return resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
