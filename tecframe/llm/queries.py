@@ -87,3 +87,10 @@ def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     from tecframe.llm.resampling import resample
 
     return resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op9_suffix_blocks")
+def suffix_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    from tecframe.llm.suffix_blocks import remove_repeats
+
+    return remove_repeats(table(spark, folder, "documents"))
