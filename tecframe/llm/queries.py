@@ -94,3 +94,10 @@ def suffix_blocks(spark: SparkSession, folder: str) -> DataFrame:
     from tecframe.llm.suffix_blocks import remove_repeats
 
     return remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op6_collinear_chaining")
+def collinear_chaining(spark: SparkSession, folder: str) -> DataFrame:
+    from tecframe.llm.chaining import passages
+
+    return passages(table(spark, folder, "documents"))
