@@ -1,6 +1,6 @@
 """Vectorised tokens of Arrow text columns: word hashes, shingles, sets.
 
-Everything works on pieces of a few megabytes, so that the memory of a task
+Everything works on pieces of about a megabyte, so that the memory of a task
 follows the piece (or the longest single text), not the batch.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 4 << 20
+PIECE = 1 << 20
 U64 = np.uint64
 
 
@@ -85,6 +85,12 @@ class Texts:
         self.data = data[offsets[0]: offsets[-1]]
         self.off = offsets - offsets[0]
 
+    @classmethod
+    def of(cls, data: np.ndarray, off: np.ndarray) -> "Texts":
+        self = cls.__new__(cls)
+        self.data, self.off = data, off
+        return self
+
     def __len__(self) -> int:
         return len(self.off) - 1
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tecframe.llm.tokens import BASE, BYTES, FOLD, INVERSE, PIECE, U64, Texts, below, mix, pieces, powers, prefix_sums, span_hash
+from tecframe.llm.tokens import BASE, BYTES, FOLD, INVERSE, U64, Texts, below, mix, pieces, powers, prefix_sums, span_hash
 
 SAMPLE = 2000  # labelled rows of either class that the classifier is fitted on, at most
 BUCKETS = 1 << 17
@@ -272,7 +272,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     weights = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(batches, PIECE // 2):
+        for part, texts in pieces(batches):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score_texts(texts, weights.value))], ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
