@@ -101,3 +101,10 @@ def collinear_chaining(spark: SparkSession, folder: str) -> DataFrame:
     from tecframe.llm.chaining import passages
 
     return passages(table(spark, folder, "documents"))
+
+
+@query("op3_log_frequency_filter")
+def log_frequency_filter(spark: SparkSession, folder: str) -> DataFrame:
+    from tecframe.llm.language_model import score
+
+    return score(table(spark, folder, "documents"))

@@ -37,7 +37,7 @@ COVER_MOD = 31
 COVER = (1, 5, 11, 24, 25, 27)  # every residue modulo 31 is a difference of two of them
 HEAD, TAIL, RANKED = 16, 16, 34
 ANCHOR_ROWS, RUN_ROWS = 1 << 19, 30_000  # rows of a bucket, on average
-PART_BYTES = 16 << 20  # of texts that meet their spans in one task
+PART_BYTES = 5 << 20  # of texts that meet their spans in one task
 PLACE = 28  # bits of a position below the bits of its hash
 
 
