@@ -108,3 +108,10 @@ def log_frequency_filter(spark: SparkSession, folder: str) -> DataFrame:
     from tecframe.llm.language_model import score
 
     return score(table(spark, folder, "documents"))
+
+
+@query("op4_nn_descent")
+def nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    from tecframe.llm.neighbours import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"))
