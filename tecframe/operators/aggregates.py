@@ -12,7 +12,7 @@ from tecframe.functions.arrays import axis
 from tecframe.functions.geodesy import floor_bin, snap
 from tecframe.functions.timefn import floor_time, time_index
 from tecframe.operators.predicates import in_bbox
-from tecframe.operators.quantiles import HOT_ROWS, grouped_median
+from tecframe.operators.quantiles import grouped_median
 
 Extent = tuple[float, float, float, float]  # west, east, south, north
 
@@ -25,7 +25,6 @@ def grid_links(
     lon_step: float = fixed.GRID_STEP_DEG,
     cadence_min: int = fixed.GRID_CADENCE_MIN,
     by: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Median of vtec and roti per interval and cell; cells are centred on the nodes."""
     cells = in_bbox(links, bbox, lat="ipp_lat", lon="ipp_lon").select(
@@ -37,7 +36,7 @@ def grid_links(
     )
     return grouped_median(
         cells, [*by, "time", "lat", "lon"], {"vtec": "vtec", "roti": "roti"},
-        extra=[F.count("sv").alias("sample_count")], hot_rows=hot_rows,
+        extra=[F.count("sv").alias("sample_count")],
     )
 
 
@@ -48,7 +47,6 @@ def grid_links_floor(
     lat_step: float = fixed.GRID_STEP_DEG,
     lon_step: float = fixed.GRID_STEP_DEG,
     cadence_min: int = fixed.GRID_CADENCE_MIN,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Bins counted from zero, plus one empty row for every interval without data."""
     from tecframe.operators.sets import missing_times
@@ -61,7 +59,7 @@ def grid_links_floor(
     grid = grouped_median(
         cells, ["time", "event_id", "lat_bin", "lon_bin"],
         {"vtec_median": "vtec", "roti_median": "roti"},
-        extra=[F.count("sv").alias("sample_count")], hot_rows=hot_rows,
+        extra=[F.count("sv").alias("sample_count")],
     )
     gaps = missing_times(cells, events, cadence_min).select(
         "time", "event_id",
@@ -168,13 +166,13 @@ def summarise_failures(reasons: DataFrame, keys: Sequence[str], *, reason: str =
     )
 
 
-def mad(df: DataFrame, column: str, by: Sequence[str], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def mad(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """Median absolute deviation per group."""
     by = list(by)
     rows = df.filter(F.col(column).isNotNull()).select(*by, column)
-    centre = grouped_median(rows, by, {"_m": column}, hot_rows=hot_rows)
+    centre = grouped_median(rows, by, {"_m": column})
     gaps = rows.join(centre, by).withColumn("_gap", F.abs(F.col(column) - F.col("_m")))
-    return grouped_median(gaps, by, {"mad": "_gap"}, hot_rows=hot_rows)
+    return grouped_median(gaps, by, {"mad": "_gap"})
 
 
 def first_dates(records: DataFrame, *, code: str = "station_code4", date: str = "observation_date",
@@ -217,12 +215,11 @@ def arc_summary(links: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def cell_stats(cells: DataFrame, keys: Sequence[str], value: str, *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def cell_stats(cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Mean, median, deviation and count per cell."""
     return grouped_median(
         cells, keys, {"median": value},
         extra=[F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count(value).alias("samples")],
-        hot_rows=hot_rows,
     )
 
 
@@ -256,5 +253,5 @@ def densify(
         *by, "time", "lat", "lon",
         F.col("vtec").cast("float").alias("vtec", metadata={"units": "TECu"}),
         F.col("roti").cast("float").alias("roti", metadata={"units": "TECu/min"}),
-        F.coalesce("sample_count", F.lit(0)).cast("short").alias("sample_count", metadata={"units": "count"}),
+        F.coalesce("sample_count", F.lit(0)).cast("long").alias("sample_count", metadata={"units": "count"}),
     )

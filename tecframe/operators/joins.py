@@ -29,9 +29,7 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
-# records of one key within two age limits that may travel in one array
-ARRAY_LIMIT = 10_000
-# parts into which a slot is cut for keys with more records than that
+# parts into which a slot is cut
 _FINE = 64
 
 
@@ -45,39 +43,21 @@ def asof_latest(
     eph_time: str = "time",
     position: str = "ingest_pos",
     out: str = "eph",
-    array_limit: int = ARRAY_LIMIT,
 ) -> DataFrame:
     """Adds struct ``out``: the latest record at or before each row, not older than the limit.
 
     Time is cut into slots as long as the age limit, so a record serves its own
-    slot and the next. Where records are sparse, as orbits are, an equi-join on
-    (keys, slot) brings every row the few records that can apply in one sorted
-    array: the rows are neither sorted nor multiplied, and a slot with very
-    many rows is split by the skew join. Where a slot holds too many records
-    for an array, rows and records are merged in order inside fine slots. Of
-    records at the same time the last one counts. No record gives NULL.
+    slot and the next, and slots into fine ones, in which rows and records are
+    merged in order; every table takes this way. Of records at the same time
+    the last one by position counts, and without a position column the largest
+    one by its columns. No record gives NULL.
     """
     keys = list(keys)
     width = max(1, int(max_age_sec * 1e6))
-    payload = [c for c in eph.columns if c not in keys and c != position]
-    newest = (
-        F.max_by(F.struct(*payload), F.col(position)) if position in eph.columns else F.first(F.struct(*payload))
-    )
+    payload = F.struct(*[c for c in eph.columns if c not in keys and c != position])
+    newest = F.max_by(payload, F.struct(position, payload)) if position in eph.columns else F.max(payload)
     records = eph.withColumn("_us", micros(eph_time)).groupBy(*keys, "_us").agg(newest.alias("rec"))
-    slot = F.floor(F.col("_us") / width)
-    served = records.select(
-        *keys, F.explode(F.array(slot, slot + 1)).alias("_slot"),
-        F.struct(F.col("_us").alias("us"), F.col("rec")).alias("r"),
-    )
-    fullest = served.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (fullest or 0) > array_limit:
-        joined = _latest_in_fine_slots(obs, records, keys, width, obs_time)
-    else:
-        per_slot = served.groupBy(*keys, "_slot").agg(F.sort_array(F.collect_list("r")).alias("_recs"))
-        rows = obs.withColumn("_slot", F.floor(micros(obs_time) / width))
-        joined = rows.join(per_slot, [*keys, "_slot"], "left")
-        before = F.filter("_recs", lambda r: r["us"] <= micros(obs_time))
-        joined = joined.withColumn("_hit", let(before, lambda v: F.get(v, F.size(v) - 1))).drop("_slot", "_recs")
+    joined = _latest_in_fine_slots(obs, records, keys, width, obs_time)
     fresh = micros(obs_time) - F.col("_hit.us") <= width
     return joined.withColumn(out, F.when(fresh, F.col("_hit.rec"))).drop("_hit")
 

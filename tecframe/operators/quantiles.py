@@ -1,11 +1,10 @@
 """Exact grouped quantiles that stay exact when one group holds most of the rows.
 
-Spark's own ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. That is the best plan for ordinary groups and it fails for
-a group with a large share of a big table. Such groups are counted first and
-take another way: values are narrowed down in rounds of histogram bins, each a
-partial aggregation keyed by (group, bin), until the few values around the
-wanted rank are left.
+Equal values of a group collapse to one row with a count, combined map-side.
+Rows are then ranked in bins of magnitude: a running count inside each
+(group, bin), plus the counts of the group's lower bins. No aggregation buffer
+and no sort holds a whole group, and every group takes the same way. NaN counts
+as NULL; infinities have bins of their own.
 """
 
 from __future__ import annotations
@@ -14,9 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A group above this many rows leaves the single-buffer path.
-HOT_ROWS = 2_000_000
-_BINS = 4096
+# bins of one octave: values of a bin differ by one part in some six thousand at most
+_PER_OCTAVE = 4096
+_INFINITE = 1 << 40
 
 
 def grouped_quantiles(
@@ -25,39 +24,29 @@ def grouped_quantiles(
     wanted: dict[str, tuple[str, float]],
     *,
     extra: Sequence[Column] = (),
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """One row per group: ``wanted`` maps output name to (column, probability).
 
-    ``extra`` holds further aggregates that Spark combines map-side. NULLs are
-    skipped; a group of only NULLs gives NULL. ``hot_rows=None`` states that
-    the caller's keys bound the group size, so that no count is needed.
+    ``extra`` holds further aggregates that Spark combines map-side. NULL and
+    NaN are skipped; a group without values gives NULL. ``bounded`` states that
+    the caller's keys bound the group, so that Spark's own ``percentile``, which
+    buffers a group's distinct values, may compute the same.
     """
     keys = list(keys)
-    plain = [F.percentile(F.col(c), F.lit(p)).alias(out) for out, (c, p) in wanted.items()]
-    if hot_rows is None:
+    if bounded:
+        plain = [F.percentile(_value(c), F.lit(p)).alias(out) for out, (c, p) in wanted.items()]
         return df.groupBy(*keys).agg(*plain, *extra)
-
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-        .select(*keys)
-    )
-    if hot.isEmpty():
-        return df.groupBy(*keys).agg(*plain, *extra)
-
-    flagged = hot.select(*[F.col(k).alias("_h_" + k) for k in keys])
-    same = [F.col(k).eqNullSafe(F.col("_h_" + k)) for k in keys]
-    cold_rows = df.join(flagged, same, "left_anti")
-    hot_part = df.join(flagged, same, "left_semi")
-    cold = cold_rows.groupBy(*keys).agg(*plain, *extra)
-    base = hot_part.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
+    count = F.count(F.lit(1)).alias("_n")
+    base = df.groupBy(*keys).agg(count, *extra)
+    others = [c for c in base.columns if c not in keys and c != "_n"]
     for out, (column, p) in wanted.items():
-        one = quantile_by_bins(hot_part, keys, column, p, out)
+        one = quantile_by_rank(df, keys, column, p, out)
         right = one.select(out, *[F.col(k).alias("_r_" + k) for k in keys])
         base = base.join(
             right, [F.col(k).eqNullSafe(F.col("_r_" + k)) for k in keys], "left"
         ).drop(*["_r_" + k for k in keys])
-    return cold.unionByName(base.select(*cold.columns))
+    return base.select(*keys, *wanted, *others)
 
 
 def grouped_median(
@@ -67,78 +56,47 @@ def grouped_median(
     return grouped_quantiles(df, keys, {o: (c, 0.5) for o, c in columns.items()}, **options)
 
 
-def quantile_by_bins(
+def _value(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value + F.lit(0.0))  # one zero
+
+
+def quantile_by_rank(
     df: DataFrame, keys: Sequence[str], column: str, p: float, out: str
 ) -> DataFrame:
-    """Exact linear-interpolated quantile by repeated histograms."""
+    """Exact linear-interpolated quantile; groups without values are left out."""
     keys = list(keys)
-    # equal values collapse first, so a repeated value costs one row
     values = (
-        df.select(*keys, F.col(column).cast("double").alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    size = Window.partitionBy(*keys)
-    # round 1: sign and magnitude, 64 bins per octave; monotone in the value
-    magnitude = F.floor(F.log2(F.abs("_v")) * 64.0) + 100_000
-    first_bin = F.when(F.col("_v") == 0, F.lit(0)).when(F.col("_v") > 0, magnitude).otherwise(-magnitude)
-    state = values.withColumn("_b0", first_bin.cast("long"))
-    levels = ["_b0"]
-    hist = state.groupBy(*keys, "_b0").agg(
-        F.sum("_c").alias("_s"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    # the number of bins per group is fixed by the number format, not by the rows
-    hist = hist.withColumn("_total", F.sum("_s").over(size)).withColumn(
-        "_before", F.sum("_s").over(size.orderBy("_b0")) - F.col("_s")
+        df.select(*keys, _value(column).alias("_v")).filter(F.col("_v").isNotNull())
+        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     )
-    target = _around_rank(hist, p)
-
-    # round 2: equal parts of the chosen bins
-    state = _join_bins(state, target, keys + levels)
-    width = F.col("_hi") - F.col("_lo")
-    part = F.when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width * _BINS)).otherwise(0)
-    state = state.withColumn("_b1", part.cast("long"))
-    inner = Window.partitionBy(*keys, *levels)
-    fine = state.groupBy(*keys, *levels, "_b1", "_total", "_before").agg(F.sum("_c").alias("_s"))
-    fine = fine.withColumn(
-        "_before", F.col("_before") + F.sum("_s").over(inner.orderBy("_b1")) - F.col("_s")
+    size = F.abs("_v")
+    magnitude = F.when(size == float("inf"), F.lit(_INFINITE)).otherwise(
+        F.floor(F.log2(size) * float(_PER_OCTAVE)) + 2000 * _PER_OCTAVE
     )
-    target = _around_rank(fine, p)
-    levels = levels + ["_b1"]
-
-    state = _join_bins(state.drop("_lo", "_hi", "_total", "_before"), target, keys + levels)
-    ranked = state.withColumn(
-        "_end",
-        F.col("_before")
-        + F.sum("_c").over(Window.partitionBy(*keys, *levels).orderBy("_v")),
-    ).withColumn("_begin", F.col("_end") - F.col("_c"))
-    lower, upper, share = _ranks(p)
-    holds = lambda r: (F.col("_begin") <= r) & (r < F.col("_end"))
-    return ranked.groupBy(*keys).agg(
-        (
-            F.max(F.when(holds(lower), F.col("_v"))) * (1.0 - F.max(share))
-            + F.max(F.when(holds(upper), F.col("_v"))) * F.max(share)
-        ).alias(out)
+    # monotone in the value
+    bin_ = F.when(F.col("_v") == 0, F.lit(0)).when(F.col("_v") > 0, magnitude).otherwise(-magnitude)
+    state = values.withColumn("_bin", bin_.cast("long"))
+    inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
+    state = state.withColumn("_end", F.sum("_c").over(inside))
+    # the number of bins follows the spread of a group's values, not its rows
+    group = Window.partitionBy(*keys)
+    bins = state.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_s"))
+    bins = bins.withColumn("_total", F.sum("_s").over(group)).withColumn(
+        "_before", F.sum("_s").over(group.orderBy("_bin")) - F.col("_s")
     )
-
-
-def _ranks(p: float) -> tuple[Column, Column, Column]:
     position = (F.col("_total") - 1) * F.lit(float(p))
-    lower = F.floor(position)
-    return lower, F.ceil(position), position - lower
-
-
-def _around_rank(hist: DataFrame, p: float) -> DataFrame:
-    lower, upper, _ = _ranks(p)
-    end = F.col("_before") + F.col("_s")
-    hit = ((F.col("_before") <= lower) & (lower < end)) | ((F.col("_before") <= upper) & (upper < end))
-    return hist.filter(hit).drop("_s")
-
-
-def _join_bins(state: DataFrame, target: DataFrame, on: list[str]) -> DataFrame:
-    right = target.select(
-        *[F.col(k).alias("_t" + k) for k in on], *[c for c in target.columns if c not in on]
+    bins = bins.withColumn("_lower", F.floor(position)).withColumn("_upper", F.ceil(position)).withColumn("_at", position)
+    last = F.col("_before") + F.col("_s")
+    holds = lambda r, begin, end: (begin <= r) & (r < end)
+    bins = bins.filter(holds(F.col("_lower"), F.col("_before"), last) | holds(F.col("_upper"), F.col("_before"), last))
+    right = bins.select(*[F.col(k).alias("_t" + k) for k in [*keys, "_bin"]], "_before", "_lower", "_upper", "_at")
+    ranked = state.join(right, [F.col(k).eqNullSafe(F.col("_t" + k)) for k in [*keys, "_bin"]])
+    end = F.col("_before") + F.col("_end")
+    found = ranked.groupBy(*keys).agg(
+        F.max(F.when(holds(F.col("_lower"), end - F.col("_c"), end), F.col("_v"))).alias("_low"),
+        F.max(F.when(holds(F.col("_upper"), end - F.col("_c"), end), F.col("_v"))).alias("_high"),
+        F.max("_lower").alias("_lower"), F.max("_upper").alias("_upper"), F.max("_at").alias("_at"),
     )
-    cond = [F.col(k).eqNullSafe(F.col("_t" + k)) for k in on]
-    return state.join(right, cond).drop(*["_t" + k for k in on])
+    between = (F.col("_upper") - F.col("_at")) * F.col("_low") + (F.col("_at") - F.col("_lower")) * F.col("_high")
+    return found.select(*keys, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(between).alias(out))

@@ -59,7 +59,7 @@ def median_spacing(lines: DataFrame, *, by: str = "entry_id", lat: str = "lat",
         (F.col("_gap") > 0) & (F.col("_gap") < float("inf"))
     )
     # bounded: two gaps per pixel of one swath
-    med = grouped_median(gaps, [by], {"spacing": "_gap"}, hot_rows=None)
+    med = grouped_median(gaps, [by], {"spacing": "_gap"}, bounded=True)
     return lines.select(by).distinct().join(med, by, "left").withColumn(
         "spacing", F.coalesce("spacing", F.lit(float("inf")))
     )

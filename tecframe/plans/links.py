@@ -38,16 +38,16 @@ K = list(fixed.TRACK_KEYS)
 STATION_DAY = ["event_id", "station_id", "observation_date"]
 
 
-def observation_pairs(obs: DataFrame) -> DataFrame:
-    """Preferred phase and code pair of every station-day, from the codes it has."""
+def observation_pairs(obs: DataFrame, keys: Sequence[str] = ("station_id", "observation_date")) -> DataFrame:
+    """Preferred phase and code pair of every station-day, from the codes that the given rows have."""
     known = dict.fromkeys(fixed.PHASE_FIRST + fixed.PHASE_SECOND + fixed.CODE_FIRST + fixed.CODE_SECOND)
     codes = [c for c in obs.columns if c in known]
-    have = obs.groupBy("station_id", "observation_date").agg(
+    have = obs.groupBy(*keys).agg(
         *[F.bool_or(F.col(c).isNotNull()).alias(c) for c in codes]
     )
     listed = F.array_compact(F.array(*[F.when(F.col(c), F.lit(c)) for c in codes]))
     return have.select(
-        "station_id", "observation_date", F.lit(True).alias("seen"),
+        *keys, F.lit(True).alias("seen"),
         pick_pair(listed, fixed.PHASE_FIRST, fixed.PHASE_SECOND).alias("phase"),
         pick_pair(listed, fixed.CODE_FIRST, fixed.CODE_SECOND).alias("code"),
     )
@@ -77,7 +77,11 @@ def build_links(
         "header_x", "header_y", "header_z"
     )
     # everything known about a station-day in one table, so that the observations meet one join
-    days = placed.join(observation_pairs(obs), ["station_id", "observation_date"], "left")
+    slices = placed.select(*STATION_DAY, "slice_start", "slice_end")
+    own = predicates.only_system(obs, params.system).join(slices, ["station_id", "observation_date"])
+    own = own.filter(F.col("time").between(F.col("slice_start"), F.col("slice_end")))
+    # codes of other systems or other times don't choose the pair
+    days = placed.join(observation_pairs(own, STATION_DAY), STATION_DAY, "left")
     usable_days = days.filter(F.col("position_reason").isNull() & F.col("phase").isNotNull())
     rows = predicates.only_system(obs, params.system).withColumn("sv", F.upper("sv"))
     rows = rows.join(usable_days.drop("position_reason", "seen"), ["station_id", "observation_date"]).filter(
@@ -188,12 +192,12 @@ class GridTables(NamedTuple):
 def build_grid(
     links: DataFrame, events: DataFrame, *, bbox: dict[str, float] = fixed.BBOX,
     step: float = fixed.GRID_STEP_DEG, cadence_min: int = fixed.GRID_CADENCE_MIN,
-    dense: bool = True, hot_rows: int | None = aggregates.HOT_ROWS,
+    dense: bool = True,
 ) -> GridTables:
     """Median grid, its dense hourly cube and the catalog of the hourly products."""
     grid = aggregates.grid_links(
         links, bbox=bbox, lat_step=step, lon_step=step, cadence_min=cadence_min,
-        by=["event_id"], hot_rows=hot_rows,
+        by=["event_id"],
     )
     body = (
         aggregates.densify(grid, events, bbox=bbox, lat_step=step, lon_step=step,

@@ -333,7 +333,7 @@ grid AS (SELECT event_id, date_trunc('day', time) AS time, round_even(ipp_lat /
 b AS (SELECT event_id, date_trunc('day', min(time)) AS a, date_trunc('day', max(time)) + INTERVAL 2 DAY AS z FROM vl GROUP BY 1),
 frame AS (SELECT event_id, unnest(generate_series(a, z, INTERVAL 1 DAY)) AS time FROM b),
 nodes AS (SELECT event_id, time, CAST(i * 10 AS DOUBLE) AS lat, CAST(j * 20 AS DOUBLE) AS lon FROM frame, range(0, 11) x(i), range(0, 6) y(j))
-SELECT n.event_id, n.time, n.lat, n.lon, CAST(g.vtec AS FLOAT) AS vtec, CAST(g.roti AS FLOAT) AS roti, CAST(coalesce(g.n, 0) AS SMALLINT) AS sample_count
+SELECT n.event_id, n.time, n.lat, n.lon, CAST(g.vtec AS FLOAT) AS vtec, CAST(g.roti AS FLOAT) AS roti, CAST(coalesce(g.n, 0) AS BIGINT) AS sample_count
 FROM nodes n LEFT JOIN grid g ON n.event_id = g.event_id AND n.time = g.time AND n.lat = g.lat AND n.lon = g.lon
 """)
 def a19(t: Tables) -> DataFrame:

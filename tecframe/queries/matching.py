@@ -337,7 +337,7 @@ def p02(t: Tables) -> DataFrame:
 
 OVERLAY = """
 s AS (SELECT vec_id AS id, TIMESTAMP '2024-01-01' + to_minutes(vec_id * 47) AS time, embedding FROM embeddings),
-g AS (SELECT max(event_id) AS id, date_trunc('hour', ts) + to_minutes(CAST(max(event_id) % 60 AS INTEGER)) AS time FROM events WHERE event_type = 'purchase' GROUP BY date_trunc('hour', ts)),
+g AS (SELECT event_id AS id, ts AS time FROM events WHERE event_type = 'purchase'),
 s1 AS (SELECT *, strftime(time, '%Y-%m') AS event FROM s), g1 AS (SELECT *, strftime(time, '%Y-%m') AS event FROM g),
 cells AS (SELECT id, CAST((i - 1) // 8 * 0.2::DOUBLE - 0.8::DOUBLE AS DOUBLE) AS lat, CAST((i - 1) % 8 * 0.2::DOUBLE - 60.0::DOUBLE AS DOUBLE) AS lon, CAST(embedding[i] AS DOUBLE) AS v FROM s, range(1, 65) r(i)),
 bins AS (SELECT DISTINCT id, floor((lon + 150.0::DOUBLE) / 0.5::DOUBLE) AS xi, floor((lat + 80.0::DOUBLE) / 0.5::DOUBLE) AS yi FROM cells WHERE v > 0.15::DOUBLE)"""
@@ -352,10 +352,7 @@ def overlay_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.transform(eight, lambda i: i * 0.2 - 0.8).alias("lat"), F.transform(eight, lambda i: i * 0.2 - 60.0).alias("lon"),
         F.transform(eight, lambda r: F.slice(v, r * 8 + 1, 8)).alias("values"),
     )
-    hour = F.date_trunc("hour", "ts")
-    scenes = t.events.filter("event_type = 'purchase'").groupBy(hour.alias("h")).agg(F.max("event_id").alias("scene_id")).select(
-        "scene_id", F.timestamp_micros(F.unix_micros("h") + F.col("scene_id") % 60 * 60_000_000).alias("midpoint")
-    )
+    scenes = t.events.filter("event_type = 'purchase'").select(F.col("event_id").alias("scene_id"), F.col("ts").alias("midpoint"))
     month = lambda c: F.date_format(c, "yyyy-MM")
     return slices.withColumn("event", month("time")), scenes.withColumn("event", month("midpoint"))
 

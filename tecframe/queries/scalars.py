@@ -274,7 +274,7 @@ SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '' WHEN page_id % 3 = 1 THEN '' E
 def t05(t: Tables) -> DataFrame:
     from tecframe.sources.catalogs import sanitise_paths
 
-    tail = F.substring("url", 8, 2000)
+    tail = F.expr("substring(url, 8)")
     path = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("/"), tail)).when(F.col("page_id") % 3 == 2, F.concat(F.lit("cache"), tail))
     return sanitise_paths(t.pages.select("page_id", path.alias("obs_path"), "url"))
 

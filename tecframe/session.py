@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,9 @@ SESSION_CONF = {
 }
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def build_session(
     master: str | None = None, app: str = "tecframe", extra: dict[str, str] | None = None
 ) -> SparkSession:
@@ -37,13 +41,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder of the cluster.
 
-    The folder named in ``spark.checkpoint.dir`` is used when it is set. Only
-    where it is unset (a local test session) does a temporary folder stand in.
+    The folder is the one named in ``spark.checkpoint.dir``. Where that is
+    unset, a session on this machine alone takes a temporary folder; on a
+    cluster, whose machines don't see each other's folders, it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tecframe-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _LOCAL_ROOTS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tecframe-")
+        _LOCAL_ROOTS[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

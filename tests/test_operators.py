@@ -220,8 +220,7 @@ def test_asof_age_limit_and_day_border(spark):
     assert got == {0: None, 1: "first", 2: "new", 3: "new", 4: "new", 5: None, 9: None}
 
 
-@pytest.mark.parametrize("array_limit", [10_000, 0])
-def test_asof_against_pandas(spark, array_limit):
+def test_asof_against_pandas(spark):
     """Sparse records travel in arrays; with a limit of 0 all go through fine slots."""
     rng = random.Random(4)
     eph = pd.DataFrame({"sv": [rng.choice("ab") for _ in range(80)], "us": [rng.randint(0, 10_000) for _ in range(80)]})
@@ -230,7 +229,7 @@ def test_asof_against_pandas(spark, array_limit):
     obs["i"] = range(len(obs))
     left = spark.createDataFrame(obs).withColumn("time", F.timestamp_seconds("us"))
     right = spark.createDataFrame(eph).withColumn("time", F.timestamp_seconds("us"))
-    got = {r.i: r.eph.us if r.eph else None for r in joins.asof_latest(left, right, ["sv"], 150.0, array_limit=array_limit).collect()}
+    got = {r.i: r.eph.us if r.eph else None for r in joins.asof_latest(left, right, ["sv"], 150.0).collect()}
     want = pd.merge_asof(obs.sort_values("us"), eph.rename(columns={"us": "hit"}).assign(us=lambda d: d.hit).sort_values("us"), on="us", by="sv", tolerance=150)
     assert got == {int(r.i): (None if pd.isna(r.hit) else int(r.hit)) for r in want.itertuples()}
 
@@ -392,3 +391,12 @@ def test_operators_take_empty_input(spark):
     assert sequences.roti(sequences.rot(sequences.gap_arcs(links, keys, 90.0), keys), keys, 10).count() == 0
     assert aggregates.grid_links(links).count() == 0
     assert aggregates.coverage(links.withColumn("arc_id", F.lit(0)), ["station_id", "sv"]).count() == 0
+
+
+def test_asof_ties_have_a_total_order(spark):
+    left = spark.createDataFrame([("a", 100.0)], "sv string, s double").withColumn("time", F.timestamp_seconds("s"))
+    for rows in ([(1, "x"), (2, "y")], [(2, "y"), (1, "x")]):
+        right = spark.createDataFrame([("a", 90.0, n, v) for n, v in rows], "sv string, s double, n int, v string").withColumn("time", F.timestamp_seconds("s"))
+        assert joins.asof_latest(left, right.drop("s"), ["sv"], 60.0).first().eph.v == "y"
+        placed = right.withColumn("ingest_pos", 3 - F.col("n")).drop("s")
+        assert joins.asof_latest(left, placed, ["sv"], 60.0).first().eph.v == "x"

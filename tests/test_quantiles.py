@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tecframe.operators.quantiles import grouped_quantiles, quantile_by_bins
+from tecframe.operators.quantiles import grouped_quantiles, quantile_by_rank
 
 
 def sample(seed: int):
@@ -22,10 +22,10 @@ def sample(seed: int):
 
 
 @pytest.mark.parametrize("p", [0.0, 0.05, 0.5, 0.77, 1.0])
-def test_bins_match_numpy(spark, p):
+def test_ranks_match_numpy(spark, p):
     rows = sample(3) + sample(4)
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r["g"]: r["q"] for r in quantile_by_bins(df, ["g"], "v", p, "q").collect()}
+    got = {r["g"]: r["q"] for r in quantile_by_rank(df, ["g"], "v", p, "q").collect()}
     frame = pd.DataFrame(rows, columns=["g", "v"]).dropna(subset=["v"])
     want = {(None if pd.isna(k) else int(k)): np.percentile(v["v"], p * 100) for k, v in frame.groupby("g", dropna=False)}
     assert got.keys() == want.keys()
@@ -33,17 +33,26 @@ def test_bins_match_numpy(spark, p):
         assert got[k] == pytest.approx(w, rel=1e-12, abs=1e-12)
 
 
-def test_hot_groups_take_the_other_way_and_agree(spark):
+def test_both_ways_agree_for_one_huge_group_nan_and_infinities(spark):
     rng = random.Random(9)
+    inf, nan = float("inf"), float("nan")
     rows = [("hot", rng.gauss(50, 20), rng.random()) for _ in range(5000)]
     rows += [(f"g{i % 40}", rng.random(), None) for i in range(800)] + [(None, 2.5, 1.0)] * 3
+    rows += [("nan", v, v) for v in (1.0, 2.0, 3.0, nan, 5.0, 6.0, 7.0)] + [("inf", v, v) for v in (-inf, -0.0, 0.0, 4.0, inf, inf)] + [("none", nan, None)]
+    rows += [("bunched", 1e6 + i * 1e-9, -1e6 - i * 1e-9) for i in range(500)] + [("bunched", 1e300, -1e300)]
     df = spark.createDataFrame(rows, "g string, a double, b double").repartition(5)
     wanted = {"ma": ("a", 0.5), "qb": ("b", 0.05)}
     extra = [F.count("a").alias("n")]
-    plain = grouped_quantiles(df, ["g"], wanted, extra=extra, hot_rows=None).collect()
-    split = grouped_quantiles(df, ["g"], wanted, extra=extra, hot_rows=100).collect()
-    as_map = lambda rs: {r["g"]: (r["ma"], r["qb"], r["n"]) for r in rs}
-    a, b = as_map(plain), as_map(split)
-    assert a.keys() == b.keys()
-    for k in a:
-        assert b[k] == pytest.approx(a[k]) if None not in a[k] else b[k] == a[k]
+    plain = {r["g"]: tuple(r)[1:] for r in grouped_quantiles(df, ["g"], wanted, extra=extra, bounded=True).collect()}
+    ranked = {r["g"]: tuple(r)[1:] for r in grouped_quantiles(df, ["g"], wanted, extra=extra).collect()}
+    assert plain == ranked
+    assert ranked["nan"][0] == 4.0 and ranked["inf"][0] == 2.0 and ranked["none"][:2] == (None, None)
+    assert ranked["bunched"][0] == np.percentile([a for g, a, _ in rows if g == "bunched"], 50)
+
+
+def test_no_job_runs_while_planning(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS v")
+    spark.sparkContext.setJobGroup("planning", "planning")
+    grouped_quantiles(df, ["g"], {"m": ("v", 0.5)})
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("tests", "tests")

@@ -6,11 +6,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tecframe.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLES = queries(), oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
 
 
