@@ -71,6 +71,26 @@ def test_jaccard_join_equals_all_pairs(odd, none):
     assert jaccard_components(none).collect() == []
 
 
+def test_jaccard_join_of_a_large_group_in_rounds(spark, monkeypatch):
+    """Many variants of one text, some on either side of the limit, in small blocks and with one proposal per round."""
+    from tecframe.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "BLOCK", 40)
+    monkeypatch.setattr(jaccard_join, "PARTNERS", 1)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(150):
+        text = [f"w{k}" for k in range(120)]
+        for k in rng.integers(0, 120, rng.integers(1, 6)).tolist():
+            text[k] = f"x{rng.integers(0, 10**6)}"
+        rows.append((1000 - i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, comp = similar(docs.collect())
+    assert len(set(comp.values())) > 1
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs).collect())
+    assert got == sorted((i, len(s), comp[i]) for i, s in sets)
+
+
 def test_jaccard_bands_share_a_part():
     """Sets of all sizes and just enough overlap share a signature."""
     from tecframe.llm.jaccard_join import band, parts_of, signatures
