@@ -25,7 +25,8 @@ from tecframe.llm.graphs import settle
 from tecframe.llm.tokens import RAW, Texts, pieces, prefix_sums, span_hash
 
 LENGTH = 2048
-SALTS = 64
+SALTS = 64  # parts at least that the pieces of one length are ranked in
+RANKED = 500_000  # pieces of one part, at most on average, if all have one length
 WORDS_KEPT = 2_000_000  # words whose ids a worker remembers
 TOGETHER = 50  # new words that are encoded in one call
 
@@ -262,7 +263,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = docs.mapInArrow(_pieces_of(tokenizer, length), "doc_id long, piece int, start long, length long, ids_crc32 long")
-    cut = settle(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS))), "pieces")
+    cut = settle(cut, "pieces")
+    salts = max(SALTS, cut.count() // RANKED)
+    cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     sizes = cut.groupBy("length", "salt").count()
     count = np.zeros(length + 1, np.int64)
     for r in sizes.groupBy("length").agg(F.sum("count").alias("n")).collect():  # a row per length
