@@ -9,7 +9,10 @@ all others; while it misses links, lists grow and the descent goes on.
 
 Edges at the threshold give components. A list whose last neighbour is still at
 the threshold is saturated: it is enlarged to all links of its component,
-counted block against block.
+counted block against block. A link between two saturated vectors may be in
+neither list, so saturated vectors of different components are compared as well:
+blocks of them, except where centres and radii exclude a link. What links there
+merges components.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ DONE = 0.01  # share of changed entries below which a descent ends
 SAMPLE, RECALL = 64, 0.98  # vectors of the audit, and the share of their links that has to be found
 BLOCK = 1024
 CHUNK = 512  # centres that one local join task group holds
+SLACK = 1e-6  # radians that rounding may add to an angle
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,6 +161,59 @@ def _links_of_block(table: pa.Table) -> pa.Table:
     return pa.table({"id": ids[rows][keep], "links": links[keep].astype(np.int64)})
 
 
+def _ball(table: pa.Table) -> pa.Table:
+    """Centre of a block of vectors, and the largest angle to it."""
+    x = _matrix(table["unit"])
+    mean = x.mean(axis=0)
+    norm = np.linalg.norm(mean)
+    centre = mean / norm if norm > 1e-9 else x[0]
+    radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+    return pa.table({"component": table["component"][:1], "spot": table["spot"][:1], "split": table["split"][:1], "centre": pa.array([centre.tobytes()], pa.binary()), "radius": [radius]})
+
+
+def _reachable(table: pa.Table) -> pa.Table:
+    """Pairs of blocks of different components that a link can join, by the angle between their centres."""
+    part, i, j = table["part"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
+    ids, component, radius = (table[c].to_numpy() for c in ("block", "component", "radius"))
+    x = _matrix(table["centre"])
+    a, b = np.flatnonzero(part == i), np.flatnonzero(part == j)
+    angle = np.arccos(np.clip(x[a] @ x[b].T, -1, 1))
+    able = (angle <= radius[a][:, None] + radius[b][None, :] + np.arccos(THRESHOLD) + SLACK) & (component[a][:, None] != component[b][None, :])
+    p, q = np.nonzero(able & (ids[a][:, None] < ids[b][None, :]) if i == j else able)
+    return pa.table({"p": ids[a][p], "q": ids[b][q]})
+
+
+def _links_between(table: pa.Table) -> pa.Table:
+    """Links between two blocks of different components, counted for the vectors of both."""
+    block, p = table["block"].to_numpy(), table["p"][0].as_py()
+    ids, times, component = (table[c].to_numpy() for c in ("id", "copies", "component"))
+    x = _matrix(table["unit"])
+    a, b = np.flatnonzero(block == p), np.flatnonzero(block != p)
+    near = x[a] @ x[b].T >= THRESHOLD
+    rows, links = np.concatenate([a, b]), np.concatenate([near @ times[b], near.T @ times[a]]).astype(np.int64)
+    other = np.concatenate([np.repeat(component[b[:1]], len(a)), np.repeat(component[a[:1]], len(b))])
+    keep = links > 0
+    return pa.table({"id": ids[rows][keep], "links": links[keep], "a": component[rows][keep], "b": other[keep]})
+
+
+def _across(full: DataFrame, codes: DataFrame) -> DataFrame:
+    """id, links, a, b: links of saturated vectors (id, unit, copies, component) with saturated ones of other components, and what those join."""
+    sizes = full.groupBy("component").agg((F.count("*") > BLOCK).alias("large"))
+    spots = full.join(sizes, "component").join(codes, "id").withColumn("spot", F.when(F.col("large"), F.col("leaf")).otherwise(F.lit(-1)).cast("long"))
+    splits = spots.groupBy("component", "spot").agg(F.ceil(F.count("*") / BLOCK).alias("splits"))
+    dealt = spots.join(splits, ["component", "spot"]).withColumn("split", F.pmod(F.xxhash64("id"), F.col("splits")))
+    dealt = settle(dealt.select("id", "unit", "copies", "component", "spot", "split"), "saturated")
+    balls = dealt.groupBy("component", "spot", "split").applyInArrow(lambda t: _ball(t), "component long, spot long, split long, centre binary, radius double")
+    balls = settle(balls.withColumn("block", F.monotonically_increasing_id()), "balls")
+    parts = max(1, -(-balls.count() // BLOCK))
+    halves = balls.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    halves = halves.select("block", "component", "centre", "radius", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    pairs = settle(halves.groupBy("i", "j").applyInArrow(lambda t: _reachable(t), "p long, q long"), "pairs")
+    sides = pairs.withColumn("block", F.explode(F.array("p", "q")))
+    members = dealt.join(balls.select("component", "spot", "split", "block"), ["component", "spot", "split"]).select("block", "id", "unit", "copies", "component")
+    return sides.join(members, "block").groupBy("p", "q").applyInArrow(lambda t: _links_between(t), "id long, links long, a long, b long")
+
+
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors (vec_id, embedding).
 
@@ -215,4 +272,10 @@ def _of_one_length(nodes: DataFrame, dims: int) -> DataFrame:
     dealt = dealt.select("component", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "id", "copies", "full", "unit")
     exact = dealt.groupBy("component", "i", "j").applyInArrow(lambda t: _links_of_block(t), "id long, links long").groupBy("id").agg(F.sum("links").alias("exact"))
     joined = counted.join(exact, "id", "full").select("id", F.coalesce("exact", "links").alias("links"))
-    return joined.join(comp.withColumnRenamed("node", "id"), "id", "left").select("id", "links", "component")
+    # saturated lists: links with saturated vectors of other components
+    saturated = inside.where(F.col("full") == 1).select("id", "unit", "copies", "component")
+    across = settle(_across(saturated, leaves.where(F.col("leaf") < 1 << 40)), "across")
+    merged = components(across.select("a", "b").distinct()).select(F.col("node").alias("component"), F.col("component").alias("least"))
+    more = across.groupBy("id").agg(F.sum("links").alias("more"))
+    placed = joined.join(comp.withColumnRenamed("node", "id"), "id", "left").join(merged, "component", "left").join(more, "id", "left")
+    return placed.select("id", (F.col("links") + F.coalesce("more", F.lit(0))).alias("links"), F.coalesce("least", "component").alias("component"))

@@ -268,6 +268,26 @@ def test_neighbours_equal_brute_force(spark):
     assert near_duplicates(v.limit(0)).collect() == []
 
 
+def test_clumps_of_saturated_vectors_are_joined(spark):
+    from tecframe.llm.neighbours import near_duplicates
+
+    rng = np.random.default_rng(11)
+    first = rng.normal(size=32)
+    second = rng.normal(size=32)
+    second -= second @ first / (first @ first) * first
+    first, second = first / np.linalg.norm(first), second / np.linalg.norm(second)
+    angle = np.arccos(0.935)
+    x = [c + rng.normal(0, 0.01, 32) for c in (first, np.cos(angle) * first + np.sin(angle) * second) for _ in range(600)]
+    x += [rng.normal(size=32) for _ in range(200)]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    m = np.stack([v / np.linalg.norm(v) for v in x])
+    want = (m @ m.T >= 0.9).sum(axis=1) - 1
+    assert want[0] > 1000 and want[1199] > 1000
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert {got[i][1] for i in range(1200)} == {0} and sum(got[i][2] for i in range(1200)) == 1
+    assert [got[i][0] for i in range(1400)] == want.tolist()
+
+
 def test_language_filters_on_held_out_rows(spark, odd, none):
     from tecframe.llm.language_id import identify
 
