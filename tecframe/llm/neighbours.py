@@ -4,8 +4,11 @@ Equal vectors count once. A neighbour graph starts from the leaves of a few
 trees of random hyperplanes (large leaves are split at random) and is refined
 by local joins: the neighbours of a vector, in either direction, are compared
 with each other and enter each other's lists where they are closer than the
-last one there. After each descent a bounded sample of vectors is compared with
-all others; while it misses links, lists grow and the descent goes on.
+last one there. The result is audited: slices of the vectors are compared with
+all others until LINKED vectors with a link have been seen, or all vectors. While
+too many of their links or components are wrong, trees are added, lists grow and
+the descent goes on; where that doesn't help, or the audit has seen all vectors
+anyway, lists come from a comparison of all with all.
 
 Edges at the threshold give components. A list whose last neighbour is still at
 the threshold is saturated: it is enlarged to all links of its component,
@@ -24,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tecframe.llm.graphs import components, settle
+from tecframe.session import scratch_dir
 
 THRESHOLD = 0.9
 LIST, REVERSE = 12, 8  # neighbours kept, and as many from the other direction in a local join
-TREES, LEAF = 4, 256
-ROUNDS, AUDITS = 5, 3
+TREES, LEAF = (4, 8, 16), 256  # trees that each attempt adds
+ROUNDS = 5
 DONE = 0.01  # share of changed entries below which a descent ends
-SAMPLE, RECALL = 64, 0.98  # vectors of the audit, and the share of their links that has to be found
+LINKED, RECALL = 200, 0.98  # vectors with links that the audit has to see, and the share of their links that has to be found
+SLICE, TOGETHER = 1024, 4  # vectors of a slice, about, and slices compared with all in one pass
 BLOCK = 1024
 CHUNK = 512  # centres that one local join task group holds
 SLACK = 1e-6  # radians that rounding may add to an angle
@@ -51,14 +56,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(x, np.float64) for x in column.to_pylist()])
 
 
-def _leaves(dims: int, bits: int):
+def _leaves(dims: int, bits: int, trees: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(3).normal(size=(dims, TREES * bits))
+        planes = np.random.default_rng(seed).normal(size=(dims, trees * bits))
         for b in batches:
             if b.num_rows:
-                side = (_matrix(b.column("unit")) @ planes > 0).reshape(-1, TREES, bits)
-                code = (side << np.arange(bits)).sum(axis=2) + (np.arange(TREES) << 40)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("id").to_numpy(), TREES)), pa.array(code.ravel())], ["id", "leaf"])
+                side = (_matrix(b.column("unit")) @ planes > 0).reshape(-1, trees, bits)
+                code = (side << np.arange(bits)).sum(axis=2) + (np.arange(trees) << 40)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("id").to_numpy(), trees)), pa.array(code.ravel())], ["id", "leaf"])
 
     return run
 
@@ -120,25 +125,75 @@ def _descend(lists: DataFrame, nodes: DataFrame, k: int, chunks: int) -> DataFra
     return lists
 
 
-def _audit(lists: DataFrame, nodes: DataFrame, k: int) -> float:
-    """Share of the links of a bounded sample, found by comparing it with all vectors, that its lists hold (k at most count)."""
-    sample = nodes.orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
-    if not sample:
-        return 1.0
-    q = np.stack([np.frombuffer(bytes(r.unit), np.float64) for r in sample])
-    ids = np.array([r.id for r in sample])
+def _slices(nodes: DataFrame, slices: int, first: int, last: int) -> DataFrame:
+    turn = F.pmod(F.xxhash64("id", F.lit("slice")), F.lit(slices))
+    return nodes.where((turn >= first) & (turn < last))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                i, j = np.nonzero(q @ _matrix(b.column("unit")).T >= THRESHOLD)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(b.column("id").to_numpy()[j])], ["u", "v"])
 
-    true = nodes.mapInArrow(run, "u long, v long").where("u <> v")
-    mine = lists.where(F.col("sim") >= THRESHOLD).select("u", "v", F.lit(1).alias("hit"))
-    per = true.join(mine, ["u", "v"], "left").groupBy("u").agg(F.count("*").alias("n"), F.count("hit").alias("hits"))
-    got, want = per.agg(F.sum("hits"), F.sum(F.least("n", F.lit(k)))).first()
-    return 1.0 if not want else min(1.0, got / want)
+def _close(q: np.ndarray, ids: np.ndarray, b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links (place in q, row of b, similarity) of a batch, some of q at a time."""
+    x, other = _matrix(b.column("unit")), b.column("id").to_numpy()
+    for a in range(0, len(q), BLOCK // 2):
+        s = q[a: a + BLOCK // 2] @ x.T
+        i, j = np.nonzero(s >= THRESHOLD)
+        own = ids[a + i] == other[j]
+        i, j = i[~own], j[~own]
+        yield a + i, j, s[i, j]
+
+
+def _audit(result: DataFrame, nodes: DataFrame, slices: int) -> tuple[float, bool]:
+    """Mean share of their links that vectors with links have in (id, links, component), none if a link leaves its component; and whether all vectors were seen.
+
+    Slices are compared with all vectors until LINKED vectors with a link have been seen.
+    """
+    placed = nodes.join(result, "id", "left").select("id", "unit", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
+    placed = settle(placed, "placed")
+    shares, first = [], 0
+    while first < slices and len(shares) < LINKED:
+        last = min(slices, first + min(TOGETHER, first + 1))
+        sample = _slices(placed, slices, first, last).collect()
+        first = last
+        if not sample:
+            continue
+        q = np.stack([np.frombuffer(bytes(r.unit), np.float64) for r in sample])
+        ids, component = np.array([r.id for r in sample]), np.array([r.component for r in sample])
+
+        def run(batches: Iterator[pa.RecordBatch], q=q, ids=ids, component=component) -> Iterator[pa.RecordBatch]:
+            links, leaving = np.zeros(len(ids)), np.zeros(len(ids))
+            for b in batches:
+                if b.num_rows:
+                    times, comp = b.column("copies").to_numpy(), b.column("component").to_numpy()
+                    for i, j, _ in _close(q, ids, b):
+                        links += np.bincount(i, times[j], len(ids))
+                        leaving += np.bincount(i[component[i] != comp[j]], minlength=len(ids))
+            some = links > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(leaving[some].astype(np.int64))], ["id", "n", "leaving"])
+
+        found = {r.id: r.links for r in sample}
+        true = placed.mapInArrow(run, "id long, n long, leaving long").groupBy("id").agg(F.sum("n").alias("n"), F.sum("leaving").alias("leaving"))
+        shares += [0.0 if r.leaving else min(found[r.id], r.n) / max(found[r.id], r.n) for r in true.collect()]  # a row per vector of the slices at most
+    return float(np.mean(shares)) if shares else 1.0, first >= slices
+
+
+def _all_lists(nodes: DataFrame, k: int, slices: int) -> DataFrame:
+    """The k closest links of every vector, by comparing slices with all vectors."""
+    path = scratch_dir(nodes.sparkSession, "exact")
+    for first in range(0, slices, TOGETHER):
+        sample = _slices(nodes, slices, first, first + TOGETHER).select("id", "unit").collect()
+        q = np.stack([np.frombuffer(bytes(r.unit), np.float64) for r in sample]) if sample else np.zeros((0, 1))
+        ids = np.array([r.id for r in sample], np.int64)
+
+        def run(batches: Iterator[pa.RecordBatch], q=q, ids=ids) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    for i, j, sim in _close(q, ids, b):
+                        order = np.lexsort((-sim, i))
+                        i, j, sim = i[order], j[order], sim[order]
+                        top = np.arange(len(i)) - np.searchsorted(i, i) < k
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[i[top]]), pa.array(b.column("id").to_numpy()[j[top]]), pa.array(sim[top])], ["u", "v", "sim"])
+
+        _top(nodes.select("id", "unit").mapInArrow(run, EDGE), k).write.mode("append").parquet(path)
+    return nodes.sparkSession.read.schema(EDGE + ", rank int").parquet(path)
 
 
 def _links_of_block(table: pa.Table) -> pa.Table:
@@ -248,17 +303,28 @@ def _of_one_length(nodes: DataFrame, dims: int) -> DataFrame:
     """id, links, component of distinct vectors of one length."""
     n = nodes.count()
     bits = max(0, int(np.ceil(np.log2(max(n / LEAF, 1)))))
-    leaves = nodes.select("id", "unit").mapInArrow(_leaves(dims, bits), "id long, leaf long")
-    sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("splits"))
-    seated = leaves.join(sizes, "leaf").withColumn("split", F.pmod(F.xxhash64("id", "leaf"), F.col("splits"))).join(nodes.select("id", "unit"), "id")
-    k = LIST
-    lists = settle(_top(seated.groupBy("leaf", "split").applyInArrow(lambda t: _nearest(t), EDGE), k), "lists")
-    chunks = max(12, n // CHUNK)
-    for _ in range(AUDITS):
+    chunks, slices = max(12, n // CHUNK), -(-n // SLICE)
+    k, lists, whole = LIST, None, False
+    codes = nodes.select("id", "unit").mapInArrow(_leaves(dims, bits, 1, 3), "id long, leaf long")
+    for attempt, trees in enumerate(TREES):
+        leaves = nodes.select("id", "unit").mapInArrow(_leaves(dims, bits, trees, 3 + attempt), "id long, leaf long")
+        sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("splits"))
+        seated = leaves.join(sizes, "leaf").withColumn("split", F.pmod(F.xxhash64("id", "leaf"), F.col("splits"))).join(nodes.select("id", "unit"), "id")
+        found = seated.groupBy("leaf", "split").applyInArrow(lambda t: _nearest(t), EDGE)
+        lists = settle(_top(found if lists is None else found.union(lists.select("u", "v", "sim")), k), "lists")
         lists = _descend(lists, nodes, k, chunks)
-        if _audit(lists, nodes, k) >= RECALL:
+        result = settle(_counted(lists, nodes, k, codes), "counted")
+        share, whole = _audit(result, nodes, slices)
+        if share == 1 or share >= RECALL and not whole:
+            return result
+        if whole:
             break
         k *= 2
+    return settle(_counted(_all_lists(nodes, k, slices), nodes, k, codes), "counted")
+
+
+def _counted(lists: DataFrame, nodes: DataFrame, k: int, codes: DataFrame) -> DataFrame:
+    """id, links, component from lists of at most k neighbours."""
     near = lists.where(F.col("sim") >= THRESHOLD)
     edges = settle(near.select("u", "v").union(near.select("v", "u")).distinct(), "near")
     comp = settle(components(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), "components")
@@ -274,7 +340,7 @@ def _of_one_length(nodes: DataFrame, dims: int) -> DataFrame:
     joined = counted.join(exact, "id", "full").select("id", F.coalesce("exact", "links").alias("links"))
     # saturated lists: links with saturated vectors of other components
     saturated = inside.where(F.col("full") == 1).select("id", "unit", "copies", "component")
-    across = settle(_across(saturated, leaves.where(F.col("leaf") < 1 << 40)), "across")
+    across = settle(_across(saturated, codes), "across")
     merged = components(across.select("a", "b").distinct()).select(F.col("node").alias("component"), F.col("component").alias("least"))
     more = across.groupBy("id").agg(F.sum("links").alias("more"))
     placed = joined.join(comp.withColumnRenamed("node", "id"), "id", "left").join(merged, "component", "left").join(more, "id", "left")

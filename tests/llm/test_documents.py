@@ -288,6 +288,23 @@ def test_clumps_of_saturated_vectors_are_joined(spark):
     assert [got[i][0] for i in range(1400)] == want.tolist()
 
 
+def test_rare_pairs_are_found(spark, monkeypatch):
+    from tecframe.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "LEAF", 8)  # as many planes as a far larger table has
+    monkeypatch.setattr(neighbours, "ROUNDS", 0)  # neighbours of neighbours don't lead to them there
+    rng = np.random.default_rng(17)
+    x = rng.normal(size=(4000, 48))
+    x[:20] = x[20:40] + rng.normal(size=(20, 48)) * 0.45
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = m @ m.T >= 0.9
+    want = s.sum(axis=1) - 1
+    assert 30 <= (want > 0).sum() <= 40
+    v = spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(v).collect()}
+    assert [got[i] for i in range(4000)] == [(int(n), int(row.argmax())) for n, row in zip(want, s)]
+
+
 def test_language_filters_on_held_out_rows(spark, odd, none):
     from tecframe.llm.language_id import identify
 
