@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ from tecframe.llm.tokens import RAW, Texts, pieces, prefix_sums, span_hash
 LENGTH = 2048
 SALTS = 64  # parts at least that the pieces of one length are ranked in
 RANKED = 500_000  # pieces of one part, at most on average, if all have one length
+REOPENED = 384  # pieces that are searched again at most, about
 WORDS_KEPT = 2_000_000  # words whose ids a worker remembers
 TOGETHER = 50  # new words that are encoded in one call
 
@@ -122,38 +124,78 @@ def _pieces_of(path: str, length: int):
 def fillings(count: np.ndarray, room: int, most: int, limit: int = 400) -> list[list[int]]:
     """Undominated ways to fill `room` with lengths up to `most`, fullest first.
 
-    Longest lengths first, so that of two fillings with equal totals the one of
-    fewer, longer pieces is met first; it dominates the other. The search ends
-    at a perfect filling or after `limit` steps.
+    Longest lengths first, each as often as it fits and then less often, so that
+    of two fillings with equal totals the one of fewer, longer pieces is met
+    first; it dominates the other. The search ends at a perfect filling or after
+    `limit` steps. Its depth is the number of different lengths in a filling.
     """
     found: dict[int, list[int]] = {}
-    steps = 0
     lengths = np.flatnonzero(count[: most + 1])[::-1].tolist()
-
-    def go(i: int, left: int, chosen: list[int]) -> bool:
-        nonlocal steps
-        steps += 1
+    falling = [-n for n in lengths]
+    chosen: list[list[int]] = []  # place in lengths, times
+    i, left = 0, room
+    for _ in range(limit):
         grown = False
-        while i < len(lengths) and lengths[i] > left:
-            i += 1
-        for k in range(i, len(lengths)):
-            n = lengths[k]
-            if n > left or chosen.count(n) >= count[n]:
-                continue
+        while (i := bisect_left(falling, -left, i)) < len(lengths):
+            times = min(int(count[lengths[i]]), left // lengths[i])
+            chosen.append([i, times])
+            left -= times * lengths[i]
             grown = True
-            chosen.append(n)
-            done = go(k, left - n, chosen)
+            i += 1
+        if (grown or not chosen) and left not in found:
+            found[left] = [lengths[k] for k, times in chosen for _ in range(times)]
+        if chosen and chosen[-1][0] == len(lengths) - 1:  # fewer of the shortest only leave room
+            k, times = chosen.pop()
+            left += times * lengths[k]
+        if 0 in found or not chosen:
+            break
+        k = chosen[-1][0]
+        left += lengths[k]
+        chosen[-1][1] -= 1
+        if not chosen[-1][1]:
             chosen.pop()
-            if done or steps > limit:
-                return done
-        if not grown:
-            found.setdefault(left, list(chosen))
-        return left == 0
-
-    go(0, room, [])
+        i = k + 1
     return [found[w] for w in sorted(found)]
 
 
+def best_fit_counts(count: np.ndarray, size: int) -> list[tuple[int, list[int]]]:
+    """Best-fit decreasing by counts, as (times, lengths of one sequence)."""
+    groups: dict[int, list[tuple[int, list[int]]]] = {}
+    for n in np.flatnonzero(count)[::-1].tolist():
+        open_ = int(count[n])
+        while open_:
+            room = min((r for r in groups if r >= n), default=None)
+            if room is None:
+                room, times, held = size, open_, []
+            else:
+                times, held = groups[room].pop()
+                if not groups[room]:
+                    del groups[room]
+            # a sequence that takes one piece is the tightest for the next one as well
+            each = room // n
+            filled = min(times, open_ // each)
+            rest = open_ - filled * each if filled < times else 0
+            for bins, k in ((filled, each), (1, rest)):
+                if bins and k:
+                    groups.setdefault(room - k * n, []).append((bins, held + [n] * k))
+            untouched = times - filled - (rest > 0)
+            if held and untouched:
+                groups.setdefault(room, []).append((untouched, held))
+            open_ -= filled * each + rest
+    return [g for r in sorted(groups) for g in groups[r]]
+
+
+def fewest(count: np.ndarray, size: int) -> int:
+    """A lower bound on the sequences: pieces over half a sequence never meet, and short ones only fill what those leave."""
+    n = np.arange(len(count))
+    best = -(-int((n * count).sum()) // size)
+    for k in range(1, size // 2 + 1):
+        large, middle, small = n > size - k, (n > size // 2) & (n <= size - k), (n >= k) & (n <= size // 2)
+        over = int((n * count)[small].sum()) - (size * int(count[middle].sum()) - int((n * count)[middle].sum()))
+        best = max(best, int(count[large].sum() + count[middle].sum()) + max(0, -(-over // size)))
+    return best
+
+
 def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     """Best-fit decreasing."""
     bins: list[list[int]] = []
@@ -206,9 +248,19 @@ def search(lengths: list[int], size: int, limit: int = 3000) -> list[list[int]]:
 
 
 def complete(count: np.ndarray, size: int, tail: int = 48) -> list[tuple[int, list[int]]]:
-    """(times, lengths of one sequence) for a table of counts by length."""
+    """(times, lengths of one sequence) for a table of counts by length.
+
+    Bin completion of the whole table; while it needs more sequences than the
+    lower bound, its last ones are opened again and searched, more of them each
+    time. Best-fit of the whole table stands in where that has fewer.
+    """
     count = count.astype(np.int64).copy()
+    floor, other = fewest(count, size), best_fit_counts(count, size)
     out: list[tuple[int, list[int]]] = []
+
+    def needed(patterns: list[tuple[int, list[int]]]) -> int:
+        return sum(times for times, _ in patterns)
+
     while count.sum() > tail:
         top = int(np.flatnonzero(count)[-1])
         count[top] -= 1
@@ -220,7 +272,18 @@ def complete(count: np.ndarray, size: int, tail: int = 48) -> list[tuple[int, li
         count -= times * need
         out.append((times, [top, *rest]))
     left = np.repeat(np.arange(len(count)), count).tolist()
-    return out + [(1, b) for b in search(left, size)]
+    best = out + [(1, b) for b in search(left, size)]
+    while needed(best) > floor and out and tail < REOPENED:
+        tail *= 2
+        while out and len(left) < tail:
+            times, lengths = out.pop()
+            again = min(times, -(-(tail - len(left)) // len(lengths)))
+            left += lengths * again
+            if again < times:
+                out.append((times - again, lengths))
+        new = out + [(1, b) for b in search(left, size, 300)]
+        best = new if needed(new) < needed(best) else best
+    return other if needed(other) < needed(best) else best
 
 
 class Places:

@@ -189,6 +189,22 @@ def test_bin_completion_beats_or_equals_best_fit():
         assert sum(n for n, _ in patterns) <= len(best_fit(lengths.tolist(), 100))
 
 
+def test_many_short_pieces_are_packed():
+    from tecframe.llm.packing import best_fit, best_fit_counts, complete, fewest
+
+    short = np.bincount([1] * 5000 + [2] * 3000 + [700] * 9, minlength=2049)  # empty texts, one-word texts
+    patterns = complete(short, 2048)
+    assert sum(n * np.bincount(p, minlength=2049) for n, p in patterns).tolist() == short.tolist()
+    assert all(sum(p) <= 2048 for _, p in patterns) and sum(n for n, _ in patterns) == fewest(short, 2048) == 9
+    for seed in range(6):
+        lengths = np.random.default_rng(seed).choice([1, 7, 18, 30, 34, 41, 55, 80], 600)
+        count = np.bincount(lengths, minlength=101)
+        by_counts = best_fit_counts(count, 100)
+        assert sum(n * np.bincount(p, minlength=101) for n, p in by_counts).tolist() == count.tolist()
+        assert sum(n for n, _ in by_counts) == len(best_fit(lengths.tolist(), 100))
+        assert fewest(count, 100) <= sum(n for n, _ in complete(count, 100)) <= len(best_fit(lengths.tolist(), 100))
+
+
 def test_decontamination_tolerates_substitutions(spark, odd, none):
     from tecframe.llm.spaced_seeds import overlaps
 
