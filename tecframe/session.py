@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that every job relies on; cluster sizing stays with spark-submit.
 SESSION_CONF = {
@@ -54,6 +54,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back: its plan ends there, and lost executors cost nothing."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Lets ``checkpoint()`` write to the shared folder; a folder already set stays."""
     context = spark.sparkContext
