@@ -111,3 +111,12 @@ EPHEMERIS_ELEMENTS = (
 )
 # one satellite of one station on one day
 TRACK_KEYS = ("event_id", "station_id", "observation_date", "sv")
+
+# fixed values: reasons that rule a station-day out, with their texts
+DAY_REASONS = {
+    "out_of_window": "record does not overlap the event window",
+    "empty_observations": "georinex returned no GPS observation rows",
+    "empty_gps_rows": "no GPS rows remained after filtering",
+    "missing_phase_pair": "no compatible dual-frequency phase pair",
+    "missing_station_position": "station coordinates unavailable in manifest and RINEX header",
+}

@@ -27,11 +27,12 @@ def in_window(df: DataFrame, start: ColumnLike, end: ColumnLike, *, time: str =
 
 
 def clip_to_day(
-    station_days: DataFrame, events: DataFrame, *, keep_instant: bool = False
+    station_days: DataFrame, events: DataFrame, *, keep_instant: bool = False, keep_empty: bool = False
 ) -> DataFrame:
     """Adds slice_start and slice_end; days outside the event drop out.
 
-    ``keep_instant`` keeps windows of zero length, as the series tables do.
+    ``keep_instant`` keeps windows of zero length, as the series tables do;
+    ``keep_empty`` keeps days outside the event, too.
     """
     day = F.col("observation_date").cast("timestamp")
     out = (
@@ -40,14 +41,20 @@ def clip_to_day(
         .withColumn("slice_end", F.least(F.col("end_utc"), day + F.expr("INTERVAL 1 DAY")))
         .drop("start_utc", "end_utc")
     )
+    if keep_empty:
+        return out
     order = F.col("slice_start") <= F.col("slice_end") if keep_instant else (
         F.col("slice_start") < F.col("slice_end")
     )
     return out.filter(order)
 
 
+def of_system(system: str = "G", *, sv: str = "sv") -> Column:
+    return F.coalesce(F.upper(F.col(sv)).startswith(system.upper()), F.lit(False))
+
+
 def only_system(df: DataFrame, system: str = "G", *, sv: str = "sv") -> DataFrame:
-    return df.filter(F.upper(F.col(sv)).startswith(system.upper()))
+    return df.filter(of_system(system, sv=sv))
 
 
 def status_ok() -> Column:

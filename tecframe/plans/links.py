@@ -13,6 +13,7 @@ from tecframe.functions import geodesy, signal
 from tecframe.functions.arrays import pick_pair
 from tecframe.functions.timefn import utc_hour
 from tecframe.operators import aggregates, joins, predicates, sequences, sets, slips
+from tecframe.session import settle
 from tecframe.sources.tables import with_chunks
 
 
@@ -36,18 +37,20 @@ class LinkTables(NamedTuple):
 
 K = list(fixed.TRACK_KEYS)
 STATION_DAY = ["event_id", "station_id", "observation_date"]
+RECORD_COLUMNS = ["source", "obs_path", "nav_path"]
 
 
-def observation_pairs(obs: DataFrame, keys: Sequence[str] = ("station_id", "observation_date")) -> DataFrame:
-    """Preferred phase and code pair of every station-day, from the codes that the given rows have."""
+def observation_pairs(obs: DataFrame, keys: Sequence[str] = ("station_id", "observation_date"), own: Column | None = None) -> DataFrame:
+    """Preferred phase and code pair of every station-day, from the codes that its ``own`` rows have, and whether it has any."""
+    own = F.lit(True) if own is None else own
     known = dict.fromkeys(fixed.PHASE_FIRST + fixed.PHASE_SECOND + fixed.CODE_FIRST + fixed.CODE_SECOND)
     codes = [c for c in obs.columns if c in known]
     have = obs.groupBy(*keys).agg(
-        *[F.bool_or(F.col(c).isNotNull()).alias(c) for c in codes]
+        F.bool_or(own).alias("own"), *[F.bool_or(own & F.col(c).isNotNull()).alias(c) for c in codes]
     )
     listed = F.array_compact(F.array(*[F.when(F.col(c), F.lit(c)) for c in codes]))
     return have.select(
-        *keys, F.lit(True).alias("seen"),
+        *keys, F.lit(True).alias("seen"), "own",
         pick_pair(listed, fixed.PHASE_FIRST, fixed.PHASE_SECOND).alias("phase"),
         pick_pair(listed, fixed.CODE_FIRST, fixed.CODE_SECOND).alias("code"),
     )
@@ -61,30 +64,42 @@ def _value_of(code: Column, options: Sequence[str], columns: Sequence[str]) -> C
     return F.nanvl(out, F.lit(None).cast("double"))
 
 
-def build_links(
+def station_windows(obs: DataFrame, records: DataFrame, events: DataFrame, params: LinkParams) -> DataFrame:
+    """Every station-day with its window, position and pairs; ``day_reason`` names what rules it out."""
+    windows = predicates.resolve_position(predicates.clip_to_day(records, events, keep_empty=True)).drop(
+        "header_x", "header_y", "header_z"
+    )
+    overlaps = F.col("slice_start") < F.col("slice_end")
+    slices = windows.filter(overlaps).select(*STATION_DAY, "slice_start", "slice_end")
+    inside = obs.join(slices, ["station_id", "observation_date"]).filter(
+        F.col("time").between(F.col("slice_start"), F.col("slice_end"))
+    )
+    # codes of other systems or other times don't choose the pair
+    pairs = observation_pairs(inside, STATION_DAY, predicates.of_system(params.system))
+    reason = (
+        F.when(~overlaps, F.lit("out_of_window"))
+        .when(F.col("seen").isNull(), F.lit("empty_observations"))
+        .when(~F.col("own"), F.lit("empty_gps_rows"))
+        .when(F.col("phase").isNull(), F.lit("missing_phase_pair"))
+        .otherwise(F.col("position_reason"))
+    )
+    return windows.join(pairs, STATION_DAY, "left").withColumn("day_reason", reason).drop("seen", "own", "position_reason")
+
+
+def build_outcomes(
     obs: DataFrame, eph: DataFrame, records: DataFrame, events: DataFrame,
     params: LinkParams = LinkParams(),
-) -> LinkTables:
-    """Links, slip counters and failure reasons.
+) -> tuple[DataFrame, DataFrame]:
+    """(station-days, outcomes of their tracks), both stored: what the three tables of :func:`build_links` are cut from.
 
-    obs: station_id, observation_date, time, sv, ingest_pos and one column per
-    observable code. eph: observation_date (day of the navigation file), sv,
-    time and the orbit elements. records: event_id, station_id, station_code4,
-    observation_date, lat, lon, height_m, header_x, header_y, header_z.
-    events: event_id, start_utc, end_utc.
+    Outcomes hold the rows of every track that reached slip detection, and one
+    row for every other track, which names its ``early`` reason.
     """
-    placed = predicates.resolve_position(predicates.clip_to_day(records, events)).drop(
-        "header_x", "header_y", "header_z"
-    )
-    # everything known about a station-day in one table, so that the observations meet one join
-    slices = placed.select(*STATION_DAY, "slice_start", "slice_end")
-    own = predicates.only_system(obs, params.system).join(slices, ["station_id", "observation_date"])
-    own = own.filter(F.col("time").between(F.col("slice_start"), F.col("slice_end")))
-    # codes of other systems or other times don't choose the pair
-    days = placed.join(observation_pairs(own, STATION_DAY), STATION_DAY, "left")
-    usable_days = days.filter(F.col("position_reason").isNull() & F.col("phase").isNotNull())
+    days = settle(station_windows(obs, records, events, params), "station-days")
     rows = predicates.only_system(obs, params.system).withColumn("sv", F.upper("sv"))
-    rows = rows.join(usable_days.drop("position_reason", "seen"), ["station_id", "observation_date"]).filter(
+    usable = days.filter(F.col("day_reason").isNull())
+    extra = [c for c in RECORD_COLUMNS if c in days.columns]
+    rows = rows.join(usable.drop("day_reason", *extra), ["station_id", "observation_date"]).filter(
         F.col("time").between(F.col("slice_start"), F.col("slice_end"))
     )
     cols = obs.columns
@@ -117,52 +132,65 @@ def build_links(
     judged = judged.withColumn(
         "_s3", F.col("_s2") & (F.col("_n2") >= 2) & (F.col("elev_deg") >= params.elevation_mask)
     )
-    judged = judged.withColumn("_n3", F.count_if("_s3").over(whole))
-    early_reason = (
+    judged = judged.withColumn("_n3", F.count_if("_s3").over(whole)).withColumn("_first", F.min("time").over(whole))
+    early = (
         F.when(F.col("_n1") < 2, F.lit("insufficient_phase_samples"))
         .when(F.col("_n2") < 2, F.lit("missing_navigation_solution"))
         .when(F.col("_n3") < 2, F.lit("below_elevation_mask"))
     )
-    early = judged.withColumn("reason", early_reason).filter(F.col("reason").isNotNull()).select(
-        *K, "reason"
-    ).distinct()
-    good = judged.filter(F.col("_s3") & (F.col("_n3") >= 2)).drop("_s1", "_s2", "_s3", "_n1", "_n2", "_n3")
-
-    measured = good.withColumns(
+    judged = judged.withColumn("early", early).filter(
+        F.when(F.col("early").isNull(), F.col("_s3")).otherwise(F.col("time") == F.col("_first"))
+    )
+    measured = judged.withColumns(
         {
             "phase_stec": signal.phase_stec("l1", "l2"),
             "gf_phase": signal.gf_phase("l1", "l2"),
             "mw": signal.melbourne_wubbena("l1", "l2", "c1", "c2") if params.enable_mw else F.lit(None).cast("double"),
             "code_stec": signal.code_stec("c1", "c2"),
         }
-    ).drop("l1", "l2", "c1", "c2", "ingest_pos", "sat_x", "sat_y", "sat_z", "height_m")
-    flagged = slips.detect_slips(measured, K, params.slips)
-    diagnostics = slips.slip_diagnostics(flagged, [*K, "phase_pair", "code_pair"], code_pair="code_pair")
-
-    tracks = finish_tracks(flagged, K, params)
-    delivered = F.col("keep") & (F.col("vtec").isNotNull() | F.col("roti").isNotNull())
+    ).drop("l1", "l2", "c1", "c2", "ingest_pos", "sat_x", "sat_y", "sat_z", "height_m", "_s1", "_s2", "_s3", "_n1", "_n2", "_n3", "_first")
+    tracks = finish_tracks(slips.detect_slips(measured, K, params.slips), K, params)
+    finite = F.col("vtec").isNotNull() | F.col("roti").isNotNull()
     ipp_lat, ipp_lon = geodesy.pierce_point("lat", "lon", "az_deg", "elev_deg", params.shell_km)
-    links = tracks.filter(delivered).withColumns(
-        {"ipp_lat": ipp_lat, "ipp_lon": ipp_lon, "station_code4": F.upper("station_code4")}
-    ).select(*fixed.LINK_COLUMNS, "observation_date")
+    tracks = tracks.withColumns(
+        {"delivered": F.col("early").isNull() & F.col("keep") & finite, "ipp_lat": ipp_lat, "ipp_lon": ipp_lon, "station_code4": F.upper("station_code4")}
+    )
+    return days, settle(tracks, "outcomes")
+
+
+def build_links(
+    obs: DataFrame, eph: DataFrame, records: DataFrame, events: DataFrame,
+    params: LinkParams = LinkParams(),
+) -> LinkTables:
+    """Links, slip counters and failure reasons, cut from one stored table of outcomes.
+
+    obs: station_id, observation_date, time, sv, ingest_pos and one column per
+    observable code. eph: observation_date (day of the navigation file), sv,
+    time and the orbit elements. records: event_id, station_id, station_code4,
+    observation_date, lat, lon, height_m, header_x, header_y, header_z, and
+    source, obs_path, nav_path where known. events: event_id, start_utc, end_utc.
+    """
+    days, tracks = build_outcomes(obs, eph, records, events, params)
+    links = tracks.filter("delivered").select(*fixed.LINK_COLUMNS, "observation_date")
+    reached = tracks.filter("early IS NULL")
+    diagnostics = slips.slip_diagnostics(reached, [*K, "phase_pair", "code_pair"], code_pair="code_pair")
 
     # outcome of every track: NULL when it delivered links
-    late = tracks.groupBy(*K).agg(F.count_if("keep").alias("_kept"), F.count_if(delivered).alias("_out")).select(
+    ends = tracks.groupBy(*K).agg(F.max("early").alias("_early"), F.count_if("keep").alias("_kept"), F.count_if("delivered").alias("_out")).select(
         *K,
-        F.when(F.col("_out") > 0, F.lit(None)).when(F.col("_kept") == 0, F.lit("finalize_empty"))
-        .otherwise(F.lit("no_finite_vtec_or_roti")).alias("reason"),
+        F.when(F.col("_out") > 0, F.lit(None)).when(F.col("_early").isNotNull(), F.col("_early"))
+        .when(F.col("_kept") == 0, F.lit("finalize_empty")).otherwise(F.lit("no_finite_vtec_or_roti")).alias("reason"),
     )
-    summary = aggregates.summarise_failures(early.unionByName(late), STATION_DAY)
+    summary = aggregates.summarise_failures(ends, STATION_DAY)
+    texts = F.create_map(*[F.lit(x) for pair in fixed.DAY_REASONS.items() for x in pair])
+    known = {c: F.col(c) if c in days.columns else F.lit(None).cast("string") for c in RECORD_COLUMNS}
     failures = (
-        days.join(summary, STATION_DAY, "left")
+        days.withColumns(known).join(summary, STATION_DAY, "left")
         .filter(~F.coalesce("succeeded", F.lit(False)))
         .select(
-            *STATION_DAY, F.lit("process").alias("stage"),
-            F.when(F.col("seen").isNull(), F.lit("empty_observations"))
-            .when(F.col("phase").isNull(), F.lit("missing_phase_pair"))
-            .otherwise(F.coalesce("position_reason", "reason", F.lit("no_valid_links")))
-            .alias("reason"),
-            F.coalesce("detail", F.lit("")).alias("detail"),
+            *STATION_DAY, *RECORD_COLUMNS, F.lit("process").alias("stage"),
+            F.coalesce("day_reason", "reason", F.lit("no_valid_links")).alias("reason"),
+            F.coalesce(texts[F.col("day_reason")], "detail", F.lit("")).alias("detail"),
         )
     )
     return LinkTables(links, diagnostics, failures)

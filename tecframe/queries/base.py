@@ -1,8 +1,9 @@
 """Registration, table access and the stand-ins for domain tables.
 
 The given tables hold no satellite data, so a few of them stand in for it.
-``links``: events at whole minutes, user as satellite, last event of a minute
-wins; a track is one user in one month, so it has at most 44,640 rows.
+``links``: events, user as satellite; times are cut to milliseconds and the event
+number fills the microseconds, so that every event keeps a row of its own. A
+track is one user in one month.
 ``observations``: line items. ``stations``: suppliers or customers on a
 lattice of coordinates. ``swath``: embeddings, 64 lines of 64 pixels each.
 """
@@ -13,8 +14,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tecframe.functions.timefn import floor_time
-from tecframe.operators.sequences import last_per_epoch
 from tecframe.session import use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,29 +79,35 @@ GAP_SEC = 8 * 3600
 ROTI_ROWS = 3
 
 
+def event_time() -> Column:
+    micros = F.unix_micros("ts")
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(1000)) + F.pmod("event_id", F.lit(1000)))
+
+
+EVENT_TIME = "make_timestamp(epoch_us(ts) - epoch_us(ts) % 1000 + event_id % 1000)"
+
+
 def links(t: Tables) -> DataFrame:
-    rows = t.events.select(
+    return t.events.select(
         F.date_trunc("month", "ts").alias("period"),
         F.concat(F.lit("S"), F.floor(F.col("user_id") / 32).cast("string")).alias("station_id"),
         F.concat(F.lit("G"), F.lpad((F.col("user_id") % 32 + 1).cast("string"), 2, "0")).alias("sv"),
-        floor_time("ts", 1).alias("time"),
+        event_time().alias("time"),
         F.col("value").alias("stec"), "event_type",
         (F.col("event_id") % 80 + 10).cast("double").alias("elev_deg"),
         (F.col("event_id") * 7 % 360).cast("double").alias("az_deg"),
         F.col("event_id").alias("ingest_pos"),
     )
-    return last_per_epoch(rows, TRACK)
 
 
-LINKS = """
+LINKS = f"""
 links AS (
   SELECT date_trunc('month', ts) AS period, 'S' || CAST(user_id // 32 AS VARCHAR) AS station_id,
          'G' || lpad(CAST(user_id % 32 + 1 AS VARCHAR), 2, '0') AS sv,
-         date_trunc('minute', ts) AS time, value AS stec, event_type,
+         {EVENT_TIME} AS time, value AS stec, event_type,
          CAST(event_id % 80 + 10 AS DOUBLE) AS elev_deg,
          CAST(event_id * 7 % 360 AS DOUBLE) AS az_deg, event_id AS ingest_pos
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('minute', ts) ORDER BY event_id DESC) AS rn
-        FROM events) WHERE rn = 1)"""
+  FROM events)"""
 
 # arcs, rates and rate deviations on the links, as SQL
 ARCS = LINKS + """,

@@ -34,12 +34,17 @@ def p03(t: Tables) -> DataFrame:
 
 
 def raw_observations(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(observations, orbits, station-days, event) derived from the events table."""
-    base = links(t).withColumn("observation_date", F.to_date("time"))
+    """(observations, orbits, station-days, event) derived from the events table.
+
+    Epochs are whole minutes, several rows of one epoch included. On every 13th
+    only satellites of another system are seen; each station of an event has a
+    twin without rows, and a day after the event.
+    """
+    base = links(t).withColumn("time", floor_time("time", 1)).withColumn("observation_date", F.to_date("time"))
     number = F.regexp_extract("sv", r"(\d+)", 1).cast("double")
     v = F.col("stec")
     obs = base.select(
-        "station_id", "observation_date", "time", "sv", "ingest_pos",
+        "station_id", "observation_date", "time", F.when(F.dayofmonth("observation_date") == 13, F.translate("sv", "G", "R")).otherwise(F.col("sv")).alias("sv"), "ingest_pos",
         (v * 1000.0).alias("L1C"), (v * 779.0).alias("L2W"), (v * 190.0 + 3.0).alias("C1C"),
         F.when(F.col("ingest_pos") % 5 != 0, v * 190.0 + 4.0).alias("C2W"),
     )
@@ -53,9 +58,14 @@ def raw_observations(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFr
         }
     )
     place = F.regexp_extract("station_id", r"(\d+)", 1).cast("double")
-    records = base.select("station_id", "observation_date").distinct().withColumns(
-        {"event_id": F.date_format("observation_date", "yyyy-MM"), "station_code4": F.col("station_id"), "lat": place % 60 - 30, "lon": place * 17 % 160 - 150, "height_m": F.lit(100.0), **{f"header_{a}": F.lit(None).cast("double") for a in "xyz"}}
-    )
+    seen = base.select("station_id", "observation_date", F.date_format("observation_date", "yyyy-MM").alias("event_id")).distinct()
+    span = seen.groupBy("event_id", "station_id").agg(F.min("observation_date").alias("first"), F.last_day(F.max("observation_date")).alias("last"))
+    records = (
+        seen.unionByName(span.select("event_id", F.concat("station_id", F.lit("X")).alias("station_id"), F.col("first").alias("observation_date")))
+        .unionByName(span.select("event_id", "station_id", F.date_add("last", 1).alias("observation_date")))
+    ).withColumns(
+        {"station_code4": F.col("station_id"), "lat": place % 60 - 30, "lon": place * 17 % 160 - 150, "height_m": F.lit(100.0), **{f"header_{a}": F.lit(None).cast("double") for a in "xyz"}}
+    ).withColumns({"source": F.lit("events"), "obs_path": F.concat_ws("/", "station_id", F.col("observation_date").cast("string")), "nav_path": F.col("observation_date").cast("string")})
     event = t.events.groupBy(F.date_format("ts", "yyyy-MM").alias("event_id")).agg(
         F.min("ts").alias("start_utc"), F.max("ts").alias("end_utc")
     )
@@ -81,7 +91,8 @@ ev AS (SELECT strftime(ts, '%Y-%m') AS event_id, min(ts) AS s, max(ts) AS z FROM
 o AS (SELECT event_id, station_id, CAST(time AS DATE) AS d, time, sv, stec * 1000.0::DOUBLE AS l1, stec * 779.0::DOUBLE AS l2, stec * 190.0::DOUBLE + 3.0::DOUBLE AS c1,
              CASE WHEN ingest_pos % 5 <> 0 THEN stec * 190.0::DOUBLE + 4.0::DOUBLE END AS c2, CAST(substr(sv, 2) AS DOUBLE) AS num, CAST(substr(station_id, 2) AS DOUBLE) AS place,
              time_bucket(INTERVAL 2 HOURS, time, TIMESTAMP '1970-01-01') AS slot
-      FROM links JOIN ev ON event_id = strftime(time, '%Y-%m') AND time >= s AND time <= z),
+      FROM (SELECT * REPLACE (date_trunc('minute', time) AS time) FROM links QUALIFY row_number() OVER (PARTITION BY station_id, sv, date_trunc('minute', time) ORDER BY ingest_pos DESC) = 1)
+      JOIN ev ON event_id = strftime(time, '%Y-%m') AND time >= s AND time <= z WHERE day(time) <> 13),
 t0 AS (SELECT *, epoch_us(time - slot + TIMESTAMP '1970-01-01') / 1e6 AS tk, CAST((epoch_us(slot) - epoch_us(TIMESTAMP '1980-01-06')) // 1000000 % 604800 AS DOUBLE) AS toe,
               5153.6::DOUBLE * 5153.6::DOUBLE AS a, radians(place % 60 - 30) AS p, radians(place * 17 % 160 - 150) AS l FROM o),
 t1 AS (SELECT *, num * 0.196::DOUBLE + sqrt(3.986005e14 / pow(a, 3)) * tk AS m FROM t0),
@@ -141,10 +152,19 @@ WITH {full_sql(70.0)},
 k AS (SELECT event_id, station_id, d, sv, CASE WHEN any_value(n1) < 2 THEN 'insufficient_phase_samples' WHEN any_value(n3) < 2 THEN 'below_elevation_mask' END AS reason
       FROM judged GROUP BY ALL),
 c AS (SELECT event_id, station_id, d, reason, count(*) AS n FROM k GROUP BY ALL),
-days AS (SELECT DISTINCT strftime(time, '%Y-%m') AS event_id, station_id, CAST(time AS DATE) AS d FROM links),
+seen AS (SELECT DISTINCT strftime(time, '%Y-%m') AS event_id, station_id, CAST(time AS DATE) AS d FROM links),
+days AS (
+  SELECT *, CASE WHEN NOT EXISTS (SELECT 1 FROM links l JOIN ev ON ev.event_id = seen.event_id WHERE l.station_id = seen.station_id AND CAST(l.time AS DATE) = seen.d AND date_trunc('minute', l.time) BETWEEN s AND z) THEN 'empty_observations'
+              WHEN day(d) = 13 THEN 'empty_gps_rows' END AS ruled
+  FROM seen
+  UNION ALL SELECT event_id, station_id || 'X', min(d), 'empty_observations' FROM seen GROUP BY 1, 2
+  UNION ALL SELECT event_id, station_id, last_day(max(d)) + 1, 'out_of_window' FROM seen GROUP BY 1, 2),
 s AS (SELECT event_id, station_id, d, first(reason ORDER BY n DESC, reason = 'below_elevation_mask') AS reason, string_agg(reason || '=' || CAST(n AS VARCHAR), ', ' ORDER BY reason) AS detail
       FROM c GROUP BY ALL HAVING count_if(reason IS NULL) = 0)
-SELECT event_id, station_id, d AS observation_date, coalesce(reason, 'no_valid_links') AS reason, coalesce(detail, '') AS detail
+SELECT event_id, station_id, CAST(d AS DATE) AS observation_date, 'events' AS source, station_id || '/' || CAST(CAST(d AS DATE) AS VARCHAR) AS obs_path, CAST(CAST(d AS DATE) AS VARCHAR) AS nav_path,
+       coalesce(ruled, reason, 'no_valid_links') AS reason,
+       coalesce(CASE ruled WHEN 'out_of_window' THEN 'record does not overlap the event window' WHEN 'empty_observations' THEN 'georinex returned no GPS observation rows'
+                WHEN 'empty_gps_rows' THEN 'no GPS rows remained after filtering' END, detail, '') AS detail
 FROM days LEFT JOIN s USING (event_id, station_id, d) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.event_id = days.event_id AND c.station_id = days.station_id AND c.d = days.d AND c.reason IS NULL)
 """, texts=("observation_date",))
 def p03_failures(t: Tables) -> DataFrame:

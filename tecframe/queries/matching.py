@@ -10,22 +10,19 @@ from tecframe.plans.omni import highlight
 from tecframe.plans.overlay import OverlaySpec, build_overlay, build_panel
 from tecframe.plans.scenes import build_scenes
 from tecframe.plans.stations import build_station_days, normalise
-from tecframe.queries.base import Tables, long, query, r6
+from tecframe.queries.base import EVENT_TIME, Tables, event_time, long, query, r6
 from tecframe.queries.filters import REGION_EVENTS, region_events
 from tecframe.queries.scalars import file_names
 from tecframe.sources.archives import swath_entries
 
 HOURS = 3600 * 1_000_000
 
-MINUTE_EVENTS = """
-me AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, date_trunc('minute', ts) AS time, max(event_id) AS id FROM events GROUP BY ALL)"""
+TIMED_EVENTS = f"""
+me AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, {EVENT_TIME} AS time, event_id AS id FROM events)"""
 
 
-def minute_events(t: Tables) -> DataFrame:
-    """One event per user, type and minute, so at most 1,440 per user, type and day."""
-    return t.events.groupBy(
-        "user_id", "event_type", F.to_date("ts").alias("day"), F.date_trunc("minute", "ts").alias("time")
-    ).agg(F.max("event_id").alias("id"))
+def timed_events(t: Tables) -> DataFrame:
+    return t.events.select("user_id", "event_type", F.to_date("ts").alias("day"), event_time().alias("time"), F.col("event_id").alias("id"))
 
 
 # greedy pairing as a walk over the ranked candidates of each user and day
@@ -43,14 +40,14 @@ def greedy_sql(name: str, left: str, right: str, by: str, tol_us: int) -> str:
         FROM {name}_walk w JOIN {name}_cand c ON {' AND '.join(f'c.{b} = w.{b}' for b in by.split(', '))} AND c.n = w.n + 1))"""
 
 
-PAIRS = MINUTE_EVENTS + """,
+PAIRS = TIMED_EVENTS + """,
 clicks AS (SELECT * FROM me WHERE event_type = 'click'), views AS (SELECT * FROM me WHERE event_type = 'view'),""" + greedy_sql(
     "g", "clicks", "views", "user_id, day", 4 * HOURS
 )
 
 
 def click_view_pairs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    me = minute_events(t)
+    me = timed_events(t)
     clicks, views = me.filter("event_type = 'click'"), me.filter("event_type = 'view'")
     pairs = pair_nearest(clicks, views, 4 * 3600.0, ["user_id", "day"], left_id="id", right_id="id")
     return me.filter("event_type in ('click', 'view')"), pairs
@@ -74,8 +71,9 @@ def j02(t: Tables) -> DataFrame:
     return unmatched(entries, pairs, entry_id="id").select("user_id", "event_type", "time", "id")
 
 
+# names of swaths tell the minute
 @query("p06_swath_scenes", f"""
-WITH RECURSIVE {PAIRS}, {REGION_EVENTS},
+WITH RECURSIVE {PAIRS.replace(EVENT_TIME, "date_trunc('minute', ts)")}, {REGION_EVENTS},
 s AS (SELECT 'A' || CAST(user_id AS VARCHAR) AS tar_path, make_timestamp((epoch_us(lt) + epoch_us(rt)) // 2) AS midpoint, lt AS cha_time, rt AS chb_time, l AS cha, r AS chb,
              round(d / 6e7, 6) + 0.0::DOUBLE AS delta_minutes FROM g_walk WHERE taken)
 SELECT 'scene' AS kind, * FROM s WHERE EXISTS (SELECT 1 FROM ev WHERE event_id IN ('AFRICA', 'ASIA') AND CAST(midpoint AS DATE) BETWEEN CAST(start_utc AS DATE) AND CAST(end_utc AS DATE))
@@ -84,7 +82,7 @@ SELECT 'unmatched', 'A' || CAST(user_id AS VARCHAR), time, NULL, NULL, id, NULL,
 WHERE id NOT IN (SELECT l FROM g_walk WHERE taken UNION ALL SELECT r FROM g_walk WHERE taken)
 """, texts=("cha", "chb",))
 def p06(t: Tables) -> DataFrame:
-    me = minute_events(t).filter(F.col("event_type").isin("click", "view"))
+    me = timed_events(t).filter(F.col("event_type").isin("click", "view"))
     member = F.concat(
         F.lit("GOLD_L1C_"), F.when(F.col("event_type") == "click", "CHA").otherwise("CHB"), F.lit("_NI1_"),
         F.date_format("time", "yyyy_DDD_HH_mm"), F.lit("_v04_"), F.col("id").cast("string"), F.lit(".nc"),
@@ -106,12 +104,12 @@ def p06(t: Tables) -> DataFrame:
 
 
 @query("j03_asof_latest", f"""
-WITH {MINUTE_EVENTS}, c AS (SELECT user_id, time, max(id) AS id FROM me WHERE event_type = 'click' GROUP BY ALL),
+WITH {TIMED_EVENTS}, c AS (SELECT user_id, time, max(id) AS id FROM me WHERE event_type = 'click' GROUP BY ALL),
 j AS (SELECT e.event_id, e.ts, c.time, c.id FROM (SELECT * FROM events WHERE event_type = 'view') e ASOF LEFT JOIN c ON e.user_id = c.user_id AND e.ts >= c.time)
 SELECT event_id, CASE WHEN epoch_us(ts) - epoch_us(time) <= 14400000000 THEN id END AS eph_id, CASE WHEN epoch_us(ts) - epoch_us(time) <= 14400000000 THEN time END AS eph_time FROM j
 """, texts=("eph_id",))
 def j03(t: Tables) -> DataFrame:
-    clicks = minute_events(t).filter("event_type = 'click'").select("user_id", "time", "id", F.col("id").alias("ingest_pos"))
+    clicks = timed_events(t).filter("event_type = 'click'").select("user_id", "time", "id", F.col("id").alias("ingest_pos"))
     views = t.events.filter("event_type = 'view'").select("event_id", "user_id", F.col("ts").alias("time"))
     out = joins.asof_latest(views, clicks, ["user_id"], 4 * 3600.0)
     return out.select("event_id", F.col("eph.id").alias("eph_id"), F.col("eph.time").alias("eph_time"))

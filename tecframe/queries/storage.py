@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tecframe.operators.sets import upsert
 from tecframe.queries.base import Tables, query
 from tecframe.queries.filters import REGION_EVENTS, region_events
-from tecframe.queries.matching import MINUTE_EVENTS, minute_events
+from tecframe.queries.matching import TIMED_EVENTS, timed_events
 from tecframe.session import scratch_dir
 from tecframe.sources import archives, catalogs, listing, manifests, tables
 from tecframe.streaming.products import append_available, stream_products
@@ -124,15 +124,15 @@ def write_archives(rows: DataFrame, root: str) -> DataFrame:
 
 
 @query("s09_archive_index", f"""
-WITH {MINUTE_EVENTS}
-SELECT 'u' || CAST(user_id AS VARCHAR) AS tar, CASE WHEN event_type = 'click' THEN 'CHA' ELSE 'CHB' END AS hemisphere, time AS obs_time, id, CAST(41 + length(CAST(id AS VARCHAR)) AS BIGINT) AS size
+WITH {TIMED_EVENTS}
+SELECT 'u' || CAST(user_id AS VARCHAR) AS tar, CASE WHEN event_type = 'click' THEN 'CHA' ELSE 'CHB' END AS hemisphere, date_trunc('minute', time) AS obs_time, id, CAST(41 + length(CAST(id AS VARCHAR)) AS BIGINT) AS size
 FROM me WHERE event_type IN ('click', 'view')
 """)
 def s09(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "archives")
-    # one archive per user and month, at most one member per minute and type
-    me = minute_events(t).filter(F.col("event_type").isin("click", "view", "error"))
-    head = F.when(F.col("event_type") == "error", "notes_").otherwise("d/GOLD_L1C_")
+    # one archive per user and month; members of other types have names that no swath has
+    me = timed_events(t)
+    head = F.when(F.col("event_type").isin("click", "view"), "d/GOLD_L1C_").otherwise("notes_")
     member = F.concat(
         head, F.when(F.col("event_type") == "click", "CHA").otherwise("CHB"), F.lit("_NI1_"), F.date_format("time", "yyyy_DDD_HH_mm"), F.lit("_v04_"), F.col("id").cast("string"), F.lit(".nc")
     )

@@ -65,15 +65,17 @@ def world(spark):
     obs.append(("BOAV00BRA", date(2024, 10, 10), DAY + timedelta(seconds=31), "G01", 9999, 0.0, 0.0, 0.0, 0.0))
     obs += [("BOAV00BRA", date(2024, 10, 10), DAY + timedelta(seconds=30 * k), s, 0, 1.0 + k, 2.0, 3.0, 4.0) for k in range(3) for s in ("R01", "G30")]
     obs += [("NOPH00XXX", date(2024, 10, 10), DAY, "G01", 0, 1.0, None, None, None)]
+    obs += [("RUSS00XXX", date(2024, 10, 10), DAY, "R05", 0, 1.0, 2.0, 3.0, 4.0), ("NOPO00XXX", date(2024, 10, 10), DAY, "G05", 0, 1.0, 2.0, 3.0, 4.0)]
     schema = "station_id string, observation_date date, time timestamp, sv string, ingest_pos int, L1C double, L2W double, C1C double, C2W double"
     obs_df = spark.createDataFrame(obs, schema).repartition(5)
     base = spark.createDataFrame(eph, "observation_date date, sv string, time timestamp, ingest_pos int, M0 double, Omega0 double")
     zero = {n: F.lit(0.0) for n in fixed.EPHEMERIS_ELEMENTS if n not in ("M0", "Omega0")}
     eph_df = base.withColumns({**zero, "GPSWeek": F.lit(2335.0), "Toe": F.lit(345600.0), "sqrtA": F.lit(5153.7), "Io": F.lit(0.96)})
     rec = [("ev", "BOAV00BRA", "boav", date(2024, 10, 10), 2.8, -60.7, 50.0), ("ev", "NOPH00XXX", "noph", date(2024, 10, 10), 1.0, 1.0, 1.0),
-           ("ev", "ZERO00XXX", "zero", date(2024, 10, 10), 0.0, 0.0, 0.0), ("ev", "LATE00XXX", "late", date(2024, 10, 20), 1.0, 1.0, 1.0)]
+           ("ev", "ZERO00XXX", "zero", date(2024, 10, 10), 0.0, 0.0, 0.0), ("ev", "LATE00XXX", "late", date(2024, 10, 20), 1.0, 1.0, 1.0),
+           ("ev", "RUSS00XXX", "russ", date(2024, 10, 10), 1.0, 1.0, 1.0), ("ev", "NOPO00XXX", "nopo", date(2024, 10, 10), 0.0, 0.0, 0.0)]
     records = spark.createDataFrame(rec, "event_id string, station_id string, station_code4 string, observation_date date, lat double, lon double, height_m double")
-    records = records.withColumns({f"header_{c}": F.lit(None).cast("double") for c in "xyz"})
+    records = records.withColumns({**{f"header_{c}": F.lit(None).cast("double") for c in "xyz"}, "source": F.lit("net"), "obs_path": F.concat("station_id", F.lit(".obs"))})
     events = spark.createDataFrame([("ev", DAY, DAY + timedelta(hours=48))], "event_id string, start_utc timestamp, end_utc timestamp")
     return build_links(obs_df, eph_df, records, events), raw, sats, events
 
@@ -127,7 +129,21 @@ def test_links_match_the_written_steps(world):
         assert (r.roti is None) == (roti is None) and (roti is None or r.roti == pytest.approx(roti, abs=1e-4))
     d = {r.sv: (r.input_epoch_count, r.accepted_epoch_count, r.mw_break_count, r.gf_break_count) for r in diagnostics.collect()}
     assert d == counts and sum(c[2] + c[3] for c in counts.values()) > 0
-    assert {r.station_id: r.reason for r in failures.collect()} == {"NOPH00XXX": "missing_phase_pair", "ZERO00XXX": "empty_observations"}
+    failed = failures.collect()
+    assert {r.station_id: r.reason for r in failed} == {
+        "NOPH00XXX": "missing_phase_pair", "ZERO00XXX": "empty_observations", "LATE00XXX": "out_of_window",
+        "RUSS00XXX": "empty_gps_rows", "NOPO00XXX": "missing_station_position",
+    }
+    assert failures.columns == ["event_id", "station_id", "observation_date", "source", "obs_path", "nav_path", "stage", "reason", "detail"]
+    assert {(r.source, r.obs_path, r.nav_path) for r in failed if r.station_id == "LATE00XXX"} == {("net", "LATE00XXX.obs", None)}
+    assert all(r.detail == fixed.DAY_REASONS[r.reason] for r in failed)
+
+
+def test_the_three_tables_are_cut_from_one_stored_table(world):
+    for df in world[0]:
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert "MapInPandas" not in plan and plan.count("Exchange") <= 6, plan
+    assert "Exchange" not in world[0].links._jdf.queryExecution().executedPlan().toString()
 
 
 def test_reasons_name_the_first_failing_step(spark, world):
