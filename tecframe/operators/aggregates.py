@@ -36,7 +36,7 @@ def grid_links(
     )
     return grouped_median(
         cells, [*by, "time", "lat", "lon"], {"vtec": "vtec", "roti": "roti"},
-        extra=[F.count("sv").alias("sample_count")],
+        counts={"sample_count": "sv"},
     )
 
 
@@ -59,7 +59,7 @@ def grid_links_floor(
     grid = grouped_median(
         cells, ["time", "event_id", "lat_bin", "lon_bin"],
         {"vtec_median": "vtec", "roti_median": "roti"},
-        extra=[F.count("sv").alias("sample_count")],
+        counts={"sample_count": "sv"},
     )
     gaps = missing_times(cells, events, cadence_min).select(
         "time", "event_id",
@@ -219,7 +219,7 @@ def cell_stats(cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Mean, median, deviation and count per cell."""
     return grouped_median(
         cells, keys, {"median": value},
-        extra=[F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count(value).alias("samples")],
+        counts={"samples": value}, extra=[F.avg(value).alias("mean"), F.stddev_pop(value).alias("std")],
     )
 
 

@@ -15,6 +15,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of a batch may be long texts
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    # call sites of every expression cost more than building the plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -50,6 +50,20 @@ def test_both_ways_agree_for_one_huge_group_nan_and_infinities(spark):
     assert ranked["bunched"][0] == np.percentile([a for g, a, _ in rows if g == "bunched"], 50)
 
 
+def test_all_metrics_share_one_scan(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 7 AS g", "CAST(id AS DOUBLE) AS a", "CAST(id % 13 AS DOUBLE) AS b", "IF(id % 3 = 0, NULL, id) AS c").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = grouped_quantiles(df, ["g"], {"x": ("a", 0.5), "y": ("b", 0.9), "z": ("a", 0.1)}, counts={"n": "c"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    frame = df.toPandas().groupby("g")
+    got = out.toPandas().set_index("g").sort_index()
+    for name, column, p in (("x", "a", 0.5), ("y", "b", 0.9), ("z", "a", 0.1)):
+        assert np.allclose(got[name], frame[column].quantile(p))
+    assert got["n"].tolist() == frame["c"].count().tolist()
+    scans = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Window") <= 6 and scans.count("FileScan") <= 2  # the second one reads a reused exchange
+
+
 def test_no_job_runs_while_planning(spark):
     df = spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS v")
     spark.sparkContext.setJobGroup("planning", "planning")
