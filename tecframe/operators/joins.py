@@ -134,6 +134,44 @@ def tag_windows(
     return rows.join(laid, cond, how).drop("_slot")
 
 
+# widths of the slots that intervals are laid on: powers of four days
+_LEVELS, _DAY = 10, 86_400_000_000
+
+
+def _holding(intervals: DataFrame, points: DataFrame, start: str, end: str, at: str) -> DataFrame:
+    """Every interval [start, end] with the points in it, in microseconds.
+
+    An interval lies on slots at least as wide as itself, so on two at most
+    (longer than the widest slot: on as many as it spans); a point is looked up
+    once for each width.
+    """
+    widths = F.array(*[F.lit(_DAY * 4**k) for k in range(_LEVELS)])
+    length = F.col(end) - F.col(start)
+    fits = F.filter(F.sequence(F.lit(0), F.lit(_LEVELS - 1)), lambda k: F.element_at(widths, k + 1) >= length)
+    laid = intervals.withColumn("_level", F.coalesce(F.get(fits, F.lit(0)), F.lit(_LEVELS - 1)))
+    width = F.element_at(widths, F.col("_level") + 1)
+    laid = laid.withColumn("_slot", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
+    looked = points.select("*", F.posexplode(widths).alias("_level", "_width"))
+    looked = looked.withColumn("_slot", F.floor(F.col(at) / F.col("_width"))).drop("_width")
+    both = looked.join(laid, ["_level", "_slot"])
+    return both.filter((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))).drop("_level", "_slot")
+
+
+def overlapping(files: DataFrame, events: DataFrame) -> DataFrame:
+    """Every pair of a file (start, end) and an event (start_utc, end_utc) that overlap, once; ends belong to both.
+
+    A pair belongs to the later one of the two starts: the event's start lies
+    in the file, or the file's start lies in the event, after its start.
+    Intervals that end before they start overlap nothing.
+    """
+    f = files.withColumns({"_a": micros("start"), "_b": micros("end")}).filter("_a <= _b")
+    e = events.withColumns({"_s": micros("start_utc"), "_e": micros("end_utc")}).filter("_s <= _e")
+    columns = [*events.columns, *files.columns]
+    later_event = _holding(f, e, "_a", "_b", "_s").select(*columns)
+    later_file = _holding(e, f, "_s", "_e", "_a").filter("_a > _s").select(*columns)
+    return later_event.union(later_file)
+
+
 def best_cover(
     files: DataFrame,
     events: DataFrame,
@@ -146,15 +184,7 @@ def best_cover(
 
     ``files`` has start and end, ``events`` has start_utc and end_utc.
     """
-    laid_files = files.withColumn(
-        "_day", F.explode(F.sequence(F.to_date("start"), F.to_date("end")))
-    )
-    laid_events = events.withColumn(
-        "_day", F.explode(F.sequence(F.to_date("start_utc"), F.to_date("end_utc")))
-    )
-    both = laid_events.join(laid_files, "_day").filter(
-        (F.col("start") <= F.col("end_utc")) & (F.col("end") >= F.col("start_utc"))
-    )
+    both = overlapping(files.select(kind, name, "start", "end"), events.select(*event_keys, "start_utc", "end_utc"))
     width = micros("end") - micros("start")
     return both.groupBy(*event_keys, kind).agg(
         F.min_by(F.struct(name, "start", "end"), F.struct(width, F.col(name))).alias("_best")

@@ -65,22 +65,22 @@ def top_satellites(cov: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
     return rank_satellites(cov.filter("qualified"), by).filter(F.col("rank") <= k)
 
 
-def require_top(cov: DataFrame, k: int) -> None:
-    """Raises when a station has fewer than k qualified satellites.
+def too_few(cov: DataFrame, k: int, station: str) -> DataFrame:
+    """(problem): says so where a station has fewer than k qualified satellites, with the eight best coverage lines."""
+    text = F.format_string("%s: score=%d, vtec=%d, roti=%d, longest_arc=%d", "sv", "score", "valid_vtec", "valid_roti", "longest_arc")
+    line = F.struct((-F.col("score")).alias("a"), (-F.col("longest_arc")).alias("b"), "sv", text.alias("t"))
+    # a station sees a few dozen satellites
+    found = cov.agg(F.count_if("qualified").alias("n"), F.slice(F.sort_array(F.collect_list(line)), 1, 8).alias("best"))
+    lines = F.when(F.size("best") == 0, F.lit("no candidate satellites")).otherwise(F.array_join(F.transform("best", lambda b: b["t"]), "; "))
+    short = F.concat(F.lit(f"station {station} has only "), F.col("n").cast("string"), F.lit(" qualified satellites. Coverage: "), lines)
+    return found.select(F.when(F.col("n") < k, short).alias("problem"))
 
-    The message carries the eight best coverage lines.
-    """
-    found = cov.filter("qualified").limit(k).count()
-    if found >= k:
-        return
-    best = cov.orderBy(F.desc("score"), F.desc("longest_arc"), F.asc("sv")).limit(8)
-    lines = [
-        f"{r.sv}: score={r.score}, vtec={r.valid_vtec}, roti={r.valid_roti}, longest_arc={r.longest_arc}"
-        for r in best.collect()
-    ]
-    raise ValueError(
-        f"only {found} qualified satellites. Coverage: " + ("; ".join(lines) or "no candidate satellites")
-    )
+
+def require_top(cov: DataFrame, k: int) -> None:
+    """Raises at once when a station has fewer than k qualified satellites."""
+    problem = too_few(cov, k, "here").first().problem
+    if problem:
+        raise ValueError(problem)
 
 
 def select_station_days(

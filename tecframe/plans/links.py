@@ -13,6 +13,7 @@ from tecframe.functions import geodesy, signal
 from tecframe.functions.arrays import pick_pair
 from tecframe.functions.timefn import utc_hour
 from tecframe.operators import aggregates, joins, predicates, sequences, sets, slips
+from tecframe.operators.assertions import refuse
 from tecframe.session import settle
 from tecframe.sources.tables import with_chunks
 
@@ -222,11 +223,17 @@ def build_grid(
     step: float = fixed.GRID_STEP_DEG, cadence_min: int = fixed.GRID_CADENCE_MIN,
     dense: bool = True,
 ) -> GridTables:
-    """Median grid, its dense hourly cube and the catalog of the hourly products."""
+    """Median grid, its dense hourly cube and the catalog of the hourly products.
+
+    Reading the grid fails where an event has no links at all.
+    """
+    without = events.join(links, "event_id", "left_anti").agg(F.min("event_id").alias("e"))
+    problem = without.select(F.when(F.col("e").isNotNull(), F.concat(F.lit("no valid links of event "), "e")).alias("problem"))
     grid = aggregates.grid_links(
         links, bbox=bbox, lat_step=step, lon_step=step, cadence_min=cadence_min,
         by=["event_id"],
     )
+    grid = refuse(grid, problem)
     body = (
         aggregates.densify(grid, events, bbox=bbox, lat_step=step, lon_step=step,
                            cadence_min=cadence_min, by=["event_id"])
@@ -238,27 +245,75 @@ def build_grid(
     return GridTables(grid, cube, products)
 
 
+def one_station(links: DataFrame, station: str, start: Column, end: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows of the station with the lowest (code, id) that the identifier fits, inside the window; problems)."""
+    names = predicates.identifiers(station)
+    if not names:
+        raise ValueError("a station identifier is required")
+    fits = F.upper("station_id").isin(names) | F.upper("station_code4").isin(names)
+    found = predicates.in_window(links.filter(F.coalesce(fits, F.lit(False))), start, end)
+    key = F.struct(F.coalesce(F.upper("station_code4"), F.lit("")), F.col("station_id"))
+    lowest = found.agg(F.min(key).alias("_key")).scalar()
+    missing = found.agg(F.count(F.lit(1)).alias("n")).select(
+        F.when(F.col("n") == 0, F.lit(f"no rows of station {station} in the window")).alias("problem")
+    )
+    return found.filter(key == lowest), missing
+
+
+def station_days_problems(records: DataFrame, station: str, start: Column, end: Column) -> DataFrame:
+    """What speaks against one station over all days of the window: a day without it, or another id or code on a later day.
+
+    records: observation_date, station_id, station_code4; of several rows of a
+    day the lowest (code, id) counts.
+    """
+    names = predicates.identifiers(station)
+    fits = F.upper("station_id").isin(names) | F.upper("station_code4").isin(names)
+    code = F.upper("station_code4")
+    own = records.filter(F.coalesce(fits, F.lit(False))).groupBy(F.to_date("observation_date").alias("day")).agg(F.min(F.struct(code.alias("code"), F.col("station_id").alias("id"))).alias("s"))
+    days = records.sparkSession.range(1).select(F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("day"))
+    judged = days.join(own, "day", "left").agg(
+        F.min(F.when(F.col("s").isNull(), F.col("day"))).alias("gap"),
+        F.count_distinct("s.id").alias("ids"), F.count_distinct("s.code").alias("codes"),
+    )
+    return judged.select(
+        F.when(F.col("gap").isNotNull(), F.concat(F.lit(f"no row of station {station} on "), F.col("gap").cast("string")))
+        .when(F.col("ids") > 1, F.lit(f"the id of station {station} changes within the window"))
+        .when(F.col("codes") > 1, F.lit(f"the code of station {station} changes within the window"))
+        .alias("problem")
+    )
+
+
 def build_series(
     links: DataFrame, station: str, start: Column, end: Column, *,
-    satellites: Sequence[str] | None = None, k: int = 2,
+    satellites: Sequence[str] | None = None, k: int = 2, records: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(series of the chosen satellites with UTC hours, ranked coverage) of one station."""
-    names = predicates.identifiers(station)
-    mine = links.filter(F.upper("station_id").isin(names) | F.upper("station_code4").isin(names))
-    inside = predicates.in_window(mine, start, end)
+    """(series of the chosen satellites with UTC hours, ranked coverage) of one station.
+
+    Reading the series fails where the station has no rows in the window, has
+    fewer than ``k`` qualified satellites, or lacks one of the named ``satellites``;
+    with ``records``, also where a day of the window is without the station or
+    its id or code changes.
+    """
+    if satellites is not None and not satellites:
+        raise ValueError("satellites must not be empty")
+    inside, problems = one_station(links, station, start, end)
     cov = sets.rank_satellites(aggregates.coverage(inside, ["station_id", "sv"]), ["station_id"])
     if satellites is None:
         best = sets.top_satellites(cov.drop("rank"), k, ["station_id"])
         chosen = inside.join(best.select("station_id", "sv"), ["station_id", "sv"], "left_semi")
+        more = sets.too_few(cov, k, station)
     else:
-        chosen = joins.only_satellites(inside, list(satellites))
-    return (
-        chosen.select(
-            "time", utc_hour("time", start).alias("utc_hour"), "station_id", "station_code4", "sv",
-            "vtec", "roti", "arc_id",
-        ),
-        cov,
+        named = [s.upper() for s in satellites]
+        chosen = joins.only_satellites(inside, named)
+        seen = inside.agg(F.collect_set("sv").alias("have"))  # a station sees a few dozen satellites
+        absent = F.filter(F.array(*[F.lit(n) for n in named]), lambda n: ~F.array_contains("have", n))
+        more = seen.select(F.when(F.size(absent) > 0, F.concat(F.lit(f"station {station} has no data of satellites "), F.array_join(absent, ","))).alias("problem"))
+    problems = problems.union(more) if records is None else problems.union(more).union(station_days_problems(records, station, start, end))
+    series = chosen.select(
+        "time", utc_hour("time", start).alias("utc_hour"), "station_id", "station_code4", "sv",
+        "vtec", "roti", "arc_id",
     )
+    return refuse(series, problems), cov
 
 
 def write_station_series(links: DataFrame, root: str) -> None:

@@ -72,28 +72,35 @@ def build_overlay(
 
     scenes: scene_id, midpoint, cha_time, chb_time. Explicit pairs replace the
     nearest-time pairing. ``by`` names the event column where the tables hold
-    more than one event.
+    more than one event (explicit pairs have it, too). An event without slices
+    or scenes, or without pairs within the tolerance, has one skipped row that
+    says so.
     """
+    by = list(by)
     if explicit is None:
         found = pair_nearest(
             slices, scenes, spec.tolerance_min * 60.0, by, left_id="slice_id", right_id="scene_id",
             right_time="midpoint",
         ).select(
-            F.col("left_id").alias("slice_id"), F.col("right_id").alias("scene_id"),
+            *by, F.col("left_id").alias("slice_id"), F.col("right_id").alias("scene_id"),
             F.col("left_time").alias("gnss_time"), F.col("right_time").alias("gold_time"),
             F.col("delta_sec").alias("delta_seconds"), F.lit("ready").alias("status"), F.lit("").alias("detail"),
         )
     else:
         found = joins.explicit_pairs(explicit, slices, scenes).select(
-            "slice_id", "scene_id", "gnss_time", "gold_time", "delta_seconds", "status", "detail"
+            *by, "slice_id", "scene_id", "gnss_time", "gold_time", "delta_seconds", "status", "detail"
         )
+    state = event_state(slices, scenes, found, by)
+    keyed = lambda df: df.withColumn("_k", F.to_json(F.struct(*[F.col(b).alias(f"k{i}") for i, b in enumerate(by)])) if by else F.lit(""))
+    both = state.filter("has_slices AND has_scenes").select("_k")
+    found = keyed(found).join(both, "_k", "left_semi").drop("_k")
     points = slice_points(slices, spec, bbox)
     counts = points.groupBy("slice_id").agg(F.count(F.lit(1)).alias("_n"))
     judged = found.join(counts, "slice_id", "left")
     n = F.coalesce("_n", F.lit(0))
     removed = (F.col("status") == "ready") & (n == 0)
     pairs = judged.select(
-        F.lit(spec.name).alias("overlay_name"), F.lit(spec.metric).alias("metric"),
+        F.lit(spec.name).alias("overlay_name"), F.lit(spec.metric).alias("metric"), *by,
         "slice_id", "scene_id", "gnss_time", "gold_time", "delta_seconds",
         F.when(removed, F.lit("skipped")).otherwise(F.col("status")).alias("status"),
         F.when(removed, F.lit("threshold_removed_all_pixels")).otherwise(F.col("detail")).alias("detail"),
@@ -101,20 +108,26 @@ def build_overlay(
         F.when(n > 0, threshold_label(spec.metric, spec.threshold, n)).alias("label"),
     )
     used = pairs.filter(F.col("status") == "ready").select("slice_id")
-    return OverlayTables(pairs, points.join(used, "slice_id", "left_semi"))
-
-
-def overlay_status(pairs: DataFrame, slices: DataFrame, scenes: DataFrame, spec: OverlaySpec) -> DataFrame:
-    """The pair rows, or the one row that says why there are none."""
-    empty = slices.isEmpty() or scenes.isEmpty()
-    detail = "missing_gnss_or_gold" if empty else "no_pairs_within_tolerance"
-    if not empty and not pairs.isEmpty():
-        return pairs
-    one = pairs.sparkSession.range(1).select(
-        F.lit(spec.name).alias("overlay_name"), F.lit(spec.metric).alias("metric"),
-        F.lit("skipped").alias("status"), F.lit(detail).alias("detail"),
+    reason = F.when(~(F.col("has_slices") & F.col("has_scenes")), F.lit("missing_gnss_or_gold"))
+    if explicit is None:
+        reason = reason.when(~F.col("has_pairs"), F.lit("no_pairs_within_tolerance"))
+    reasons = state.withColumn("detail", reason).filter(F.col("detail").isNotNull()).select(
+        F.lit(spec.name).alias("overlay_name"), F.lit(spec.metric).alias("metric"), *by, F.lit("skipped").alias("status"), "detail"
     )
-    return pairs.limit(0).unionByName(one, allowMissingColumns=True)
+    return OverlayTables(pairs.unionByName(reasons, allowMissingColumns=True), points.join(used, "slice_id", "left_semi"))
+
+
+def event_state(slices: DataFrame, scenes: DataFrame, found: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by, _k, has_slices, has_scenes, has_pairs of every event; without ``by``, of the one event there is."""
+    none, some = F.lit(False), F.lit(True)
+    sides = [df.select(*by, *flags) for df, flags in ((slices, (some, none, none)), (scenes, (none, some, none)), (found, (none, none, some)))]
+    if not by:
+        sides.append(slices.sparkSession.range(1).select(none, none, none))
+    rows = sides[0].toDF(*by, "has_slices", "has_scenes", "has_pairs")
+    for side in sides[1:]:
+        rows = rows.union(side)
+    key = F.to_json(F.struct(*[F.col(b).alias(f"k{i}") for i, b in enumerate(by)])) if by else F.lit("")
+    return rows.groupBy(*by, key.alias("_k")).agg(*[F.bool_or(c).alias(c) for c in ("has_slices", "has_scenes", "has_pairs")])
 
 
 def build_panel(

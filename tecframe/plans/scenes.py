@@ -10,6 +10,7 @@ from tecframe import fixed
 from tecframe.functions.arrays import pick_nearest
 from tecframe.functions.timefn import delta_minutes, midpoint
 from tecframe.operators import aggregates, predicates
+from tecframe.operators.assertions import refuse_empty
 from tecframe.operators.pairing import pair_nearest, unmatched
 
 
@@ -24,6 +25,7 @@ def build_scenes(
     """Pairs of the two hemispheres, per archive and UTC date.
 
     entries: tar_path, member, hemisphere, obs_time; a member name is unique.
+    Reading the scenes fails where there is none at all.
     """
     dated = entries.withColumn("obs_day", F.to_date("obs_time"))
     side = lambda h: dated.filter(F.col("hemisphere") == h)
@@ -40,7 +42,7 @@ def build_scenes(
     rest = unmatched(entries, pairs, entry_id="member")
     if events is not None:
         scenes = predicates.on_event_days(scenes, events)
-    return SceneTables(scenes, rest)
+    return SceneTables(refuse_empty(scenes, "no scene pairs in the archives"), rest)
 
 
 def build_pixels(

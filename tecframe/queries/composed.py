@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tecframe.functions.timefn import floor_time, gps_seconds_of_week, gps_week
 from tecframe.operators import slips
-from tecframe.plans.links import LinkParams, build_grid, build_links, build_series, finish_tracks
+from tecframe.plans.links import LinkParams, build_grid, build_links, build_series, finish_tracks, write_station_series
 from tecframe.queries.aggregation import VALUE_LINKS, event_bounds, value_links
 from tecframe.queries.base import LINKS, RATES, TRACK, Tables, full_links, links, query, r6
 from tecframe.queries.tracks import SLIP_PARAMS, SLIPS, as_phases
+from tecframe.session import scratch_dir
 
 
 @query("p03_link_tracks", f"""
@@ -204,3 +205,19 @@ def p05(t: Tables) -> DataFrame:
     at = lambda s: F.lit(s).cast("timestamp")
     series, _ = build_series(rows, "s1", at("2024-01-03 12:00:00"), at("2024-01-25 12:00:00"), k=2)
     return series.select("time", r6("utc_hour").alias("utc_hour"), "station_id", "sv", "vtec", r6("roti").alias("roti"), "arc_id")
+
+
+@query("p04_station_tables", f"""
+WITH {RATES}, f AS (SELECT *, CASE WHEN stec >= 20 THEN stec END AS vtec FROM full_links)
+SELECT strftime(period, '%Y-%m') AS event_id, 'vtec' AS metric, time, station_id, sv, vtec AS value FROM f WHERE vtec IS NOT NULL
+UNION ALL SELECT strftime(period, '%Y-%m'), 'roti', time, station_id, sv, round(roti, 6) + 0.0::DOUBLE FROM f WHERE roti IS NOT NULL
+""")
+def p04_station_tables(t: Tables) -> DataFrame:
+    rows = full_links(t).withColumns(
+        {"vtec": F.when(F.col("stec") >= 20, F.col("stec")), "station_code4": F.substring("station_id", 1, 4), "event_id": F.date_format("period", "yyyy-MM")}
+    )
+    root = scratch_dir(t.spark, "series")
+    write_station_series(rows, root)
+    read = lambda m: t.spark.read.schema(f"time timestamp, station_id string, sv string, {m} double, event_id string").parquet(f"{root}/{m}")
+    part = lambda m, v: read(m).select("event_id", F.lit(m).alias("metric"), "time", "station_id", "sv", v.alias("value"))
+    return part("vtec", F.col("vtec")).union(part("roti", r6("roti")))

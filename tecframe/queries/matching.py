@@ -357,8 +357,13 @@ def overlay_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query("p09_overlay_pairs", f"""
 WITH RECURSIVE {OVERLAY}, {greedy_sql('g', 's1', 'g1', 'event', 15 * 60_000_000)},
-n AS (SELECT id, count(*) AS n FROM bins GROUP BY 1)
-SELECT l AS slice_id, r AS scene_id, lt AS gnss_time, rt AS gold_time, d / 1e6 AS delta_seconds, CASE WHEN n.n IS NULL THEN 'skipped' ELSE 'ready' END AS status,
+n AS (SELECT id, count(*) AS n FROM bins GROUP BY 1),
+state AS (SELECT event, bool_or(s) AS s, bool_or(g) AS g FROM (SELECT event, true AS s, false AS g FROM s1 UNION ALL SELECT event, false, true FROM g1) GROUP BY 1)
+SELECT event, NULL AS slice_id, NULL AS scene_id, NULL AS gnss_time, NULL AS gold_time, NULL AS delta_seconds, 'skipped' AS status,
+       CASE WHEN s AND g THEN 'no_pairs_within_tolerance' ELSE 'missing_gnss_or_gold' END AS detail, NULL AS points
+FROM state WHERE NOT (s AND g) OR event NOT IN (SELECT event FROM g_walk WHERE taken)
+UNION ALL
+SELECT event, l AS slice_id, r AS scene_id, lt AS gnss_time, rt AS gold_time, d / 1e6 AS delta_seconds, CASE WHEN n.n IS NULL THEN 'skipped' ELSE 'ready' END AS status,
        CASE WHEN n.n IS NULL THEN 'threshold_removed_all_pixels' ELSE '' END AS detail, coalesce(n.n, 0) AS points FROM g_walk LEFT JOIN n ON n.id = l WHERE taken
 """)
 def p09(t: Tables) -> DataFrame:
@@ -375,3 +380,42 @@ def p09_points(t: Tables) -> DataFrame:
     slices, scenes = overlay_tables(t)
     out = build_overlay(slices, scenes, OverlaySpec(threshold=0.15), by=["event"])
     return out.points.select("slice_id", r6("lon").alias("lon"), r6("lat").alias("lat"))
+
+
+@query("p09_overlay_status", f"""
+WITH {OVERLAY},
+sd AS (SELECT id, time, CAST(CAST(time AS DATE) AS VARCHAR) AS event FROM s), gd AS (SELECT id, time, CAST(CAST(time AS DATE) AS VARCHAR) AS event FROM g),
+state AS (SELECT event, bool_or(s) AS s, bool_or(g) AS g FROM (SELECT event, true AS s, false AS g FROM sd UNION ALL SELECT event, false, true FROM gd) GROUP BY 1)
+SELECT event, 'skipped' AS status, CASE WHEN s AND g THEN 'no_pairs_within_tolerance' ELSE 'missing_gnss_or_gold' END AS detail
+FROM state WHERE NOT (s AND g) OR NOT EXISTS (SELECT 1 FROM sd JOIN gd USING (event) WHERE sd.event = state.event AND abs(epoch_us(sd.time) - epoch_us(gd.time)) <= 30000000)
+""")
+def p09_status(t: Tables) -> DataFrame:
+    slices, scenes = overlay_tables(t)
+    day = lambda df, c: df.withColumn("event", F.to_date(c).cast("string"))
+    out = build_overlay(day(slices, "time"), day(scenes, "midpoint"), OverlaySpec(threshold=0.15, tolerance_min=0.5), by=["event"])
+    return out.pairs.filter("slice_id IS NULL").select("event", "status", "detail")
+
+
+@query("p09_overlay_explicit", f"""
+WITH {OVERLAY},
+spec AS (SELECT event_id, ts AS a, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 2 MINUTES ELSE ts + INTERVAL 1 MINUTE END AS b,
+         TIMESTAMP '2024-01-01' + to_minutes(CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END + event_id % 100 * 47) AS gnss_time FROM events WHERE event_type = 'purchase'),
+n AS (SELECT id, count(*) AS n FROM bins GROUP BY 1),
+j AS (SELECT gnss_time, make_timestamp((epoch_us(a) + epoch_us(b)) // 2) AS gold_time, s.id AS slice_id, CASE WHEN g.ts IS NOT NULL THEN g.id END AS scene_id
+      FROM spec LEFT JOIN s ON s.time = gnss_time LEFT JOIN (SELECT max(event_id) AS id, ts, ts + INTERVAL 1 MINUTE AS e FROM events WHERE event_type = 'purchase' GROUP BY ts) g ON g.ts = a AND g.e = b)
+SELECT slice_id, scene_id, gnss_time, gold_time,
+       CASE WHEN slice_id IS NULL OR scene_id IS NULL OR n.n IS NULL THEN 'skipped' ELSE 'ready' END AS status,
+       CASE WHEN slice_id IS NULL AND scene_id IS NULL THEN 'explicit_pair_missing_gnss_and_gold' WHEN slice_id IS NULL THEN 'explicit_pair_missing_gnss'
+            WHEN scene_id IS NULL THEN 'explicit_pair_missing_gold' WHEN n.n IS NULL THEN 'threshold_removed_all_pixels' ELSE '' END AS detail, coalesce(n.n, 0) AS points
+FROM j LEFT JOIN n ON n.id = slice_id
+""", texts=("slice_id", "scene_id"))
+def p09_explicit(t: Tables) -> DataFrame:
+    slices, scenes = overlay_tables(t)
+    minutes = lambda n: F.make_dt_interval(mins=n)
+    scenes = scenes.withColumns({"cha_time": F.col("midpoint"), "chb_time": F.col("midpoint") + minutes(F.lit(1))}).drop("event")
+    asked = t.events.filter("event_type = 'purchase'").select(
+        F.col("ts").alias("gold_cha_time"), (F.col("ts") + minutes(F.when(F.col("event_id") % 3 == 0, 2).otherwise(1))).alias("gold_chb_time"),
+        (F.lit("2024-01-01").cast("timestamp") + minutes((F.when(F.col("event_id") % 4 == 0, 1).otherwise(0) + F.col("event_id") % 100 * 47).cast("int"))).alias("gnss_time"),
+    )
+    out = build_overlay(slices.drop("event"), scenes, OverlaySpec(threshold=0.15), explicit=asked)
+    return out.pairs.select("slice_id", "scene_id", "gnss_time", "gold_time", "status", "detail", "points")

@@ -39,12 +39,32 @@ def parse_file_list(docs: DataFrame, yy: str, *, column: str = "text") -> DataFr
     )
 
 
-def parse_placemarks(docs: DataFrame, *, column: str = "kml") -> DataFrame:
-    """Named points of a map file; marks without a name or three coordinates drop out."""
-    block = F.explode(F.regexp_extract_all(column, F.lit(r"(?s)<Placemark[^>]*>(.*?)</Placemark>"), 1))
-    marks = docs.select(block.alias("b"))
-    name = F.trim(F.regexp_extract("b", r"(?s)<name[^>]*>(.*?)</name>", 1))
-    xyz = F.split(F.regexp_extract("b", r"(?s)<coordinates[^>]*>\s*(.*?)\s*</coordinates>", 1), ",")
+def _folder(depth: int) -> str:
+    """Schema of a container of placemarks with so many levels of containers inside."""
+    point = "struct<coordinates:string>"
+    marks = f"Placemark:array<struct<name:string,Point:{point},MultiGeometry:struct<Point:array<{point}>>>>"
+    inner = f",Folder:array<{_folder(depth - 1)}>,Document:array<{_folder(depth - 1)}>" if depth else ""
+    return f"struct<{marks}{inner}>"
+
+
+def parse_placemarks(docs: DataFrame, *, column: str = "kml", depth: int = 4) -> DataFrame:
+    """Named points of a map file; marks without a name or three coordinates drop out.
+
+    The files are read by Spark's XML parser: prefixes, entities and CDATA count
+    as XML has them. Folders may be ``depth`` levels deep. A document that is not
+    XML has no points.
+    """
+    options = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+    level = docs.select(F.array(F.from_xml(column, _folder(depth), options)).alias("c"))
+    marks = None
+    for d in range(depth + 1):
+        level = level.select(F.explode("c").alias("c"))
+        here = level.select(F.explode("c.Placemark").alias("m")).select("m.name", F.coalesce("m.Point.coordinates", F.get("m.MultiGeometry.Point.coordinates", F.lit(0))).alias("xyz"))
+        marks = here if marks is None else marks.union(here)
+        if d < depth:
+            none = F.array().cast(f"array<{_folder(depth - d - 1)}>")
+            level = level.select(F.concat(F.coalesce("c.Folder", none), F.coalesce("c.Document", none)).alias("c"))
+    name, xyz = F.trim("name"), F.split(F.trim("xyz"), ",")
     number = lambda i: F.get(xyz, F.lit(i)).try_cast("double")
     return (
         marks.select(

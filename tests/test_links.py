@@ -177,6 +177,43 @@ def test_grid_and_series_of_the_links(spark, world, tmp_path):
     series, cov = build_series(links, "boav", at("2024-10-10 00:30:00"), at("2024-10-10 05:00:00"), k=1)
     assert series.select("sv").distinct().count() == 1
     assert series.agg(F.min("utc_hour")).first()[0] >= 0.5
-    fixed_set, _ = build_series(links, "BOAV00BRA", at("2024-10-10 00:30:00"), at("2024-10-10 05:00:00"), satellites=["G01", "G02"])
-    assert {r.sv for r in fixed_set.select("sv").distinct().collect()} <= {"G01", "G02"}
+    seen = sorted(r.sv for r in cov.collect())
+    fixed_set, _ = build_series(links, "BOAV00BRA", at("2024-10-10 00:30:00"), at("2024-10-10 05:00:00"), satellites=seen)
+    assert sorted(r.sv for r in fixed_set.select("sv").distinct().collect()) == seen
     links.unpersist()
+
+
+def test_series_of_one_station_and_its_refusals(spark):
+    rows = [(DAY + timedelta(minutes=m), s, c, sv, v, 0.1, 0) for s, c in (("BOAV00BRA", "boav"), ("BOAV41636", "BOAV"), ("ZZZZ00XXX", None)) for sv, v in (("G01", 1.0), ("G02", 2.0), ("G03", None)) for m in range(5)]
+    links = spark.createDataFrame(rows, "time timestamp, station_id string, station_code4 string, sv string, vtec double, roti double, arc_id int")
+    at = lambda h: F.lit((DAY + timedelta(hours=h)).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+    series, cov = build_series(links, "boav", at(0), at(1), k=2)
+    assert {(r.station_id, r.sv) for r in series.collect()} == {("BOAV00BRA", "G01"), ("BOAV00BRA", "G02")} and cov.count() == 3
+    assert build_series(links, "ZZZZ00XXX", at(0), at(1), satellites=["g03"])[0].count() == 5
+
+    def refused(text, *args, **more):
+        series, _ = build_series(links, *args, **more)  # planning runs nothing
+        with pytest.raises(Exception, match=text):
+            series.collect()
+
+    refused("no rows of station NONE in the window", "NONE", at(0), at(1))
+    refused("no rows of station boav in the window", "boav", at(5), at(6))
+    refused("only 2 qualified satellites. Coverage: G01: score=10, vtec=5, roti=5, longest_arc=5; G02", "boav", at(0), at(1), k=9)
+    refused("has no data of satellites G30,G31", "boav", at(0), at(1), satellites=["G01", "g30", "G31"])
+    with pytest.raises(ValueError, match="must not be empty"):
+        build_series(links, "boav", at(0), at(1), satellites=[])
+    with pytest.raises(ValueError, match="identifier is required"):
+        build_series(links, " ", at(0), at(1))
+    days = lambda *r: spark.createDataFrame(list(r), "observation_date date, station_id string, station_code4 string")
+    ten, eleven = date(2024, 10, 10), date(2024, 10, 11)
+    fine = days((ten, "BOAV00BRA", "boav"), (ten, "BOAV41636", "BOAV"), (eleven, "BOAV00BRA", "BOAV"))
+    assert build_series(links, "boav", at(0), at(30), records=fine)[0].count() == 10
+    refused("no row of station boav on 2024-10-11", "boav", at(0), at(30), records=days((ten, "BOAV00BRA", "boav")))
+    refused("the id of station boav changes", "boav", at(0), at(30), records=days((ten, "BOAV00BRA", "boav"), (eleven, "BOAV41636", "boav")))
+
+
+def test_an_event_without_links_is_refused(spark, world):
+    (links, _, _), _, _, events = world
+    other = events.withColumn("event_id", F.lit("quiet"))
+    with pytest.raises(Exception, match="no valid links of event quiet"):
+        build_grid(links, events.union(other)).grid.collect()

@@ -12,7 +12,8 @@ from tecframe import fixed
 from tecframe.functions import arrays, geodesy, indices, text, timefn
 from tecframe.operators import aggregates, joins, predicates, sequences, sets, swaths
 from tecframe.plans.omni import highlight
-from tecframe.plans.overlay import OverlaySpec, build_overlay, check_panels, check_slots, overlay_status, slice_points
+from tecframe.plans.overlay import OverlaySpec, build_overlay, check_panels, check_slots, slice_points
+from tecframe.sources import catalogs
 
 UTC = timezone.utc
 T0 = datetime(2024, 10, 10, tzinfo=UTC)
@@ -318,13 +319,47 @@ def test_overlay_points_and_statuses(spark):
     assert got == {0: ("ready", "", 2), 1: ("skipped", "threshold_removed_all_pixels", 0)}
     assert sorted((r.lat, r.lon) for r in out.points.collect()) == [(-10.0, -70.0), (0.0, -60.0)]
     far = scenes.withColumn("midpoint", F.lit("2030-01-01").cast("timestamp"))
-    none = build_overlay(slices, far, OverlaySpec()).pairs
-    assert overlay_status(none, slices, far, OverlaySpec()).first().detail == "no_pairs_within_tolerance"
-    assert overlay_status(none, slices, far.limit(0), OverlaySpec()).first().detail == "missing_gnss_or_gold"
+    why = lambda *tables, **more: [(r.status, r.detail) for r in build_overlay(*tables, OverlaySpec(), **more).pairs.collect()]
+    assert why(slices, far) == [("skipped", "no_pairs_within_tolerance")]
+    assert why(slices, far.limit(0)) == why(slices.limit(0), far) == why(slices.limit(0), far.limit(0)) == [("skipped", "missing_gnss_or_gold")]
+    spec = spark.createDataFrame([(ts(4), ts(6), ts(0)), (ts(4), ts(6), ts(9))], "gold_cha_time timestamp, gold_chb_time timestamp, gnss_time timestamp")
+    assert sorted(why(slices, scenes, explicit=spec)) == [("ready", ""), ("skipped", "explicit_pair_missing_gnss")]
+    assert why(slices, scenes.limit(0), explicit=spec) == [("skipped", "missing_gnss_or_gold")]
+    named = lambda df, event: df.withColumn("event", F.lit(event))
+    both = build_overlay(named(slices, "a").union(named(slices.withColumn("slice_id", F.col("slice_id") + 10), "b")), named(scenes, "a").union(named(far, "c")), OverlaySpec(), by=["event"])
+    assert sorted((r.event, r.slice_id or 0, r.detail) for r in both.pairs.collect()) == [("a", 0, ""), ("a", 1, "threshold_removed_all_pixels"), ("b", 0, "missing_gnss_or_gold"), ("c", 0, "missing_gnss_or_gold")]
     wide = slice_points(slices, OverlaySpec(bin_deg=30.0)).collect()
     assert sorted((r.slice_id, r.lat, r.lon) for r in wide) == [(0, -5.0, -75.0), (0, -5.0, -45.0)]
 
 
+def test_long_intervals_are_not_copied_by_day(spark):
+    rng = random.Random(4)
+    day = lambda d: T0 + timedelta(days=d)
+    spans = [(rng.randint(0, 4000), rng.choice([0, 1, 3, 30, 400, 3000])) for _ in range(150)]
+    files = spark.createDataFrame([(f"k{i % 3}", f"f{i}", day(a), day(a + n)) for i, (a, n) in enumerate(spans)] + [("k0", "bad", day(5), day(4)), ("k0", "none", None, day(4))], "kind string, name string, start timestamp, end timestamp")
+    events = spark.createDataFrame([(f"e{i}", day(a), day(a + n)) for i, (a, n) in enumerate(spans[::-1][:60])], "event_id string, start_utc timestamp, end_utc timestamp")
+    got = sorted((r.event_id, r.name) for r in joins.overlapping(files, events).collect())
+    want = sorted((f"e{i}", f"f{j}") for i, (a, n) in enumerate(spans[::-1][:60]) for j, (b, m) in enumerate(spans) if a <= b + m and b <= a + n)
+    assert got == want
+    f = files.selectExpr("unix_micros(start) AS _a", "unix_micros(end) AS _b").filter("_a <= _b")
+    laid = joins._holding(f, f.select(F.col("_a").alias("_p")), "_a", "_b", "_p")
+    copies = [m for m in str(laid._jdf.queryExecution().optimizedPlan().toString()).split("\n") if "Generate" in m]
+    assert len(copies) == 2 and laid.count() == sum(1 for a, n in spans for b, _ in spans if a <= b <= a + n)
+
+
+def test_map_files_as_xml_has_them(spark):
+    mark = lambda p, name, xyz: f"<{p}Placemark id='1'><{p}name>{name}</{p}name><{p}Point><{p}coordinates> {xyz}\n</{p}coordinates></{p}Point></{p}Placemark>"
+    nested = "<Folder><Folder><Document><Folder>" + mark("", "DEEP", "1,2,3") + "</Folder></Document></Folder>" + mark("", "UPPER", "4,5,6") + "</Folder>"
+    docs = [
+        "<?xml version='1.0'?><kml:kml xmlns:kml='http://k'><kml:Document>" + mark("kml:", "boav x", "-60.7,2.8,69.5") + "</kml:Document></kml:kml>",
+        "<kml xmlns='http://k'><Document>" + mark("", "A&amp;B <![CDATA[<i>]]>", "1,2,3") + mark("", "", "1,2,3") + mark("", "two", "1,2") + "</Document></kml>",
+        f"<kml>{nested}</kml>", "<kml>" + mark("", "TOP", "7,8,9") + "<!-- " + mark("", "NOT", "7,8,9") + " --></kml>", "not xml <", "", None,
+    ]
+    df = spark.createDataFrame([(d,) for d in docs], "kml string")
+    got = sorted((r.station_id, r.station_code4, r.lat, r.lon, r.height_m) for r in catalogs.parse_placemarks(df).collect())
+    assert got == sorted([("BOAV X", "boav", 2.8, -60.7, 69.5), ("A&B <I>", "a&b ", 2.0, 1.0, 3.0), ("DEEP", "deep", 2.0, 1.0, 3.0), ("UPPER", "uppe", 5.0, 4.0, 6.0), ("TOP", "top", 8.0, 7.0, 9.0)])
+
+
 def test_bad_panel_slots_fail(spark):
     schema = "kind string, producer string, timestamp timestamp, gold_cha_time timestamp, gold_chb_time timestamp, gnss_time timestamp"
     for row in (("map", "isee", T0, None, None, None), ("gnss_roti", "other", T0, None, None, None), ("gold", None, None, T0, None, None)):

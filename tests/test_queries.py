@@ -43,10 +43,10 @@ def plan_of(df) -> str:
 # sequential rules and archive headers need Python; nothing else may
 PYTHON = {
     "w02_cycle_slips", "a11_slip_diagnostics", "p03_link_tracks", "p03_links_from_observations", "p03_link_failures",
-    "j01_pair_nearest", "j02_unmatched", "p06_swath_scenes", "p09_overlay_pairs", "p09_overlay_points", "s09_archive_index",
+    "j01_pair_nearest", "j02_unmatched", "p06_swath_scenes", "p09_overlay_pairs", "p09_overlay_points", "p09_overlay_status", "s09_archive_index",
 }
 # one-row scalar lookups may gather in one partition
-SINGLE = {"f17_id_else_code"}
+SINGLE = {"f17_id_else_code", "p04_grid_products", "p05_station_series", "p06_swath_scenes"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
