@@ -244,7 +244,9 @@ def test_passages_cover_equal_stretches_and_find_fuzzy_ones(spark, odd, none):
     docs = spark.createDataFrame([(1, "a b c " + " ".join(passage), "k"), (2, "d e " + " ".join(fuzzy) + " tail end", "k"), (3, " ".join(passage[:30]), None), (4, None, None), (5, " ".join(passage), None)], "doc_id long, text string, spans string")
     found = {(r.doc_id, r.source_id): r for r in passages(docs).collect()}
     assert set(found) == {(2, 1), (5, 1), (5, 2)} and found[2, 1].start_word == 2 and found[2, 1].n_words == 78
-    left = {r.doc_id: r.text for r in remove_passages(docs.drop("spans")).collect()}
+    cut = remove_passages(docs).collect()
+    left = {r.doc_id: r.text for r in cut}
+    assert {r.doc_id: r.spans for r in cut} == {1: "k", 2: "k", 3: None, 4: None}
     assert left[2].split() == ["d", "e", "tail", "end"] and 5 not in left and left[1].split()[:3] == ["a", "b", "c"] and left[4] is None
     assert passages(none).collect() == [] and remove_passages(none).collect() == []
     rng = np.random.default_rng(0)
@@ -373,8 +375,24 @@ def test_pipeline_stages(spark, odd, none):
     sets, comp = similar(docs.collect())
     kept = {r.doc_id for r in p.one_of_each_group(spark, docs, FOLDER).collect()}
     assert kept == {i for i, c in comp.items() if i == c}
+    texts = [docs.where(f"doc_id = {i}").first().text for i in sorted(kept)[:2]]
+    twice = spark.createDataFrame([(1, texts[0], "a", "b"), (1, texts[1], "c", "d"), (1, texts[1], "c", "d"), (1, None, "e", "f"), (2, texts[0], "g", "h")], "doc_id long, text string, copy string, spans string")
+    assert sorted((r.copy, r.spans) for r in p.one_of_each_group(spark, twice, FOLDER).collect()) == [("a", "b"), ("c", "d"), ("e", "f")]
     assert p.run(spark, FOLDER).count() > 0
 
 
+def test_training_does_not_gather_the_documents(spark, monkeypatch):
+    """The scan of the documents is no part of the one training task."""
+    from tecframe.llm import toxicity
+
+    stages = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("training", "training")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(6)
+    toxicity.train(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"), 50)
+    tasks = [stages.getStageInfo(s).numTasks for j in stages.getJobIdsForGroup("training") for s in stages.getJobInfo(j).stageIds if stages.getStageInfo(s)]
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert len(tasks) >= 3 and max(tasks) > 1
+
+
 def test_every_number_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
