@@ -247,7 +247,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         chosen = part if chosen is None else chosen.union(part)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select("doc_id", "text", lang.alias("lang")).join(chosen, "doc_id")
-    blob = rows.select("text", "toxic", "lang").coalesce(1).mapInArrow(_fit_task, "model binary").first()
+    # the sample goes to one task; the scan of the documents stays where it is
+    blob = rows.select("text", "toxic", "lang").repartition(1).mapInArrow(_fit_task, "model binary").first()
     return pickle.loads(blob.model) if blob else fit([], np.zeros(0), [])
 
 
