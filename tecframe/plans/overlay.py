@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tecframe import fixed
 from tecframe.functions.arrays import native_step
@@ -91,9 +91,11 @@ def build_overlay(
             *by, "slice_id", "scene_id", "gnss_time", "gold_time", "delta_seconds", "status", "detail"
         )
     state = event_state(slices, scenes, found, by)
-    keyed = lambda df: df.withColumn("_k", F.to_json(F.struct(*[F.col(b).alias(f"k{i}") for i, b in enumerate(by)])) if by else F.lit(""))
-    both = state.filter("has_slices AND has_scenes").select("_k")
-    found = keyed(found).join(both, "_k", "left_semi").drop("_k")
+    both = F.col("has_slices") & F.col("has_scenes")
+    if by:
+        found = found.withColumn("_k", event_key(by)).join(state.filter(both).select("_k"), "_k", "left_semi").drop("_k")
+    else:
+        found = found.filter(state.select(both.alias("both")).scalar())
     points = slice_points(slices, spec, bbox)
     counts = points.groupBy("slice_id").agg(F.count(F.lit(1)).alias("_n"))
     judged = found.join(counts, "slice_id", "left")
@@ -117,8 +119,13 @@ def build_overlay(
     return OverlayTables(pairs.unionByName(reasons, allowMissingColumns=True), points.join(used, "slice_id", "left_semi"))
 
 
+def event_key(by: Sequence[str]) -> Column:
+    """One text for all columns that name an event, missing ones included."""
+    return F.to_json(F.struct(*[F.col(b).alias(f"k{i}") for i, b in enumerate(by)]))
+
+
 def event_state(slices: DataFrame, scenes: DataFrame, found: DataFrame, by: Sequence[str]) -> DataFrame:
-    """by, _k, has_slices, has_scenes, has_pairs of every event; without ``by``, of the one event there is."""
+    """by, _k, has_slices, has_scenes, has_pairs of every event; without ``by``, the flags of the one event there is."""
     none, some = F.lit(False), F.lit(True)
     sides = [df.select(*by, *flags) for df, flags in ((slices, (some, none, none)), (scenes, (none, some, none)), (found, (none, none, some)))]
     if not by:
@@ -126,8 +133,8 @@ def event_state(slices: DataFrame, scenes: DataFrame, found: DataFrame, by: Sequ
     rows = sides[0].toDF(*by, "has_slices", "has_scenes", "has_pairs")
     for side in sides[1:]:
         rows = rows.union(side)
-    key = F.to_json(F.struct(*[F.col(b).alias(f"k{i}") for i, b in enumerate(by)])) if by else F.lit("")
-    return rows.groupBy(*by, key.alias("_k")).agg(*[F.bool_or(c).alias(c) for c in ("has_slices", "has_scenes", "has_pairs")])
+    flags = [F.bool_or(c).alias(c) for c in ("has_slices", "has_scenes", "has_pairs")]
+    return rows.groupBy(*by, event_key(by).alias("_k")).agg(*flags) if by else rows.agg(*flags)
 
 
 def build_panel(

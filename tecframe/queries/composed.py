@@ -193,7 +193,7 @@ def p04(t: Tables) -> DataFrame:
 
 @query("p05_station_series", f"""
 WITH {RATES},
-m AS (SELECT *, CASE WHEN stec >= 20 THEN stec END AS vtec FROM full_links WHERE station_id = 'S1' AND time BETWEEN TIMESTAMP '2024-01-03 12:00:00' AND TIMESTAMP '2024-01-25 12:00:00'),
+m AS (SELECT *, CASE WHEN stec >= 20 THEN stec END AS vtec FROM full_links WHERE station_id = 'S0' AND time BETWEEN TIMESTAMP '2024-01-03 12:00:00' AND TIMESTAMP '2024-01-25 12:00:00'),
 a AS (SELECT sv, arc_id, count(vtec) AS v, count(roti) AS r, count(*) AS n FROM m GROUP BY ALL),
 c AS (SELECT sv, row_number() OVER (ORDER BY sum(v) + sum(r) DESC, max(n) DESC, sv) AS rk FROM a GROUP BY sv HAVING sum(v) > 0 AND sum(r) > 0)
 SELECT time, round((epoch_us(time) - epoch_us(TIMESTAMP '2024-01-03')) / 3.6e9, 6) + 0.0::DOUBLE AS utc_hour, station_id, sv, vtec, round(roti, 6) + 0.0::DOUBLE AS roti, arc_id FROM m WHERE sv IN (SELECT sv FROM c WHERE rk <= 2)
@@ -203,7 +203,7 @@ def p05(t: Tables) -> DataFrame:
         {"vtec": F.when(F.col("stec") >= 20, F.col("stec")), "station_code4": F.substring("station_id", 1, 4)}
     )
     at = lambda s: F.lit(s).cast("timestamp")
-    series, _ = build_series(rows, "s1", at("2024-01-03 12:00:00"), at("2024-01-25 12:00:00"), k=2)
+    series, _ = build_series(rows, "s0", at("2024-01-03 12:00:00"), at("2024-01-25 12:00:00"), k=2)
     return series.select("time", r6("utc_hour").alias("utc_hour"), "station_id", "sv", "vtec", r6("roti").alias("roti"), "arc_id")
 
 

@@ -46,7 +46,7 @@ PYTHON = {
     "j01_pair_nearest", "j02_unmatched", "p06_swath_scenes", "p09_overlay_pairs", "p09_overlay_points", "p09_overlay_status", "s09_archive_index",
 }
 # one-row scalar lookups may gather in one partition
-SINGLE = {"f17_id_else_code", "p04_grid_products", "p05_station_series", "p06_swath_scenes"}
+SINGLE = {"f17_id_else_code", "p04_grid_products", "p05_station_series", "p06_swath_scenes", "p09_overlay_explicit"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
