@@ -78,16 +78,24 @@ def with_chunks(grid: DataFrame, events: DataFrame, cadence_min: int = fixed.GRI
     )
 
 
-def write_hourly(grid: DataFrame, path: str) -> None:
-    """One file per event and hour, written side by side; an empty grid writes no data.
+# rows of one file of an hour, about
+HOUR_ROWS = 2_000_000
 
-    The number of tasks is fixed: merging small partitions would leave one
-    task with all the files.
+
+def write_hourly(grid: DataFrame, path: str, rows: int = HOUR_ROWS) -> None:
+    """A folder per event and hour, written side by side; an empty grid writes no data.
+
+    An hour of more than ``rows`` rows is dealt to as many tasks as it needs
+    files. The number of tasks is fixed: merging small partitions would leave
+    one task with all the files.
     """
     tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.date_format("chunk_start", "yyyyMMdd_HH'00'")
+    hour = ["event_id", "chunk"]
+    keyed = grid.withColumn("chunk", F.date_format("chunk_start", "yyyyMMdd_HH'00'"))
+    sizes = keyed.groupBy(*hour).agg(F.ceil(F.count(F.lit(1)) / rows).alias("_files"))
+    salt = F.pmod(F.xxhash64(*grid.columns), F.col("_files"))
     (
-        grid.withColumn("chunk", key)
-        .repartition(tasks, "event_id", "chunk")
-        .write.mode("overwrite").partitionBy("event_id", "chunk").parquet(path)
+        keyed.join(sizes, hour).withColumn("_salt", salt)
+        .repartition(tasks, *hour, "_salt").drop("_files", "_salt")
+        .write.mode("overwrite").partitionBy(*hour).parquet(path)
     )

@@ -136,3 +136,18 @@ def test_checkpoint_folder_of_the_session_is_kept(spark):
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() == first
     assert scratch_dir(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_full_hour_is_written_by_several_tasks(spark, tmp_path):
+    from tecframe.sources.tables import write_hourly
+
+    rows = spark.range(4000).select(
+        F.lit("ev").alias("event_id"), "id", F.when(F.col("id") < 3800, F.lit("2024-10-10 05:00:00")).otherwise("2024-10-10 06:00:00").cast("timestamp").alias("chunk_start")
+    )
+    write_hourly(rows, str(tmp_path), rows=500)
+    files = lambda hour: len(list((tmp_path / "event_id=ev" / f"chunk=20241010_{hour}00").glob("*.parquet")))
+    assert files("05") >= 4 and files("06") == 1
+    back = spark.read.parquet(str(tmp_path))
+    assert back.count() == 4000 and back.select("id").distinct().count() == 4000
+    write_hourly(rows.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").glob("event_id=*"))
