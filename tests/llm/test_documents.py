@@ -91,13 +91,13 @@ def test_jaccard_join_of_a_large_group_in_rounds(spark, monkeypatch):
     assert got == sorted((i, len(s), comp[i]) for i, s in sets)
 
 
-def test_jaccard_bands_share_a_part():
-    """Sets of all sizes and just enough overlap share a signature."""
+def test_jaccard_bands_share_a_signature():
+    """Sets of all sizes and just enough overlap share a signature, whatever differs, unless too few parts are filled."""
     from tecframe.llm.jaccard_join import band, parts_of, signatures
     from tecframe.llm.tokens import mix
 
     rng = np.random.default_rng(1)
-    for size in [1, 2, 3, 4, 5, 7, 8, 15, 16, 31, 47, 63, 64, 100, 127, 128, 255, 300, 511, 1000, 1500, 3000]:
+    for size in [1, 2, 3, 4, 5, 7, 8, 15, 16, 31, 47, 63, 64, 100, 127, 128, 200, 255, 256, 300, 511, 512, 1000, 1023, 1500, 3000, 5000]:
         for other in {size, max(1, size * 3 // 4), size * 4 // 3}:
             apart = (size + other) // 7
             if (apart - abs(size - other)) % 2:
@@ -108,8 +108,27 @@ def test_jaccard_bands_share_a_part():
             values = mix(rng.integers(0, 2**62, size + other, dtype=np.uint64))
             a, b = np.sort(values[:size]), np.sort(np.concatenate([values[:common], values[size: size + other - common]]))
             keys = [set(np.concatenate([signatures(x, np.array([0, len(x)]), up, frozenset())[0] for up in (0, 1)]).tolist()) for x in (a, b)]
-            hard = parts_of(band(np.array([max(size, other)])), frozenset())
-            assert keys[0] & keys[1] or hard is None, (size, other)
+            larger = a if size >= other else b
+            spared = int(signatures(larger, np.array([0, len(larger)]), 0, frozenset())[2][0])
+            assert spared > 2 * len(larger) // 7 and keys[0] & keys[1], (size, other)
+    n, split = parts_of(band(np.array([40, 100, 200, 3000])), frozenset())
+    assert (n > 0).tolist() == [False, True, True, True] and split.tolist() == [1, 1, 3, 3]
+    assert parts_of(np.array([7]), frozenset([7]))[0].tolist() == [0]
+
+
+def test_jaccard_signatures_survive_differences_in_every_part():
+    """One difference in each divided part leaves two of its smaller parts: the worst case for single parts."""
+    from tecframe.llm.jaccard_join import band, parts_of, signatures
+    from tecframe.llm.tokens import below, mix
+
+    rng = np.random.default_rng(5)
+    base = np.unique(mix(rng.integers(0, 2**62, 900, dtype=np.uint64)))
+    n = int(parts_of(band(np.array([900])), frozenset())[0][0])
+    gone = np.unique(below(base, n), return_index=True)[1]  # the first element of each part
+    less = np.delete(base, gone)
+    assert 4 * len(less) >= 3 * len(base)
+    keys = [set(signatures(x, np.array([0, len(x)]), 0, frozenset())[0].tolist()) for x in (base, less)]
+    assert keys[0] & keys[1]
 
 
 def test_language_model_counts(odd, none):
