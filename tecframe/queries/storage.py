@@ -63,16 +63,29 @@ def s04(t: Tables) -> DataFrame:
     return back.select("path", "producer", F.array_join("metrics", ",").alias("metrics"), F.try_element_at("metadata", F.lit("k")).alias("k"), "time_start")
 
 
-@query("s05_replace_by_key", """
+REPLACED = """
 SELECT o_orderkey, o_orderstatus AS producer, o_totalprice FROM orders WHERE o_orderstatus <> 'F'
 UNION ALL SELECT o_orderkey, 'F', o_totalprice * 2 FROM orders WHERE o_orderpriority = '1-URGENT'
-""")
+"""
+
+
+@query("s05_replace_by_key", REPLACED)
 def s05(t: Tables) -> DataFrame:
     old = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("producer"), "o_totalprice")
     new = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", F.lit("F").alias("producer"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
     return upsert(old, new, "F")
 
 
+@query("s05_replace_in_place", REPLACED)
+def s05_in_place(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "producers")
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("producer"), "o_totalprice")
+    tables.save_by_key(rows, path)
+    new = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    tables.replace_in_place(new, path, "F")
+    return t.spark.read.schema("o_orderkey LONG, o_totalprice DOUBLE, producer STRING").parquet(path).select("o_orderkey", "producer", "o_totalprice")
+
+
 @query("s06_asset_listing", "SELECT DISTINCT CAST(ts AS DATE) AS observation_date, event_type FROM events", texts=("observation_date",))
 def s06(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "assets")

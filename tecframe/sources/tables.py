@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -99,3 +101,19 @@ def write_hourly(grid: DataFrame, path: str, rows: int = HOUR_ROWS) -> None:
         .repartition(tasks, *hour, "_salt").drop("_files", "_salt")
         .write.mode("overwrite").partitionBy(*hour).parquet(path)
     )
+
+
+def save_by_key(df: DataFrame, path: str, key: str = "producer") -> None:
+    """A folder per value of the key, so that one of them can be replaced alone."""
+    df.write.mode("overwrite").partitionBy(key).parquet(path)
+
+
+def replace_in_place(new: DataFrame, path: str, value: str, key: str = "producer") -> None:
+    """Replaces the rows of one producer in a table of ``save_by_key``; files of the others are not touched.
+
+    All rows of ``new`` count as the producer's, whatever their key says. No rows
+    leave none. Rows without a key stay. ``new`` must not read the folder that is replaced.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", value):
+        raise ValueError(f"not a folder name: {value!r}")
+    new.drop(key).write.mode("overwrite").parquet(f"{path}/{key}={value}")

@@ -90,6 +90,23 @@ def write_tar(path, names, cut=None):
     path.write_bytes(data[:cut] if cut else data)
 
 
+def test_one_producer_is_replaced_in_place(spark, tmp_path):
+    """The files of other producers keep their names and times; no rows leave none; names are checked."""
+    path = str(tmp_path / "products")
+    files = lambda: {(str(f.relative_to(path)), f.stat().st_mtime_ns) for f in (tmp_path / "products").glob("producer=*/*.parquet") if "=internal" not in str(f)}
+    read = lambda: sorted(map(tuple, spark.read.schema("n LONG, producer STRING").parquet(path).collect()), key=str)
+    tables.save_by_key(spark.createDataFrame([(1, "internal"), (2, "isee"), (3, None), (4, "internal")], "n long, producer string"), path)
+    before = files()
+    tables.replace_in_place(spark.createDataFrame([(9, "isee"), (9, "isee")], "n long, producer string"), path, "internal")
+    assert read() == [(2, "isee"), (3, None), (9, "internal"), (9, "internal")] and files() == before and len(before) == 2
+    tables.replace_in_place(spark.createDataFrame([], "n long"), path, "internal")
+    assert read() == [(2, "isee"), (3, None)] and files() == before
+    tables.replace_in_place(spark.createDataFrame([(5,)], "n long"), path, "new")
+    assert read() == [(2, "isee"), (3, None), (5, "new")]
+    with pytest.raises(ValueError):
+        tables.replace_in_place(spark.createDataFrame([(5,)], "n long"), path, "../other")
+
+
 def test_archive_index_and_scenes(spark, tmp_path):
     name = lambda ch, hh, mm, doy=284: f"d/GOLD_L1C_{ch}_NI1_2024_{doy}_{hh:02d}_{mm:02d}_v04_r01.nc"
     write_tar(tmp_path / "a.tar", [name("CHA", 23, 10), name("CHB", 23, 12), name("CHA", 23, 40), name("CHB", 0, 1, 285), "d/readme.txt"])
