@@ -69,12 +69,12 @@ def grid_links_floor(
     return grid.unionByName(gaps)
 
 
-def kp_3hour(hourly: DataFrame) -> DataFrame:
-    """First Kp of every three hours of PlotTime."""
+def kp_3hour(hourly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """First Kp of every three hours of PlotTime, the least one of equal times."""
     return (
         hourly.filter(F.col("Kp").isNotNull() & F.col("PlotTime").isNotNull())
-        .groupBy(floor_time("PlotTime", 180).alias("KpStart"))
-        .agg(F.min_by("Kp", "PlotTime").alias("Kp"))
+        .groupBy(*by, floor_time("PlotTime", 180).alias("KpStart"))
+        .agg(F.min(F.struct("PlotTime", "Kp"))["Kp"].alias("Kp"))
         .withColumn("KpEnd", F.timestamp_micros(F.unix_micros("KpStart") + 10_800_000_000))
     )
 
@@ -189,23 +189,35 @@ def union_window(presets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def axis_bounds(df: DataFrame, column: str, by: Sequence[str] = (), *, floor_zero: bool = False) -> DataFrame:
     """Padded value range of an axis; groups without values get NULL."""
-    lo, hi = F.col("_lo"), F.col("_hi")
-    flat = F.abs(lo - hi) <= 1e-8 + 1e-5 * F.abs(hi)
-    pad = F.when(flat, F.greatest(F.abs(hi) * 0.1, F.lit(1.0))).otherwise((hi - lo) * 0.12)
-    if floor_zero:
-        lower = F.when(hi.isNotNull(), F.lit(0.0))
-        upper = F.when(hi > 0, hi * 1.08).when(hi.isNotNull(), F.lit(1.0))
-    else:
-        lower, upper = lo - pad, hi + pad
-    return (
-        df.groupBy(*by).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-        .withColumns({"lower": lower, "upper": upper})
-        .drop("_lo", "_hi")
-    )
+    return axis_table(df, {"": (column, "from zero" if floor_zero else "padded")}, by)
 
 
 def kp_axis_top(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(F.greatest(F.lit(9.2), F.max("Kp") + 0.5).alias("kp_top"))
+    return axis_table(df, {"kp_": ("Kp", "kp")}, by).withColumnRenamed("kp_upper", "kp_top").drop("kp_lower")
+
+
+def axis_table(df: DataFrame, axes: dict[str, tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
+    """Ranges of several axes, each ``<prefix>lower`` and ``<prefix>upper``, from one aggregate.
+
+    ``axes`` gives for each prefix its column and rule: ``padded`` (a margin on
+    both sides), ``from zero``, or ``kp`` (from 0 to 9.2 at least).
+    """
+    def ends(at: int, rule: str) -> tuple[Column, Column]:
+        lo, hi = F.col(f"_lo{at}"), F.col(f"_hi{at}")
+        if rule == "kp":
+            return F.lit(0.0), F.greatest(F.lit(9.2), hi + 0.5)
+        if rule == "from zero":
+            return F.when(hi.isNotNull(), F.lit(0.0)), F.when(hi > 0, hi * 1.08).when(hi.isNotNull(), F.lit(1.0))
+        flat = F.abs(lo - hi) <= 1e-8 + 1e-5 * F.abs(hi)
+        pad = F.when(flat, F.greatest(F.abs(hi) * 0.1, F.lit(1.0))).otherwise((hi - lo) * 0.12)
+        return lo - pad, hi + pad
+
+    columns = list(dict.fromkeys(column for column, _ in axes.values()))
+    sizes = [f(c).alias(f"_{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))]
+    out = {}
+    for prefix, (column, rule) in axes.items():
+        out[f"{prefix}lower"], out[f"{prefix}upper"] = ends(columns.index(column), rule)
+    return df.groupBy(*by).agg(*sizes).select(*by, *[c.alias(n) for n, c in out.items()])
 
 
 def arc_summary(links: DataFrame, keys: Sequence[str]) -> DataFrame:

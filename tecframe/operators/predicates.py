@@ -90,6 +90,13 @@ def station_metric(links: DataFrame, metric: str, *, keep: Sequence[str] = ()) -
     )
 
 
+def station_metrics(links: DataFrame, metrics: Sequence[str], *, keep: Sequence[str] = ()) -> DataFrame:
+    """The series of several metrics as rows (metric, value), from one pass over the links."""
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    rows = links.select(*keep, "time", "station_id", "station_code4", "sv", F.inline(values))
+    return rows.filter(F.col("value").isNotNull())
+
+
 def above(df: DataFrame, metric: str, threshold: float) -> DataFrame:
     """Strictly greater; NaN is not above anything."""
     return df.filter(finite(metric) > threshold)

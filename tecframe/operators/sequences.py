@@ -187,7 +187,12 @@ def rolling_poly(
 def zero_crossings(
     field: DataFrame, keys: Keys, *, lat: str = "lat", mlat: str = "mlat", mode: str = "first"
 ) -> DataFrame:
-    """Latitude where ``mlat`` changes sign along each line, by linear interpolation.
+    """Latitude where ``mlat`` changes sign along each line, by linear interpolation; lines without one are left out."""
+    return crossing_table(field, keys, {"crossing_lat": mode}, lat=lat, mlat=mlat).filter(F.col("crossing_lat").isNotNull())
+
+
+def crossing_table(field: DataFrame, keys: Keys, modes: dict[str, str], *, lat: str = "lat", mlat: str = "mlat") -> DataFrame:
+    """One column for each rule of ``modes``, NULL where a line has no such crossing, from one pass over the lines.
 
     ``first``: the southernmost pair with a product <= 0. ``nearest``: the pair
     with different sign bits whose lower latitude is closest to zero. A line is
@@ -199,13 +204,16 @@ def zero_crossings(
         F.col(lat).alias("_b"), F.col(mlat).alias("_mb"),
         F.lag(lat).over(w).alias("_a"), F.lag(mlat).over(w).alias("_ma"),
     )
-    if mode == "first":
-        hit, order = F.col("_ma") * F.col("_mb") <= 0, F.struct("_a")
-    else:
-        hit = (F.col("_ma") < 0) != (F.col("_mb") < 0)
-        order = F.struct(F.abs("_a"), F.col("_a"))
+    rules = {
+        "first": (F.col("_ma") * F.col("_mb") <= 0, (F.col("_a"),)),
+        "nearest": ((F.col("_ma") < 0) != (F.col("_mb") < 0), (F.abs("_a"), F.col("_a"))),
+    }
     span = F.col("_mb") - F.col("_ma")
     cross = F.when(
         span != 0, F.col("_a") - F.col("_ma") * (F.col("_b") - F.col("_a")) / span
     ).otherwise(F.col("_a"))
-    return pairs.filter(hit).groupBy(*keys).agg(F.min_by(cross, order).alias("crossing_lat"))
+    best = []
+    for name, mode in modes.items():
+        hit, order = rules[mode]
+        best.append(F.min(F.when(hit, F.struct(*order, cross.alias("_c"))))["_c"].alias(name))
+    return pairs.groupBy(*keys).agg(*best)

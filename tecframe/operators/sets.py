@@ -159,5 +159,5 @@ CANONICAL_ORDER = {
 
 
 def canonical(df: DataFrame, table: str) -> DataFrame:
-    """Order of a delivered table; used at sinks only."""
+    """Order of a delivered table read at once; large tables are stored in order by ``sources.tables.write_ordered``."""
     return df.orderBy(*CANONICAL_ORDER[table])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
@@ -19,22 +20,23 @@ class OmniTables(NamedTuple):
     kp: DataFrame
 
 
-def clean_bz(raw: DataFrame) -> DataFrame:
-    return raw.select("Time", null_if("IMF_Bz_nT", fixed.BZ_MISSING).alias("IMF_Bz_nT"))
+def clean_bz(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return raw.select(*keep, "Time", null_if("IMF_Bz_nT", fixed.BZ_MISSING).alias("IMF_Bz_nT"))
 
 
-def clean_hourly(raw: DataFrame) -> DataFrame:
+def clean_hourly(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     code = null_if("Kp_code", fixed.KP_MISSING)
     return raw.select(
-        "Time", code.alias("Kp_code"), null_if("Dst_nT", fixed.DST_MISSING).alias("Dst_nT"),
+        *keep, "Time", code.alias("Kp_code"), null_if("Dst_nT", fixed.DST_MISSING).alias("Dst_nT"),
         plot_time("Time").alias("PlotTime"), kp_decimal(code).alias("Kp"),
     )
 
 
-def build_omni(bz: DataFrame, indices: DataFrame) -> OmniTables:
-    hourly = clean_hourly(indices)
-    kp = kp_3hour(hourly).withColumn("level", kp_level("Kp"))
-    return OmniTables(clean_bz(bz), hourly, kp)
+def build_omni(bz: DataFrame, indices: DataFrame, by: Sequence[str] = ()) -> OmniTables:
+    """The three index tables; ``by`` names series that are kept apart."""
+    hourly = clean_hourly(indices, by)
+    kp = kp_3hour(hourly, by).withColumn("level", kp_level("Kp"))
+    return OmniTables(clean_bz(bz, by), hourly, kp)
 
 
 def highlight(series: DataFrame, windows: DataFrame, *, time: str = "Time") -> DataFrame:

@@ -10,7 +10,7 @@ from tecframe.operators import aggregates, sets
 from tecframe.operators.sequences import fallback_source, normalise_arc
 from tecframe.plans.omni import build_omni, clean_hourly
 from tecframe.queries.base import (
-    ARCS, LINKS, RATES, TRACK, Tables, arcs, full_links, links, query, r6,
+    ARCS, EVENT_TIME, LINKS, RATES, TRACK, Tables, arcs, event_time, full_links, links, query, r6,
 )
 
 VALUE_BOX = {"lat_min": 10.0, "lat_max": 90.0, "lon_min": 0.0, "lon_max": 90.0}
@@ -87,59 +87,53 @@ def u02(t: Tables) -> DataFrame:
 
 
 def raw_indices(t: Tables) -> DataFrame:
-    """Hourly index rows: the last event of each hour and type gives code and Dst."""
-    hourly = t.events.groupBy(F.date_trunc("hour", "ts").alias("Time"), F.col("event_type").alias("kind")).agg(
-        F.max_by("value", "event_id").alias("v")
-    )
-    return hourly.select(
-        "kind", "Time", F.floor("v").cast("double").alias("Kp_code"),
-        F.when(F.floor("v") == 7, 99999.0).otherwise(F.floor("v") - 80.0).alias("Dst_nT"),
+    """Index rows of each event type: every event is a row at its own time."""
+    return t.events.select(
+        F.col("event_type").alias("kind"), event_time().alias("Time"), "event_id",
+        F.floor("value").cast("double").alias("Kp_code"),
+        F.when(F.floor("value") == 7, 99999.0).otherwise(F.floor("value") - 80.0).alias("Dst_nT"),
     )
 
 
-RAW_INDICES = """
-hourly0 AS (SELECT date_trunc('hour', ts) AS "Time", event_type AS kind, arg_max(value, event_id) AS v FROM events GROUP BY ALL),
-raw AS (SELECT kind, "Time", CAST(floor(v) AS DOUBLE) AS Kp_code,
-               CASE WHEN floor(v) = 7 THEN 99999.0::DOUBLE ELSE CAST(floor(v) AS DOUBLE) - 80.0 END AS Dst_nT FROM hourly0),
-hourly AS (SELECT kind, "Time", nullif(Kp_code, 99.0::DOUBLE) AS Kp_code, nullif(Dst_nT, 99999.0::DOUBLE) AS Dst_nT,
+RAW_INDICES = f"""
+raw AS (SELECT event_type AS kind, {EVENT_TIME} AS "Time", event_id, CAST(floor(value) AS DOUBLE) AS Kp_code,
+               CASE WHEN floor(value) = 7 THEN 99999.0::DOUBLE ELSE CAST(floor(value) AS DOUBLE) - 80.0 END AS Dst_nT FROM events),
+hourly AS (SELECT kind, event_id, "Time", nullif(Kp_code, 99.0::DOUBLE) AS Kp_code, nullif(Dst_nT, 99999.0::DOUBLE) AS Dst_nT,
                   "Time" - INTERVAL 30 MINUTES AS PlotTime FROM raw),
 decoded AS (SELECT *, CASE WHEN CAST(Kp_code AS BIGINT) % 10 = 0 THEN CAST(Kp_code AS BIGINT) // 10
                            WHEN CAST(Kp_code AS BIGINT) % 10 = 3 THEN CAST(Kp_code AS BIGINT) // 10 + 1.0::DOUBLE / 3.0::DOUBLE
                            WHEN CAST(Kp_code AS BIGINT) % 10 = 7 THEN CAST(Kp_code AS BIGINT) // 10 + 2.0::DOUBLE / 3.0::DOUBLE
-                           ELSE Kp_code / 10.0::DOUBLE END AS Kp FROM hourly)"""
+                           ELSE Kp_code / 10.0::DOUBLE END AS Kp FROM hourly),
+kp AS (SELECT kind, time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') AS time, arg_min(Kp, (PlotTime, Kp)) AS v
+       FROM decoded WHERE Kp IS NOT NULL GROUP BY ALL)"""
 
 
 @query("a03_kp_3hour", f"""
 WITH {RAW_INDICES}
-SELECT time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') AS "KpStart", round(arg_min(Kp, PlotTime), 6) + 0.0::DOUBLE AS "Kp",
-       time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') + INTERVAL 3 HOURS AS "KpEnd"
-FROM decoded WHERE kind = 'view' AND Kp IS NOT NULL GROUP BY ALL
+SELECT kind, time AS "KpStart", round(v, 6) + 0.0::DOUBLE AS "Kp", time + INTERVAL 3 HOURS AS "KpEnd" FROM kp
 """)
 def a03(t: Tables) -> DataFrame:
-    hourly = clean_hourly(raw_indices(t).filter(F.col("kind") == "view").drop("kind"))
-    return aggregates.kp_3hour(hourly).withColumn("Kp", r6("Kp"))
+    return aggregates.kp_3hour(clean_hourly(raw_indices(t), keep=["kind"]), ["kind"]).withColumn("Kp", r6("Kp"))
 
 
 @query("p08_omni_tables", f"""
 WITH {RAW_INDICES},
-bz AS (SELECT 'bz' AS series, ts AS time, nullif(CASE WHEN value < 5 THEN 9999.99 ELSE value - 50 END, 9999.99) AS v FROM events WHERE event_type = 'click'),
-kp AS (SELECT time_bucket(INTERVAL 3 HOURS, PlotTime, TIMESTAMP '1970-01-01') AS time, arg_min(Kp, PlotTime) AS v
-       FROM decoded WHERE kind = 'error' AND Kp IS NOT NULL GROUP BY 1)
-SELECT series, time, round(v, 6) + 0.0::DOUBLE AS value, CAST(NULL AS VARCHAR) AS level FROM bz
-UNION ALL SELECT 'hourly', PlotTime, round(Kp, 6) + 0.0::DOUBLE, NULL FROM decoded WHERE kind = 'error'
-UNION ALL SELECT 'kp', time, round(v, 6) + 0.0::DOUBLE, CASE WHEN v IS NULL THEN 'missing' WHEN v < 4 THEN 'quiet' WHEN v < 5 THEN 'active' ELSE 'storm' END FROM kp
+bz AS (SELECT 'bz' AS series, event_type AS kind, ts AS time, nullif(CASE WHEN value < 5 THEN 9999.99 ELSE value - 50 END, 9999.99) AS v FROM events)
+SELECT series, kind, time, round(v, 6) + 0.0::DOUBLE AS value, CAST(NULL AS VARCHAR) AS level FROM bz
+UNION ALL SELECT 'hourly', kind, PlotTime, round(Kp, 6) + 0.0::DOUBLE, NULL FROM decoded
+UNION ALL SELECT 'kp', kind, time, round(v, 6) + 0.0::DOUBLE, CASE WHEN v IS NULL THEN 'missing' WHEN v < 4 THEN 'quiet' WHEN v < 5 THEN 'active' ELSE 'storm' END FROM kp
 """)
 def p08(t: Tables) -> DataFrame:
-    bz = t.events.filter(F.col("event_type") == "click").select(
-        F.col("ts").alias("Time"),
+    bz = t.events.select(
+        F.col("event_type").alias("kind"), F.col("ts").alias("Time"),
         F.when(F.col("value") < 5, 9999.99).otherwise(F.col("value") - 50).alias("IMF_Bz_nT"),
     )
-    out = build_omni(bz, raw_indices(t).filter(F.col("kind") == "error"))
+    out = build_omni(bz, raw_indices(t), by=["kind"])
     none = F.lit(None).cast("string").alias("level")
     return (
-        out.bz.select(F.lit("bz").alias("series"), F.col("Time").alias("time"), r6("IMF_Bz_nT").alias("value"), none)
-        .union(out.hourly.select(F.lit("hourly"), "PlotTime", r6("Kp"), none))
-        .union(out.kp.select(F.lit("kp"), "KpStart", r6("Kp"), "level"))
+        out.bz.select(F.lit("bz").alias("series"), "kind", F.col("Time").alias("time"), r6("IMF_Bz_nT").alias("value"), none)
+        .union(out.hourly.select(F.lit("hourly"), "kind", "PlotTime", r6("Kp"), none))
+        .union(out.kp.select(F.lit("kp"), "kind", "KpStart", r6("Kp"), "level"))
     )
 
 
@@ -292,11 +286,9 @@ SELECT user_id, round(lo - pad, 6) + 0.0::DOUBLE AS lower, round(hi + pad, 6) +
 """)
 def a17(t: Tables) -> DataFrame:
     ev = t.events.withColumn("Kp", F.col("value") / 10)
-    both = aggregates.axis_bounds(ev, "value", ["user_id"])
-    zero = aggregates.axis_bounds(ev, "value", ["user_id"], floor_zero=True).select("user_id", F.col("upper").alias("roti_upper"))
-    top = aggregates.kp_axis_top(ev, ["user_id"])
-    return both.join(zero, "user_id").join(top, "user_id").select(
-        "user_id", *[r6(c).alias(c) for c in ("lower", "upper", "roti_upper", "kp_top")]
+    axes = {"": ("value", "padded"), "roti_": ("value", "from zero"), "kp_": ("Kp", "kp")}
+    return aggregates.axis_table(ev, axes, ["user_id"]).select(
+        "user_id", r6("lower").alias("lower"), r6("upper").alias("upper"), r6("roti_upper").alias("roti_upper"), r6("kp_upper").alias("kp_top")
     )
 
 

@@ -98,10 +98,9 @@ def f08_series(t: Tables) -> DataFrame:
     rows = full_links(t).withColumns(
         {"vtec": F.when(F.col("stec") >= 60, F.col("stec")), "station_code4": F.substring("station_id", 1, 4)}
     )
-    one = lambda m: predicates.station_metric(rows, m).select(
-        F.lit(m).alias("metric"), "station_id", "sv", "time", F.col(m).alias("value")
-    )
-    return one("vtec").union(one("roti").withColumn("value", r6("value")))
+    series = predicates.station_metrics(rows, ["vtec", "roti"])
+    value = F.when(F.col("metric") == "roti", r6("value")).otherwise(F.col("value"))
+    return series.select("metric", "station_id", "sv", "time", value.alias("value"))
 
 
 @query("f09_strict_threshold", "SELECT event_id, value FROM events WHERE value > 50.0")

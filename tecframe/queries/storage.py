@@ -8,8 +8,8 @@ import tarfile
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tecframe.operators.sets import upsert
-from tecframe.queries.base import Tables, query
+from tecframe.operators.sets import CANONICAL_ORDER, upsert
+from tecframe.queries.base import LINKS, Tables, links, query
 from tecframe.queries.filters import REGION_EVENTS, region_events
 from tecframe.queries.matching import TIMED_EVENTS, timed_events
 from tecframe.session import scratch_dir
@@ -46,6 +46,17 @@ def s03(t: Tables) -> DataFrame:
     return tables.read_omni(t.spark, path, "bz")
 
 
+@query("l01_ordered_sink", f"""
+WITH {LINKS}
+SELECT time, station_id, sv, stec, ingest_pos, row_number() OVER (ORDER BY time, station_id, sv, stec, ingest_pos) - 1 AS position FROM links
+""")
+def l01_sink(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "ordered")
+    rows = links(t).select("time", "station_id", "sv", "stec", "ingest_pos")
+    tables.write_ordered(rows, path, CANONICAL_ORDER["links"])
+    return tables.read_ordered(t.spark, path)
+
+
 @query("s04_manifest_round_trip", """
 SELECT CAST(event_id AS VARCHAR) AS path, CASE WHEN event_type <> 'view' THEN event_type END AS producer, CASE WHEN event_id % 2 = 0 THEN 'vtec,roti' ELSE '' END AS metrics,
        json_extract_string(props, '$.k') AS k, date_trunc('second', ts) AS time_start FROM events

@@ -201,6 +201,5 @@ def w11(t: Tables) -> DataFrame:
     field = t.embeddings.select(F.col("vec_id").alias("lon"), F.posexplode("embedding").alias("p", "v")).select(
         "lon", (F.col("p") - 32).cast("double").alias("lat"), F.col("v").cast("double").alias("mlat")
     )
-    first = sequences.zero_crossings(field, ["lon"]).select("lon", r6("crossing_lat").alias("first_lat"))
-    near = sequences.zero_crossings(field, ["lon"], mode="nearest").select("lon", r6("crossing_lat").alias("nearest_lat"))
-    return first.join(near, "lon")
+    both = sequences.crossing_table(field, ["lon"], {"first_lat": "first", "nearest_lat": "nearest"})
+    return both.dropna(subset=["first_lat", "nearest_lat"]).select("lon", r6("first_lat").alias("first_lat"), r6("nearest_lat").alias("nearest_lat"))

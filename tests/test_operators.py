@@ -211,6 +211,47 @@ def test_crossings_none_one_several(spark):
     assert near == {1: -5.0, 2: 5.0}
 
 
+def test_crossings_by_both_rules_from_one_pass(spark):
+    lines = {0: [-2.0, -1.0, 1.0, 2.0], 1: [1.0, 2.0, 3.0, 4.0], 2: [0.0, 1.0, -1.0, 1.0], 3: [None, None, -1.0, 1.0]}
+    df = spark.createDataFrame([(lon, float(i), v) for lon, vs in lines.items() for i, v in enumerate(vs)], "lon int, lat double, mlat double")
+    both = sequences.crossing_table(df, ["lon"], {"a": "first", "b": "nearest"})
+    assert {r.lon: (r.a, r.b) for r in both.collect()} == {0: (1.5, 1.5), 1: (None, None), 2: (0.0, 1.5), 3: (2.5, 2.5)}
+    assert both._jdf.queryExecution().executedPlan().toString().count("Window") <= 2
+    assert sequences.crossing_table(df.limit(0), ["lon"], {"a": "first"}).count() == 0
+
+
+def test_axes_from_one_aggregate(spark):
+    df = spark.createDataFrame([("a", 0.0, 3.0), ("a", 10.0, 9.5), ("b", 5.0, None), ("c", None, None), ("d", -2.0, 1.0), ("d", -1.0, None)], "g string, v double, Kp double")
+    axes = {"": ("v", "padded"), "z_": ("v", "from zero"), "kp_": ("Kp", "kp")}
+    out = aggregates.axis_table(df, axes, ["g"])
+    got = {r.g: tuple(None if x is None else round(x, 9) for x in r[1:]) for r in out.collect()}
+    assert got == {
+        "a": (-1.2, 11.2, 0.0, 10.8, 0.0, 10.0), "b": (4.0, 6.0, 0.0, 5.4, 0.0, 9.2), "c": (None, None, None, None, 0.0, 9.2),
+        "d": (-2.12, -0.88, 0.0, 1.0, 0.0, 9.2),
+    }
+    for one, name in ((aggregates.axis_bounds(df, "v", ["g"]), ""), (aggregates.axis_bounds(df, "v", ["g"], floor_zero=True), "z_")):
+        want = out.select("g", F.col(f"{name}lower").alias("lower"), F.col(f"{name}upper").alias("upper"))
+        assert one.exceptAll(want).count() == 0 and one.count() == 4
+    assert {r.g: r.kp_top for r in aggregates.kp_axis_top(df, ["g"]).collect()} == {"a": 10.0, "b": 9.2, "c": 9.2, "d": 9.2}
+    assert aggregates.axis_table(df, axes, ["g"])._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_series_of_several_metrics_from_one_pass(spark):
+    df = spark.createDataFrame([(1, "s", "c", "G01", 2.0, None), (2, "s", "c", "G01", None, 0.5), (3, "s", "c", "G02", None, None)], "time int, station_id string, station_code4 string, sv string, vtec double, roti double")
+    out = predicates.station_metrics(df, ["vtec", "roti"])
+    assert sorted((r.metric, r.time, r.value) for r in out.collect()) == [("roti", 2, 0.5), ("vtec", 1, 2.0)]
+    for metric in ("vtec", "roti"):
+        one = predicates.station_metric(df, metric).collect()
+        assert [r.time for r in one] == [r.time for r in out.where(F.col("metric") == metric).collect()]
+
+
+def test_first_kp_of_equal_times_and_series_apart(spark):
+    df = spark.createDataFrame([("a", 0, 2.0), ("a", 0, 1.0), ("a", 60, 0.5), ("b", 0, 3.0), ("b", 10800, None), (None, 5, 4.0)], "kind string, s long, Kp double")
+    df = df.withColumn("PlotTime", F.timestamp_seconds("s"))
+    assert {r.kind: r.Kp for r in aggregates.kp_3hour(df, ["kind"]).collect()} == {"a": 1.0, "b": 3.0, None: 4.0}
+    assert [r.Kp for r in aggregates.kp_3hour(df).collect()] == [1.0]
+
+
 def test_asof_age_limit_and_day_border(spark):
     d1, d2 = date(2024, 10, 10), date(2024, 10, 11)
     obs = spark.createDataFrame([(d1, "G01", ts(m), i) for i, m in enumerate((0, 60, 120, 359, 360, 361))] + [(d2, "G01", ts(1441), 9)],

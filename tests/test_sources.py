@@ -32,8 +32,8 @@ def test_index_file_with_byte_order_mark_and_error_answer(spark, tmp_path):
     assert r.KpStart == datetime(2024, 10, 10) and r.Kp == pytest.approx(4 / 3)
     bad = tmp_path / "bad.csv"
     bad.write_text("HAPI error 1406\n")
-    with pytest.raises(ValueError):
-        tables.read_omni(spark, str(bad), "bz")
+    with pytest.raises(Exception, match="service reported an error"):
+        tables.read_omni(spark, str(bad), "bz").collect()
     plain = tmp_path / "plain.csv"
     plain.write_text("2024-10-10T00:00:00Z,9999.99\n2024-10-10T00:01:00Z,-3.5\n")
     assert [x.IMF_Bz_nT for x in tables.read_omni(spark, str(plain), "bz", header=False).orderBy("Time").collect()] == [None, -3.5]
@@ -168,3 +168,47 @@ def test_a_full_hour_is_written_by_several_tasks(spark, tmp_path):
     assert back.count() == 4000 and back.select("id").distinct().count() == 4000
     write_hourly(rows.limit(0), str(tmp_path / "none"))
     assert not list((tmp_path / "none").glob("event_id=*"))
+
+
+def test_index_lines_of_several_parts_and_blank_ones(spark, tmp_path):
+    for i, rows in enumerate(("2024-10-10T00:00:00Z,1.5", "\n2024-10-10T00:01:00Z,9999.99\n2024-10-10T00:02:00Z,")):
+        (tmp_path / f"p{i}.csv").write_text('"Time", IMF_Bz_nT\n' + rows + "\n")
+    df = tables.read_omni(spark, str(tmp_path), "bz")
+    assert [tuple(r) for r in df.orderBy("Time").collect()] == [
+        (datetime(2024, 10, 10), 1.5), (datetime(2024, 10, 10, 0, 1), None), (datetime(2024, 10, 10, 0, 2), None)]
+    # one scan, and nothing runs before the series is read
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    (tmp_path / "p2.csv").write_text("Time,IMF_Bz_nT\nHAPI error 1500\n")
+    late = tables.read_omni(spark, str(tmp_path), "bz")
+    with pytest.raises(Exception, match="service reported an error"):
+        late.collect()
+
+
+def test_ordered_tables_keep_ranges_that_follow_each_other(spark, tmp_path):
+    path = f"{tmp_path}/ordered"
+    # one key holds a third of the rows, some are null, some repeat
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 1000 != 1, F.col("id") * 7919 % 30_011).alias("k"),
+        F.struct((F.col("id") % 5).alias("x")).alias("s"), F.expr("map('a', id)").alias("m"), F.floor(F.col("id") / 2).alias("v"),
+    )
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    tables.write_ordered(df, path, ["k"], rows=1000)
+    spark.conf.unset(merge)
+    files = spark.read.parquet(f"{path}/_order").orderBy("nth").collect()
+    assert len(files) > 30 and max(f.rows for f in files) <= 1000 and sum(f.rows for f in files) == 30_000
+    assert [f.before for f in files] == [sum(g.rows for g in files[:i]) for i in range(len(files))]
+    assert tables.order_problems(spark, path).count() == 0
+    # the hot key is not in one task's files alone
+    assert len({f.file.split("-")[1] for f in files if f.low.k is not None and f.low.k <= 7 <= f.high.k}) > 1
+    rows = tables.read_ordered(spark, path).orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(30_000))
+    got = [(r.k is not None, r.k or 0, r.s.x, r.v) for r in rows]
+    assert got == sorted((r.k is not None, r.k or 0, r.s.x, r.v) for r in df.collect())
+    assert spark.read.parquet(path).count() == 30_000
+    plan = tables.read_ordered(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "rangepartitioning" not in plan
+    tables.write_ordered(df.limit(0), f"{tmp_path}/none", ["k"])
+    assert tables.read_ordered(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(ValueError):
+        tables.write_ordered(df, path, [])
