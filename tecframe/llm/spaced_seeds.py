@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from tecframe.llm.graphs import settle
 from tecframe.llm.tokens import MARKS, MULTIPLIERS, U64, Texts, mix, pieces
 
-MASKS = ("1101110101", "1110010111", "1011101011")
+# the last one ignores two words five apart, for passages of which every fifth word is another
+MASKS = ("1101110101", "1110010111", "1011101011", "1101111011")
+SHORTEST = 5  # words of an item; items shorter than a mask are hashed as a whole
 MATCHES = 12  # matching words of an overlap; shorter items must match as a whole
 COST = 3  # matches that one substitution outweighs
 BLOCK_WORDS = 1 << 20  # benchmark words that are sent to the workers at once
@@ -49,11 +51,15 @@ class Index:
         self.ids = np.array(ids, np.int64)
         self.words, self.off = Texts(pa.array(texts, pa.string())).words(MARKS)
         self.masks = []
-        for mask in MASKS:
+        sizes = np.diff(self.off)
+        short = sorted({n for n in sizes.tolist() if SHORTEST <= n < len(MASKS[0])})
+        for mask in (*MASKS, *("1" * n for n in short)):
             keys = masked(self.words, mask)
             at = np.arange(len(keys))
             item = np.searchsorted(self.off, at, "right") - 1
             inside = at + len(mask) <= self.off[item + 1]
+            if mask not in MASKS:
+                inside &= sizes[item] == len(mask)
             keys, at = keys[inside], at[inside]
             order = np.argsort(keys, kind="stable")
             known = np.zeros(1 << FILTER_BITS, bool)
@@ -117,8 +123,8 @@ def _search(index):
 def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every stretch of docs (doc_id, text) that repeats benchmark (item_id, text): doc_id, item_id, doc_word, n_words, n_matches.
 
-    Overlaps need 12 matching words, or a whole item that is shorter but spans
-    a mask. Null, empty and shorter texts overlap with nothing; so do items
+    Overlaps need 12 matching words, or a whole item that is shorter but has five
+    words. Null, empty and shorter texts overlap with nothing; so do items
     without an id. Repeated items or rows give repeated overlaps once per
     (doc_id, item_id, place). Other columns are ignored.
     """
