@@ -2,8 +2,8 @@
 
 Each language owns the byte n-grams that are frequent in it and rare elsewhere,
 counted on a bounded sample of training documents. A Bloom filter holds them
-all: every slot is one bitmask with a bit per language (the filters of all
-languages, sliced by bit), and the AND over the slots of an n-gram is the set of
+all: every slot is a bitmask with a bit per language (the filters of all
+languages, sliced by bit; 64 languages to a word), and the AND over the slots of an n-gram is the set of
 languages that contain it. Per language the hits of a text are counted, the
 expected false positives of that language's filter are taken off, and the count
 is put in proportion to what a text of that language usually reaches.
@@ -24,7 +24,6 @@ from tecframe.llm.toxicity import held_out
 SAMPLE = 8000  # training documents, at most
 GRAMS = (2, 3, 4, 5)
 PER_LANGUAGE = 40_000  # n-grams that one language owns, at most
-LANGUAGES = 64  # bits of a slot; the most frequent languages of the sample
 SLOTS, PROBES = 1 << 21, 3
 SHARE = 0.5  # of an n-gram's relative frequency, for its language to own it
 
@@ -62,11 +61,11 @@ class Filters:
 
     def __init__(self, names: list[str], codes: np.ndarray, hashes: np.ndarray) -> None:
         self.names = names
-        self.slots = np.zeros(SLOTS, U64)
-        bits = U64(1) << codes.astype(U64)
+        self.slots = np.zeros((-(-len(names) // 64), SLOTS), U64)
+        bits = U64(1) << (codes % 64).astype(U64)
         for p in range(PROBES):
-            np.bitwise_or.at(self.slots, self._slot(hashes, p), bits)
-        density = np.array([np.count_nonzero(self.slots & (U64(1) << U64(i))) / SLOTS for i in range(len(names))])
+            np.bitwise_or.at(self.slots, (codes // 64, self._slot(hashes, p)), bits)
+        density = np.array([np.count_nonzero(self.slots[i // 64] & (U64(1) << U64(i % 64))) / SLOTS for i in range(len(names))])
         self.false = density**PROBES
         self.usual = np.ones(len(names))
 
@@ -79,16 +78,18 @@ class Filters:
         count = np.zeros((len(texts), len(self.names)))
         total = np.zeros(len(texts))
         for h, owner in grams(texts):
-            masks = self.slots[self._slot(h, 0)]
-            some = np.flatnonzero(masks)
+            first = self._slot(h, 0)
             total += np.bincount(owner, minlength=len(texts))
-            for p in range(1, PROBES):
-                masks_p = masks[some] & self.slots[self._slot(h[some], p)]
-                masks[some] = masks_p
-                some = some[masks_p != 0]
-            for i in range(len(self.names)):
-                own = some[(masks[some] >> U64(i)) & U64(1) == 1]
-                count[:, i] += np.bincount(owner[own], minlength=len(texts))
+            for k, slots in enumerate(self.slots):
+                masks = slots[first]
+                some = np.flatnonzero(masks)
+                for p in range(1, PROBES):
+                    masks_p = masks[some] & slots[self._slot(h[some], p)]
+                    masks[some] = masks_p
+                    some = some[masks_p != 0]
+                for i in range(64 * k, min(64 * k + 64, len(self.names))):
+                    own = some[(masks[some] >> U64(i % 64)) & U64(1) == 1]
+                    count[:, i] += np.bincount(owner[own], minlength=len(texts))
         expected = total[:, None] * self.false[None, :]
         return np.maximum(count - expected, 0) / (1 - np.minimum(self.false, 0.99)) / np.maximum(total, 1)[:, None]
 
@@ -108,7 +109,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
     chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
     rows = rows.join(F.broadcast(chosen), "doc_id").select("text", F.col("lang").cast("string").alias("lang"))  # no more ids than the sample
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n")).persist()
-    sizes = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    sizes = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").collect()}  # no more than the sample has rows
     names = list(sizes)
     if not names:
         return Filters([], np.zeros(0, np.int64), np.zeros(0, U64))

@@ -116,9 +116,16 @@ def _languages(w: Words, table: np.ndarray) -> np.ndarray:
     n = len(w.woff) - 1
     if not len(table) or not len(w.seq):
         return np.zeros(n, np.int64)
-    per_word = table[:, below(mix(w.hash ^ U64(9)), LANG_BUCKETS).astype(np.int64)].T
-    sums = np.concatenate([np.zeros((1, len(table))), np.cumsum(per_word[w.seq], axis=0, dtype=np.float64)])
-    return (sums[w.woff[1:]] - sums[w.woff[:-1]]).argmax(axis=1)
+    bucket = below(mix(w.hash ^ U64(9)), LANG_BUCKETS).astype(np.int64)
+    best, row = np.full(n, -np.inf), np.zeros(n, np.int64)
+    for first in range(0, len(table), 64):  # memory of 64 languages at a time
+        per_word = table[first: first + 64, bucket].T
+        sums = np.concatenate([np.zeros((1, per_word.shape[1])), np.cumsum(per_word[w.seq], axis=0, dtype=np.float64)])
+        fits = sums[w.woff[1:]] - sums[w.woff[:-1]]
+        top = fits.max(axis=1)
+        row = np.where(top > best, fits.argmax(axis=1) + first, row)
+        best = np.maximum(best, top)
+    return row
 
 
 def fit(texts: list[str | None], toxic: np.ndarray, langs: list[str | None], seed: int = 7) -> dict:
@@ -139,7 +146,7 @@ def fit(texts: list[str | None], toxic: np.ndarray, langs: list[str | None], see
     for a in range(0, len(order), ROWS):
         rows = order[a: a + ROWS]
         batches.append((Words(Texts(pa.array([texts[i] for i in rows], pa.string()))), toxic[rows].astype(np.float32), [langs[i] for i in rows]))
-    names = sorted({x for x in langs if x is not None})[:64]
+    names = sorted({x for x in langs if x is not None})  # no more than the sample has rows
     counts = np.zeros((len(names), LANG_BUCKETS))
     for w, _, ls in batches:
         bucket = below(mix(w.hash ^ U64(9)), LANG_BUCKETS).astype(np.int64)[w.seq]
