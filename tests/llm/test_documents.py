@@ -239,8 +239,39 @@ def test_decontamination_tolerates_substitutions(spark, odd, none):
     assert {r.doc_id for r in overlaps(odd, bench).collect()} == set()
 
 
+def test_benchmark_overlaps_equal_brute_force(spark):
+    """Every diagonal of every text and item: the best stretch through each place where a mask agrees."""
+    from tecframe.llm.spaced_seeds import MASKS, overlaps
+
+    rng = np.random.default_rng(8)
+    item = [f"b{i}" for i in range(60)]
+    fifth = [w if i % 5 != 2 else "other" for i, w in enumerate(item)]
+    few = [[f"v{x}" for x in rng.integers(0, 3, n)] for n in (40, 70, 25)]
+    bench = {1: item, 2: item[5:13], 3: few[0][:20], 4: few[1][10:17], 5: ["b1", "b2"], 6: item[20:30], 7: []}
+    docs = {1: ["x"] + fifth + ["y"], 2: ["z"] + item[5:13] + ["z"], 3: few[0] + few[2], 4: few[1], 5: item[18:31], 6: item[5:12], 7: [], 8: few[2][:12] + item[3:40]}
+    want = set()
+    for d, x in docs.items():
+        for i, y in bench.items():
+            masks = [*MASKS] if len(y) >= 10 else ["1" * len(y)] if len(y) >= 5 else []
+            for shift in range(-len(y), len(x) + 1):
+                same = {p: x[p] == y[p - shift] for p in range(max(0, shift), min(len(x), shift + len(y)))}
+                for p in same:
+                    if not any(all(m == "0" or same.get(p + j, False) for j, m in enumerate(mask)) and p + len(mask) - 1 in same for mask in masks):
+                        continue
+                    value = lambda a, b: sum(1 if same[k] else -3 for k in range(a, b))
+                    begin = max(range(min(same), p + 1), key=lambda a: (value(a, p), a))
+                    end = max(range(p, max(same) + 2), key=lambda b: (value(p, b), -b))
+                    matches = sum(same[k] for k in range(begin, end))
+                    if matches >= min(12, len(y)):
+                        want.add((d, i, begin, end - begin, matches))
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in rows.items()], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (bench, "item_id"))]
+    got = {tuple(r) for r in overlaps(*frames).collect()}
+    assert got <= want and {r[:2] for r in got} == {r[:2] for r in want}
+    assert {(1, 1), (2, 2)} <= {r[:2] for r in got} and not any(r[1] in (5, 7) for r in got)
+
+
 def test_passages_cover_equal_stretches_and_find_fuzzy_ones(spark, odd, none):
-    from tecframe.llm.chaining import chain, passages, remove_passages
+    from tecframe.llm.chaining import GAP_COST, chain, passages, remove_passages
 
     # 1005 strings several near copies together, three times over: it must not fail, but its inner borders differ
     rows = [r for r in odd.select("doc_id", "text").collect() if r.doc_id not in (None, 1005)]
@@ -274,12 +305,59 @@ def test_passages_cover_equal_stretches_and_find_fuzzy_ones(spark, odd, none):
         x, y = xy[:, 0], xy[:, 1]
         f = []
         for i in range(len(x)):
-            f.append(6 + max([0, *(f[j] - 0.2 * (x[i] - x[j] + y[i] - y[j]) for j in range(i) if x[j] < x[i] and y[j] < y[i])]))
+            f.append(6 + max([0, *(f[j] - GAP_COST * (x[i] - x[j] + y[i] - y[j]) for j in range(i) if x[j] < x[i] and y[j] < y[i])]))
         best = chain(x, y)[0]
-        gain = 6 * len(best) - 0.2 * (x[best[-1]] - x[best[0]] + y[best[-1]] - y[best[0]])
+        gain = 6 * len(best) - GAP_COST * (x[best[-1]] - x[best[0]] + y[best[-1]] - y[best[0]])
         assert abs(gain - max(f)) < 1e-9
 
 
+def test_passages_whose_parts_stand_elsewhere(spark):
+    """Two sentences that earlier documents hold apart, and one that holds both."""
+    from tecframe.llm.chaining import passages
+
+    s = lambda t: [f"{t}{i}" for i in range(30)]
+    texts = [s("a"), s("b"), s("a") + s("b"), s("a"), s("b"), s("a") + s("b")]
+    docs = spark.createDataFrame([(i + 1, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    assert [(r.doc_id, r.source_id, r.start_word, r.n_words) for r in passages(docs).collect()] == [(6, 3, 0, 60)]
+
+
+def test_passages_recall_of_substituted_copies(spark):
+    """One passage copied with random substitutions between other words: most lengths and rates are nearly always found."""
+    from tecframe.llm.chaining import passages
+
+    rng = np.random.default_rng(5)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 200_000, n)]
+    rows, want = [], {}
+    for n, rate in ((60, 0.1), (80, 0.1), (100, 0.15), (150, 0.18), (200, 0.1)):
+        for _ in range(40):
+            k, p = len(rows), fresh(n)
+            q = [a if u >= rate else b for a, b, u in zip(p, fresh(n), rng.random(n))]
+            rows += [(k, " ".join(fresh(100) + p + fresh(70))), (k + 1, " ".join(fresh(60) + q + fresh(120)))]
+            want[k + 1] = (k, n, rate)
+    found = {r.doc_id: r for r in passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) <= set(want) and all(r.source_id == want[d][0] and r.n_matches >= 0.8 * r.n_words for d, r in found.items())
+    share = {}
+    for d, (_, n, rate) in want.items():
+        share.setdefault((n, rate), []).append(d in found)
+    assert sum(map(sum, share.values())) >= 0.85 * len(want) and min(sum(v) / len(v) for v in share.values()) >= 0.7, share
+
+
+def test_gaps_and_packed_places():
+    from tecframe.llm.chaining import _from_planes, _planes, common
+
+    rng = np.random.default_rng(2)
+    for _ in range(200):  # the longest common subsequence by its plain recurrence
+        x, y = (rng.integers(0, 4, rng.integers(0, 9)).tolist() for _ in range(2))
+        best = {}
+        for i in range(len(x) + 1):
+            for j in range(len(y) + 1):
+                best[i, j] = 0 if not i or not j else max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + (x[i - 1] == y[j - 1]))
+        got = common(x, y)
+        assert got == best[len(x), len(y)] or (len(x) == len(y) and got >= len(x) - 1)
+    places = np.array([0, 1, 65535, 65536, 3_000_000])
+    assert _from_planes(_planes(places)).tolist() == places.tolist() and len(_from_planes(_planes(places[:0]))) == 0
+
+
 def test_neighbours_equal_brute_force(spark):
     from tecframe.llm.neighbours import near_duplicates
 
@@ -415,3 +493,24 @@ def test_training_does_not_gather_the_documents(spark, monkeypatch):
 
 def test_every_number_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_more_languages_than_bits_of_a_word(spark):
+    """Seventy languages, each with letters of its own, are all learned and told apart."""
+    from tecframe.llm.language_id import identify
+    from tecframe.llm.tokens import Texts
+    from tecframe.llm.toxicity import LANG_BUCKETS, Words, _languages
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    letters = [[chr(0x4E00 + 40 * k + int(x)) for x in range(30)] for k in range(70)]
+    text = lambda k: " ".join("".join(rng.choice(letters[k], 4)) for _ in range(60))
+    docs = spark.createDataFrame([(i, text(i % 70), f"l{i % 70:02d}") for i in range(700)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in identify(docs).collect()}
+    assert len(got) == 700 and any(r.held_out for r in got.values())
+    assert all(r.lang_pred == f"l{i % 70:02d}" for i, r in got.items())
+    w = Words(Texts(pa.array([text(k) for k in (0, 66, 5)] + [None], pa.string())))
+    table = rng.normal(size=(150, LANG_BUCKETS)).astype(np.float32)
+    whole = _languages(w, table)
+    parts = [_languages(w, table[:64]), _languages(w, table[:128])]
+    assert (whole[:3] >= 0).all() and all((p == w_) | (w_ >= n) for n, rows in ((64, parts[0]), (128, parts[1])) for p, w_ in zip(rows[:3].tolist(), whole[:3].tolist()))
