@@ -145,7 +145,9 @@ def build_panel(
     resolved = joins.resolve_slots(
         check_slots(slots), slices, scenes, overlay_producer=spec.producer, overlay_metric=spec.metric
     )
-    counts = slice_points(slices, spec, bbox).groupBy("slice_id").agg(F.count(F.lit(1)).alias("_n"))
+    # only slices that a slot shows are cut into cells
+    shown = resolved.filter(F.col("kind") == "overlay").select("slice_id").distinct()
+    counts = slice_points(slices.join(shown, "slice_id", "left_semi"), spec, bbox).groupBy("slice_id").agg(F.count(F.lit(1)).alias("_n"))
     out = resolved.join(counts, "slice_id", "left")
     nothing = (F.col("kind") == "overlay") & (F.col("status") == "ready") & F.col("_n").isNull()
     return out.withColumn(
