@@ -4,9 +4,12 @@ Unigram and bigram counts of the training texts are quantised to powers of a
 base, and a key of level q enters the filter with the levels 1 .. q. A count is
 read by probing levels in turn until one is missing. The filter is built in
 slices: the hash range of a bucket owns a slice of the bits, so the reducer
-that has summed a bucket's counts fills its slice alone. The broadcast filter
-has a bounded number of bits; up to the bound it grows with the corpus, past it
-more probes err, as the method has it.
+that has summed a bucket's counts fills its slice alone. Every bigram is in its
+slice, once seen ones too, and a slice is as large as its entries ask for.
+Slices are broadcast, those of bigrams no more than PASS_BITS at a time; larger
+models take more passes over the texts, in each of which the bigrams of its
+slices are scored. Words' slices have a bounded number of bits; past the bound,
+which vocabularies don't come near, more probes err, as the method has it.
 
 A token's probability is
     LAMBDA * count(u, w) / count(u) + (1 - LAMBDA) * (count(w) + 1) / (N + V + 1)
@@ -22,6 +25,7 @@ by bucket, as packed arrays, and come back as one sum per document and bucket.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,8 @@ GROWTH, LEVELS = 1.5, 64
 PROBES = 3
 LAMBDA = 0.25
 FREQUENT = 100_000
-MIN_PAIRS = 2  # occurrences from which a bigram enters the filter
-BITS_A_TOKEN, MOST_BITS = 2, 1 << 29
+BITS_A_TOKEN, MOST_BITS = 2, 1 << 29  # of the words' slices
+BITS_AN_ENTRY, PASS_BITS = 3, 1 << 29  # of bigrams: for each probe that is set, and sent at once
 BUCKET_ROWS = 1 << 19
 END = U64(0x6A09E667F3BCC909)
 
@@ -99,17 +103,35 @@ def level(count: np.ndarray) -> np.ndarray:
     return np.minimum(1 + np.floor(np.log(count) / np.log(GROWTH) + 1e-9).astype(np.int64), LEVELS)
 
 
-def _places(key: np.ndarray, q: int, bits: int) -> Iterator[np.ndarray]:
+def _places(key: np.ndarray, q: int, bits: int | np.ndarray) -> Iterator[np.ndarray]:
     base = mix(key ^ U64(q * 0x9E3779B97F4A7C15 % 2**64))
     for p in range(PROBES):
-        yield (mix(base + U64(p)) % U64(bits)).astype(np.int64)
+        yield (mix(base + U64(p)) % np.asarray(bits, U64)).astype(np.int64)
+
+
+def levels(bits: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Level of each key in its slice of `size` bits from byte `start` on; 0 where it is missing."""
+    out = np.zeros(len(key), np.int64)
+    alive = np.arange(len(key))
+    for q in range(1, LEVELS + 1):
+        ok = np.ones(len(alive), bool)
+        for place in _places(key[alive], q, size[alive]):
+            ok &= (bits[start[alive] + (place >> 3)] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+        alive = alive[ok]
+        if not len(alive):
+            break
+        out[alive] = q
+    return out
+
+
+def low_end(q: np.ndarray) -> np.ndarray:
+    return np.where(q > 0, np.ceil(GROWTH ** (q - 1.0) - 1e-9), 0)
 
 
 def _summed(slice_bits: int):
     def run(table: pa.Table) -> pa.Table:
-        """Exact unigram counts of a bucket, and its slice of the filter."""
-        bits = np.zeros(slice_bits, bool)
-        words = None
+        """Exact unigram counts of a bucket, and its slices of the filter."""
+        words, slices = None, []
         for kind in (0, 1):
             rows = [(n, d.as_py()) for k, n, d in zip(table["kind"].to_pylist(), table["n"].to_pylist(), table["data"]) if k == kind]
             found = [_unzip(d, n, np.uint64, np.uint32) for n, d in rows]
@@ -121,16 +143,17 @@ def _summed(slice_bits: int):
             key, count = key[starts], np.add.reduceat(count, starts) if len(starts) else count
             if kind == 0:
                 words = key, count
-            else:
-                key, count = key[count >= MIN_PAIRS], count[count >= MIN_PAIRS]
             q = level(count)
+            bits = np.zeros(slice_bits if kind == 0 else max(1 << 10, BITS_AN_ENTRY * PROBES * int(q.sum())), bool)
             for step in range(1, int(q.max(initial=0)) + 1):
-                for place in _places(key[q >= step], step, slice_bits):
+                for place in _places(key[q >= step], step, len(bits)):
                     bits[place] = True
+            slices.append((len(bits), np.packbits(bits).tobytes()))
         key, count = words
         return pa.table({
             "bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), "words": pa.array([len(key)], pa.int64()), "tokens": pa.array([int(count.sum())], pa.int64()),
-            "keys": pa.array([key.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
+            "keys": pa.array([key.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()), "bits": pa.array([slices[0][1]], pa.binary()),
+            "pair_size": pa.array([slices[1][0]], pa.int64()), "pair_bits": pa.array([slices[1][1]], pa.binary()),
         })
 
     return run
@@ -148,7 +171,7 @@ def _frequent(least: float):
 
 
 class Model:
-    """What every worker holds: the filter, the frequent words, N and V."""
+    """What every worker holds: the filter of words, the frequent words, N and V."""
 
     def __init__(self, bits: np.ndarray, slice_bits: int, buckets: int, key: np.ndarray, count: np.ndarray, n: int, v: int) -> None:
         order = np.argsort(key)
@@ -162,44 +185,61 @@ class Model:
         at = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
         return np.where(self.key[at] == h, self.count[at], 0)
 
-    def levels(self, key: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(key), np.int64)
-        start = below(key, self.buckets).astype(np.int64) * (-(-self.slice_bits // 8))
-        alive = np.arange(len(key))
-        for q in range(1, LEVELS + 1):
-            ok = np.ones(len(alive), bool)
-            for place in _places(key[alive], q, self.slice_bits):
-                ok &= (self.bits[start[alive] + (place >> 3)] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
-            alive = alive[ok]
-            if not len(alive):
-                break
-            out[alive] = q
-        return out
-
-    def log_probabilities(self, t: np.ndarray, off: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, t: np.ndarray, off: np.ndarray, slices: Slices, first: bool) -> np.ndarray:
+        """Of the tokens whose bigrams are in `slices`, and in the first pass of those without a known word before; 0 for others."""
         word, seq = np.unique(t, return_inverse=True)
-        exact, q = self.frequent(word), self.levels(word)
-        low = np.where(exact > 0, exact, np.where(q > 0, np.ceil(GROWTH ** (q - 1.0) - 1e-9), 0))
+        q = levels(self.bits, below(word, self.buckets).astype(np.int64) * (-(-self.slice_bits // 8)), np.full(len(word), self.slice_bits), word)
+        exact = self.frequent(word)
+        low = np.where(exact > 0, exact, low_end(q))
         high = np.where(exact > 0, exact, np.where(q > 0, np.floor(GROWTH ** q.astype(float)), 0))
         single = ((low + 1) / (self.n + self.v + 1))[seq]
         both, before = pairs(t, off)
-        pair, at = np.unique(both, return_inverse=True)
-        q = self.levels(pair)
-        seen = np.where(q > 0, np.ceil(GROWTH ** (q - 1.0) - 1e-9), 0)[at]
-        place = np.minimum(np.searchsorted(word, before), max(len(word) - 1, 0))
-        context = high[place]  # every word before is a token of the piece: a word or an end
-        p = np.where(context > 0, LAMBDA * np.minimum(seen, context) / np.maximum(context, 1) + (1 - LAMBDA) * single, single)
-        return np.log10(p)
+        context = high[np.minimum(np.searchsorted(word, before), max(len(word) - 1, 0))]  # every word before is a token of the piece: a word or an end
+        here = np.flatnonzero((context > 0) & slices.own(both, self.buckets))
+        out = np.where(context > 0, 0.0, np.log10(single) if first else 0.0)
+        pair, at = np.unique(both[here], return_inverse=True)
+        seen = low_end(slices.levels(pair, self.buckets))[at]
+        out[here] = np.log10(LAMBDA * np.minimum(seen, context[here]) / context[here] + (1 - LAMBDA) * single[here])
+        return out
+
+
+class Slices:
+    """The filter of the bigrams of neighbouring buckets."""
+
+    def __init__(self, first: int, sizes: list[int], bits: list[bytes]) -> None:
+        self.first, self.sizes = first, np.array(sizes, np.int64)
+        self.starts = np.concatenate([[0], np.cumsum([len(x) for x in bits])])[:-1].astype(np.int64)
+        self.bits = np.frombuffer(b"".join(bits), np.uint8)
+
+    def own(self, key: np.ndarray, buckets: int) -> np.ndarray:
+        bucket = below(key, buckets).astype(np.int64)
+        return (bucket >= self.first) & (bucket < self.first + len(self.sizes))
 
+    def levels(self, key: np.ndarray, buckets: int) -> np.ndarray:
+        at = below(key, buckets).astype(np.int64) - self.first
+        return levels(self.bits, self.starts[at], self.sizes[at], key)
 
-def _stats(model):
+
+def passes(sizes: dict[int, int], buckets: int) -> list[tuple[int, int]]:
+    """Ranges of buckets whose slices have no more than PASS_BITS, or of one bucket; they cover all buckets."""
+    out, first, total = [], 0, 0
+    for b in range(buckets):
+        size = sizes.get(b, 0)
+        if b > first and total + size > PASS_BITS:
+            out.append((first, b))
+            first, total = b, 0
+        total += size
+    return [*out, (first, buckets)]
+
+
+def _stats(model, slices):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches):
             t, off = tokens(texts)
             count = model.value.frequent(t)
             logs = np.concatenate([[0.0], np.cumsum(np.where(count > 0, np.log10(count + 1.0), 0.0))])
             known = np.concatenate([[0], np.cumsum(count > 0)])
-            score = np.add.reduceat(model.value.log_probabilities(t, off), off[:-1])
+            score = np.add.reduceat(model.value.log_probabilities(t, off, slices.value, True), off[:-1])
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(signed(row_keys(part, t, off))), pa.array(np.diff(off)), pa.array(known[off[1:]] - known[off[:-1]]), pa.array(logs[off[1:]] - logs[off[:-1]]), pa.array(score)],
                 ["doc_id", "rid", "n_tokens", "known", "logs", "score"],
@@ -208,6 +248,16 @@ def _stats(model):
     return run
 
 
+def _more(model, slices):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in pieces(batches):
+            t, off = tokens(texts)
+            score = np.add.reduceat(model.value.log_probabilities(t, off, slices.value, False), off[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(row_keys(part, t, off))), pa.array(score)], ["rid", "more"])
+
+    return run
+
+
 def row_keys(part: pa.RecordBatch, t: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Key of each row by doc_id and tokens; rows that agree in both have equal scores."""
     nth = np.arange(len(t)) - np.repeat(off[:-1], np.diff(off))
@@ -299,7 +349,7 @@ def score(docs: DataFrame) -> DataFrame:
     slice_bits = max(1 << 14, min(MOST_BITS, BITS_A_TOKEN * about) // buckets // 8 * 8)
     train = docs.where(~held_out(F.col("doc_id"), 7, 2))
     counted = train.mapInArrow(_counts(buckets), "bucket int, kind int, n int, data binary").repartition(buckets, "bucket").groupBy("bucket")
-    summed = settle(counted.applyInArrow(_summed(slice_bits), "bucket int, words long, tokens long, keys binary, counts binary, bits binary"), "counts")
+    summed = settle(counted.applyInArrow(_summed(slice_bits), "bucket int, words long, tokens long, keys binary, counts binary, bits binary, pair_size long, pair_bits binary"), "counts")
     v, n = (x or 0 for x in summed.agg(F.sum("words"), F.sum("tokens")).first())
     top = summed.select("keys", "counts").mapInArrow(_frequent(max(2.0, n / FREQUENT)), "key long, count long").toPandas()  # FREQUENT rows at most
     width = -(-slice_bits // 8)
@@ -310,10 +360,22 @@ def score(docs: DataFrame) -> DataFrame:
     asked = docs.mapInArrow(_rare(model, buckets), "bucket int, docs int, rids binary, runs binary, n int, data binary").repartition(buckets, "bucket").groupBy("bucket")
     answers = asked.cogroup(summed.select("bucket", "keys", "counts").repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_answer(parts), "part int, data binary")
     rare = answers.repartition(parts, "part").groupBy("part").applyInArrow(lambda t: _gather(t), "rid long, rare_logs double, rare_known long")
-    stats = docs.mapInArrow(_stats(model), "doc_id long, rid long, n_tokens long, known long, logs double, score double")
-    stats = settle(stats, "scores")
+    ranges = passes(dict(summed.select("bucket", "pair_size").toLocalIterator()), buckets)
+    stats, later = None, []
+    for first, end in ranges:
+        held = {r.bucket: (r.pair_size, bytes(r.pair_bits)) for r in summed.where(F.col("bucket").between(first, end - 1)).select("bucket", "pair_size", "pair_bits").toLocalIterator()}  # PASS_BITS at most
+        sizes, raw = zip(*(held.get(b, (8, b"\0")) for b in range(first, end)))
+        slices = spark.sparkContext.broadcast(Slices(first, list(sizes), list(raw)))
+        if stats is None:
+            stats = settle(docs.mapInArrow(_stats(model, slices), "doc_id long, rid long, n_tokens long, known long, logs double, score double"), "scores")
+        else:  # rows that repeat have equal parts
+            later.append(settle(docs.mapInArrow(_more(model, slices), "rid long, more double"), "scores").groupBy("rid").agg(F.min("more").alias("more")))
+        slices.unpersist()
     twice = stats.groupBy("rid").agg(F.count("*").alias("copies"))
     joined = stats.join(twice, "rid").join(rare, "rid", "left")
+    if later:
+        rest = reduce(DataFrame.union, later).groupBy("rid").agg(F.sum("more").alias("more"))
+        joined = joined.join(rest, "rid").withColumn("score", F.col("score") + F.col("more"))
     logs = F.col("logs") + F.coalesce(F.col("rare_logs") / F.col("copies"), F.lit(0.0))
     known = F.col("known") + F.coalesce((F.col("rare_known") / F.col("copies")).cast("long"), F.lit(0))
     return joined.select(
