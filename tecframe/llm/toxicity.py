@@ -22,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tecframe.llm.graphs import settle
 from tecframe.llm.tokens import BASE, BYTES, FOLD, INVERSE, U64, Texts, below, mix, pieces, powers, prefix_sums, span_hash
 
-PART_ROWS, PART_DOCS = 4000, 200_000  # labelled rows that one task fits, and documents that it finds them among
+PART_ROWS, PART_DOCS = 4000, 20_000  # labelled rows that one task fits, and documents that it finds them among
 CHUNK = 8192  # values of an array that are summed in one group
 BINS, SPAN = 4096, 16.0  # of the counts of logits, from -SPAN to SPAN
 BUCKETS = 1 << 17
@@ -299,15 +300,17 @@ def _threshold(counts: np.ndarray, default: float) -> float:
     return float((value[k] + (value[k + 1] if k + 1 < len(bins) else value[k] - 1)) / 2)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a part as one value, which later passes read as it is."""
-    rows = [b for b in batches if b.num_rows]
-    if rows:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, rows[0].schema) as out:
-            for b in rows:
-                out.write_batch(b)
-        yield pa.RecordBatch.from_arrays([pa.array([zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())], pa.binary())], ["rows"])
+def _pack(texts: pa.Table, marks: pa.Table) -> pa.Table:
+    """The labelled rows of a part as one value, which later passes read as it is."""
+    at = pc.index_in(texts["doc_id"], marks["doc_id"].combine_chunks())
+    known = pc.is_valid(at)
+    rows = texts.filter(known).select(["text", "lang"]).append_column("toxic", marks["toxic"].take(at.filter(known)))
+    if not rows.num_rows:
+        return pa.table({"rows": pa.array([], pa.binary())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return pa.table({"rows": pa.array([zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())], pa.binary())})
 
 
 def _add(table: pa.Table) -> pa.Table:
@@ -343,10 +346,11 @@ def train(docs: DataFrame, labels: DataFrame, part_rows: int = PART_ROWS) -> dic
     marks = marks.where(~held_out(F.col("doc_id"), 5, 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = max(1, -(-marks.count() // part_rows), -(-docs.count() // PART_DOCS))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    # texts move once: a partition of the join is a part
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang")).where("doc_id IS NOT NULL").repartition(n, "doc_id")
-    rows = texts.join(marks.repartition(n, "doc_id"), "doc_id").select("text", "toxic", "lang")
-    parts = settle(rows.mapInArrow(_pack, "rows binary"), "labelled")
+    # texts move once: they meet their labels part by part
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n)).alias("part")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang")).where("doc_id IS NOT NULL").select("*", part)
+    met = texts.repartition(n, "part").groupBy("part").cogroup(marks.select("*", part).repartition(n, "part").groupBy("part"))
+    parts = settle(met.applyInArrow(lambda left, right: _pack(left, right), "rows binary"), "labelled")
     context = docs.sparkSession.sparkContext
     model = start(summed(parts, _count))
     if "rate" not in model:
