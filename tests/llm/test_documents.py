@@ -270,6 +270,22 @@ def test_benchmark_overlaps_equal_brute_force(spark):
     assert {(1, 1), (2, 2)} <= {r[:2] for r in got} and not any(r[1] in (5, 7) for r in got)
 
 
+def test_sets_that_share_signatures_with_a_centre_meet_it_once():
+    import pyarrow as pa
+    from tecframe.llm.jaccard_join import _packed, _shared_stars
+
+    text = [f"w{i}" for i in range(300)]
+    near = [" ".join(text[:i] + [f"x{i}"] + text[i + 1:]) for i in (5, 150, 290)]
+    docs = pa.table({"doc_id": range(8), "text": [" ".join(text), *near, " ".join(text), "a b", None, " "]})
+    rows = list(_packed(frozenset(), 1)(iter(docs.to_batches(max_chunksize=2))))
+    stars = _shared_stars(pa.Table.from_batches(rows)).to_pylist()
+    assert len(stars) == 3 and len({r["a"] for r in stars}) == 1 and len({r["b"] for r in stars}) == 3  # the copy is no set of its own
+    keys = sum(len(k) for r in rows for k in r.column("keys").to_pylist()) // 5
+    assert keys > 100  # though they share many signatures
+    alone = list(_packed(frozenset(), 1)(iter(docs.slice(4).to_batches())))
+    assert _shared_stars(pa.Table.from_batches(alone)).num_rows == 0
+
+
 def test_passages_cover_equal_stretches_and_find_fuzzy_ones(spark, odd, none):
     from tecframe.llm.chaining import GAP_COST, chain, passages, remove_passages
 
