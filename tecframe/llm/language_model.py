@@ -6,10 +6,13 @@ read by probing levels in turn until one is missing. The filter is built in
 slices: the hash range of a bucket owns a slice of the bits, so the reducer
 that has summed a bucket's counts fills its slice alone. Every bigram is in its
 slice, once seen ones too, and a slice is as large as its entries ask for.
-Slices are broadcast, those of bigrams no more than PASS_BITS at a time; larger
-models take more passes over the texts, in each of which the bigrams of its
-slices are scored. Words' slices have a bounded number of bits; past the bound,
-which vocabularies don't come near, more probes err, as the method has it.
+Slices of texts of SENT_TOKENS or fewer are broadcast, those of bigrams no more
+than PASS_BITS at a time. Those of larger ones stay where they were filled: the
+texts are stored in pieces, each piece sends its distinct bigrams once, to be
+counted and to be read from the filled slices, and the levels come back to the
+piece, so the texts are not gone through more often as they grow. Words' slices
+have a bounded number of bits; past the bound, which vocabularies don't come
+near, more probes err, as the method has it.
 
 A token's probability is
     LAMBDA * count(u, w) / count(u) + (1 - LAMBDA) * (count(w) + 1) / (N + V + 1)
@@ -24,6 +27,7 @@ by bucket, as packed arrays, and come back as one sum per document and bucket.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -43,7 +47,11 @@ FREQUENT = 100_000
 BITS_A_TOKEN, MOST_BITS = 2, 1 << 29  # of the words' slices
 BITS_AN_ENTRY, PASS_BITS = 3, 1 << 29  # of bigrams: for each probe that is set, and sent at once
 BUCKET_ROWS = 1 << 19
+SENT_TOKENS = 1 << 23  # of texts whose slices are sent to all workers
+PIECE_BYTES = 2 << 20  # of text that sends its bigrams together
 END = U64(0x6A09E667F3BCC909)
+SUMS = "bucket int, words long, tokens long, keys binary, counts binary, bits binary, pair_size long, pair_bits binary"
+STATS = "doc_id long, rid long, n_tokens long, known long, logs double, score double"
 
 
 def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -128,37 +136,158 @@ def low_end(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, np.ceil(GROWTH ** (q - 1.0) - 1e-9), 0)
 
 
+def _filled(key: np.ndarray, count: np.ndarray, size: int | None = None) -> tuple[int, bytes]:
+    """Bits of a slice with these keys, as many as they ask for or `size`."""
+    q = level(count)
+    bits = np.zeros(size or max(1 << 10, BITS_AN_ENTRY * PROBES * int(q.sum())), bool)
+    for step in range(1, int(q.max(initial=0)) + 1):
+        for place in _places(key[q >= step], step, len(bits)):
+            bits[place] = True
+    return len(bits), np.packbits(bits).tobytes()
+
+
+def _sums(table: pa.Table, bucket: int, slice_bits: int) -> pa.Table:
+    """Exact unigram counts of a bucket, and its slices of the filter."""
+    words, slices = None, []
+    for kind in (0, 1):
+        rows = [(n, d.as_py()) for k, n, d in zip(table["kind"].to_pylist(), table["n"].to_pylist(), table["data"]) if k == kind]
+        found = [_unzip(d, n, np.uint64, np.uint32) for n, d in rows]
+        key = np.concatenate([k for k, _ in found]) if found else np.zeros(0, U64)
+        count = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.uint32)
+        order = np.argsort(key)
+        key, count = key[order], count[order].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        key, count = key[starts], np.add.reduceat(count, starts) if len(starts) else count
+        if kind == 0:
+            words = key, count
+        slices.append(_filled(key, count, slice_bits if kind == 0 else None))
+    key, count = words
+    return pa.table({
+        "bucket": pa.array([bucket], pa.int32()), "words": pa.array([len(key)], pa.int64()), "tokens": pa.array([int(count.sum())], pa.int64()),
+        "keys": pa.array([key.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()), "bits": pa.array([slices[0][1]], pa.binary()),
+        "pair_size": pa.array([slices[1][0]], pa.int64()), "pair_bits": pa.array([slices[1][1]], pa.binary()),
+    })
+
+
 def _summed(slice_bits: int):
+    return lambda table: _sums(table, table["bucket"][0].as_py(), slice_bits)
+
+
+def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of PIECE_BYTES of text as one row, with a number of its own."""
+    for part, _ in pieces(batches, PIECE_BYTES):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as out:
+            out.write_batch(part)
+        packed = zstandard.ZstdCompressor(level=1).compress(sink.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([packed], pa.binary())], ["piece", "packed"])
+
+
+def _opened(packed: bytes) -> tuple[pa.RecordBatch, Texts]:
+    rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)).read_all().combine_chunks()
+    part = rows.to_batches()[0]
+    return part, Texts(part.column("text"))
+
+
+def _asks(buckets: int):
+    """Distinct words of the training texts, and distinct bigrams of all texts, of each piece with their counts in training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, packed in zip(batch.column("piece").to_pylist(), batch.column("packed").to_pylist()):
+                part, texts = _opened(packed)
+                t, off = tokens(texts)
+                counts = np.repeat(~part.column("held_out").to_numpy(zero_copy_only=False), np.diff(off))
+                rows = []
+                for kind, keys, some in ((0, t[counts], counts[counts]), (1, pairs(t, off)[0], counts)):
+                    key, at = np.unique(keys, return_inverse=True)
+                    n = np.bincount(at[some], minlength=len(key))
+                    rows += [(b, piece, kind, size, _zip(k, c.astype(np.uint32))) for b, size, k, c in _bucketed(key, buckets, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["bucket", "piece", "kind", "n", "data"])
+
+    return run
+
+
+def _reduced(slice_bits: int, parts: int):
+    """The sums of a bucket as _summed has them, without the bigrams' slice, and the levels that it gives to the bigrams of each piece."""
+
     def run(table: pa.Table) -> pa.Table:
-        """Exact unigram counts of a bucket, and its slices of the filter."""
-        words, slices = None, []
-        for kind in (0, 1):
-            rows = [(n, d.as_py()) for k, n, d in zip(table["kind"].to_pylist(), table["n"].to_pylist(), table["data"]) if k == kind]
-            found = [_unzip(d, n, np.uint64, np.uint32) for n, d in rows]
-            key = np.concatenate([k for k, _ in found]) if found else np.zeros(0, U64)
-            count = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.uint32)
-            order = np.argsort(key)
-            key, count = key[order], count[order].astype(np.int64)
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-            key, count = key[starts], np.add.reduceat(count, starts) if len(starts) else count
-            if kind == 0:
-                words = key, count
-            q = level(count)
-            bits = np.zeros(slice_bits if kind == 0 else max(1 << 10, BITS_AN_ENTRY * PROBES * int(q.sum())), bool)
-            for step in range(1, int(q.max(initial=0)) + 1):
-                for place in _places(key[q >= step], step, len(bits)):
-                    bits[place] = True
-            slices.append((len(bits), np.packbits(bits).tobytes()))
-        key, count = words
-        return pa.table({
-            "bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), "words": pa.array([len(key)], pa.int64()), "tokens": pa.array([int(count.sum())], pa.int64()),
-            "keys": pa.array([key.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()), "bits": pa.array([slices[0][1]], pa.binary()),
-            "pair_size": pa.array([slices[1][0]], pa.int64()), "pair_bits": pa.array([slices[1][1]], pa.binary()),
-        })
+        asked = table.filter(pa.array(table["kind"].to_numpy() == 1))
+        found = [_unzip(d.as_py(), n, np.uint64, np.uint32) for n, d in zip(asked["n"].to_pylist(), asked["data"])]
+        key, count = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, U64), np.zeros(0, np.uint32))
+        sizes = np.array([len(k) for k, _ in found], np.int64)
+        del found
+        order = np.argsort(key)
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0])) if len(key) else np.zeros(0, np.int64)
+        both, count = key[order][starts], np.add.reduceat(count[order].astype(np.int64), starts) if len(starts) else count
+        size, bits = _filled(both[count > 0], count[count > 0])
+        q = levels(np.frombuffer(bits, np.uint8), np.zeros(len(both), np.int64), np.full(len(both), size), both).astype(np.uint8)
+        given = np.empty(len(key), np.uint8)
+        given[order] = np.repeat(q, np.diff(np.append(starts, len(key))))
+        piece = asked["piece"].to_numpy()
+        part = below(mix(piece.view(U64)), parts).astype(np.int32)
+        out = _sums(table.filter(pa.array(table["kind"].to_numpy() == 0)), table["bucket"][0].as_py(), slice_bits)
+        rows = {"bucket": [table["bucket"][0].as_py()], "part": [None], "levels": [None]}
+        ends = np.cumsum(sizes)
+        for p in np.unique(part).tolist():
+            mine = np.flatnonzero(part == p)
+            levels_of = np.concatenate([given[ends[i] - sizes[i]: ends[i]] for i in mine.tolist()])
+            rows["bucket"].append(rows["bucket"][0])
+            rows["part"].append(p)
+            rows["levels"].append(np.array([len(mine)], "<i8").tobytes() + _zip(piece[mine], sizes[mine], levels_of))
+        n = len(rows["part"])
+        more = {c: pa.concat_arrays([out[c].combine_chunks(), pa.nulls(n - 1, out[c].type)]) for c in out.column_names if c != "bucket"}
+        return pa.table({"bucket": pa.array(rows["bucket"], pa.int32()), **more, "part": pa.array(rows["part"], pa.int32()), "levels": pa.array(rows["levels"], pa.binary())})
+
+    return run
+
+
+def _finished(model):
+    """The rows of _stats of a part's pieces, their bigrams' levels given by the buckets."""
+
+    def run(stored: pa.Table, answers: pa.Table) -> pa.Table:
+        out = [pa.RecordBatch.from_pylist([], pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("rid", "n_tokens", "known")), ("logs", pa.float64()), ("score", pa.float64())]))]
+        if not stored.num_rows:
+            return pa.Table.from_batches(out)
+        given: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for bucket, raw in zip(answers["bucket"].to_pylist(), answers["levels"].to_pylist()):
+            n = int(np.frombuffer(raw, "<i8", 1)[0])
+            data = zstandard.ZstdDecompressor().decompress(raw[8:])
+            sizes, q = np.frombuffer(data, np.int64, n, 8 * n), np.frombuffer(data, np.uint8, -1, 16 * n)
+            for piece, x in zip(np.frombuffer(data, np.int64, n).tolist(), np.split(q, np.cumsum(sizes)[:-1])):
+                given.setdefault(piece, []).append((bucket, x))
+        for piece, packed in zip(stored["piece"].to_pylist(), stored["packed"]):
+            part, texts = _opened(packed.as_py())
+            known = Given(np.concatenate([x for _, x in sorted(given.pop(piece), key=lambda a: a[0])]))
+            out.append(_row_stats(model.value, known, part, texts))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
+def _dealt(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part = below(mix(b.column("piece").to_numpy().view(U64)), parts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), b.column("piece"), b.column("packed")], ["part", "piece", "packed"])
 
     return run
 
 
+class Given:
+    """The levels of all distinct bigrams of a piece, by rising hash."""
+
+    def __init__(self, q: np.ndarray) -> None:
+        self.q = q.astype(np.int64)
+
+    def own(self, key: np.ndarray, buckets: int) -> np.ndarray:
+        self.every = np.unique(key)
+        return np.ones(len(key), bool)
+
+    def levels(self, key: np.ndarray, buckets: int) -> np.ndarray:
+        return self.q[np.searchsorted(self.every, key)]
+
+
 def _frequent(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -232,18 +361,22 @@ def passes(sizes: dict[int, int], buckets: int) -> list[tuple[int, int]]:
     return [*out, (first, buckets)]
 
 
+def _row_stats(model: Model, slices: Slices | Given, part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
+    t, off = tokens(texts)
+    count = model.frequent(t)
+    logs = np.concatenate([[0.0], np.cumsum(np.where(count > 0, np.log10(count + 1.0), 0.0))])
+    known = np.concatenate([[0], np.cumsum(count > 0)])
+    score = np.add.reduceat(model.log_probabilities(t, off, slices, True), off[:-1])
+    return pa.RecordBatch.from_arrays(
+        [part.column("doc_id"), pa.array(signed(row_keys(part, t, off))), pa.array(np.diff(off)), pa.array(known[off[1:]] - known[off[:-1]]), pa.array(logs[off[1:]] - logs[off[:-1]]), pa.array(score)],
+        ["doc_id", "rid", "n_tokens", "known", "logs", "score"],
+    )
+
+
 def _stats(model, slices):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches):
-            t, off = tokens(texts)
-            count = model.value.frequent(t)
-            logs = np.concatenate([[0.0], np.cumsum(np.where(count > 0, np.log10(count + 1.0), 0.0))])
-            known = np.concatenate([[0], np.cumsum(count > 0)])
-            score = np.add.reduceat(model.value.log_probabilities(t, off, slices.value, True), off[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(signed(row_keys(part, t, off))), pa.array(np.diff(off)), pa.array(known[off[1:]] - known[off[:-1]]), pa.array(logs[off[1:]] - logs[off[:-1]]), pa.array(score)],
-                ["doc_id", "rid", "n_tokens", "known", "logs", "score"],
-            )
+            yield _row_stats(model.value, slices.value, part, texts)
 
     return run
 
@@ -347,9 +480,17 @@ def score(docs: DataFrame) -> DataFrame:
     about = (size or 0) // 6 + n_docs
     buckets, parts = max(12, about // BUCKET_ROWS // 2), max(12, n_docs // 4000)
     slice_bits = max(1 << 14, min(MOST_BITS, BITS_A_TOKEN * about) // buckets // 8 * 8)
-    train = docs.where(~held_out(F.col("doc_id"), 7, 2))
-    counted = train.mapInArrow(_counts(buckets), "bucket int, kind int, n int, data binary").repartition(buckets, "bucket").groupBy("bucket")
-    summed = settle(counted.applyInArrow(_summed(slice_bits), "bucket int, words long, tokens long, keys binary, counts binary, bits binary, pair_size long, pair_bits binary"), "counts")
+    held = held_out(F.col("doc_id"), 7, 2)
+    stored = graded = None
+    if about <= SENT_TOKENS:
+        counted = docs.where(~held).mapInArrow(_counts(buckets), "bucket int, kind int, n int, data binary").repartition(buckets, "bucket").groupBy("bucket")
+        summed = settle(counted.applyInArrow(_summed(slice_bits), SUMS), "counts")
+    else:
+        stored = settle(docs.withColumn("held_out", held).mapInArrow(_stored, "piece long, packed binary"), "pieces")
+        at_once = max(12, (size or 0) // (4 * PIECE_BYTES))
+        counted = stored.mapInArrow(_asks(buckets), "bucket int, piece long, kind int, n int, data binary").repartition(buckets, "bucket").groupBy("bucket")
+        summed = settle(counted.applyInArrow(_reduced(slice_bits, at_once), f"{SUMS}, part int, levels binary"), "counts")
+        summed, graded = summed.where("part IS NULL"), summed.where("part IS NOT NULL").select("bucket", "part", "levels")
     v, n = (x or 0 for x in summed.agg(F.sum("words"), F.sum("tokens")).first())
     top = summed.select("keys", "counts").mapInArrow(_frequent(max(2.0, n / FREQUENT)), "key long, count long").toPandas()  # FREQUENT rows at most
     width = -(-slice_bits // 8)
@@ -360,14 +501,20 @@ def score(docs: DataFrame) -> DataFrame:
     asked = docs.mapInArrow(_rare(model, buckets), "bucket int, docs int, rids binary, runs binary, n int, data binary").repartition(buckets, "bucket").groupBy("bucket")
     answers = asked.cogroup(summed.select("bucket", "keys", "counts").repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_answer(parts), "part int, data binary")
     rare = answers.repartition(parts, "part").groupBy("part").applyInArrow(lambda t: _gather(t), "rid long, rare_logs double, rare_known long")
-    ranges = passes(dict(summed.select("bucket", "pair_size").toLocalIterator()), buckets)
     stats, later = None, []
+    if stored is not None:
+        pieces_of = stored.mapInArrow(_dealt(at_once), "part int, piece long, packed binary").repartition(at_once, "part").groupBy("part")
+        given = pieces_of.cogroup(graded.repartition(at_once, "part").groupBy("part"))
+        stats = settle(given.applyInArrow(_finished(model), STATS), "scores")
+        ranges = []
+    else:
+        ranges = passes(dict(summed.select("bucket", "pair_size").toLocalIterator()), buckets)
     for first, end in ranges:
         held = {r.bucket: (r.pair_size, bytes(r.pair_bits)) for r in summed.where(F.col("bucket").between(first, end - 1)).select("bucket", "pair_size", "pair_bits").toLocalIterator()}  # PASS_BITS at most
         sizes, raw = zip(*(held.get(b, (8, b"\0")) for b in range(first, end)))
         slices = spark.sparkContext.broadcast(Slices(first, list(sizes), list(raw)))
         if stats is None:
-            stats = settle(docs.mapInArrow(_stats(model, slices), "doc_id long, rid long, n_tokens long, known long, logs double, score double"), "scores")
+            stats = settle(docs.mapInArrow(_stats(model, slices), STATS), "scores")
         else:  # rows that repeat have equal parts
             later.append(settle(docs.mapInArrow(_more(model, slices), "rid long, more double"), "scores").groupBy("rid").agg(F.min("more").alias("more")))
         slices.unpersist()

@@ -51,3 +51,21 @@ def test_more_passes_give_the_same_scores(spark, monkeypatch):
     assert len(language_model.passes({b: 9000 for b in range(12)}, 12)) == 6
     split = order(score(docs).collect())
     assert [x[:3] for x in whole] == [x[:3] for x in split] and np.allclose([x[3:] for x in whole], [x[3:] for x in split], atol=1e-9)
+
+
+def test_large_models_go_through_the_texts_once(spark, monkeypatch):
+    """Bigrams of larger texts are counted and answered by bucket: the texts are not gone through slice by slice."""
+    from tecframe.llm import language_model
+
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 200, 70))) for i in range(90)] + [(7, None), (8, ""), (None, "w1 w2 w3 w1"), (2, "w1 w1")]
+    docs = spark.createDataFrame(rows + rows[:4], "doc_id long, text string").repartition(3)
+    order = lambda got: sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 7), round(r.score, 7)) for r in got)
+    whole = order(score(docs).collect())
+    names, store = [], language_model.settle
+    monkeypatch.setattr(language_model, "settle", lambda df, name: names.append(name) or store(df, name))
+    monkeypatch.setattr(language_model, "PASS_BITS", 2_000)  # many passes slice by slice
+    monkeypatch.setattr(language_model, "SENT_TOKENS", 0, raising=False)
+    monkeypatch.setattr(language_model, "PIECE_BYTES", 5_000, raising=False)
+    assert order(score(docs).collect()) == whole
+    assert names.count("scores") == 1
